@@ -62,7 +62,10 @@ def with_history(tx: DataFrame, history: DataFrame, hot_rows: int = HOT_ROWS) ->
     joined = left_join_lookup(
         tx, lookup, "nameOrig", "tx_id", hot_lookup=hot, hot_rows=hot_rows
     )
-    return joined.withColumn("profile", F.coalesce("profile", _unknown_sender()))
+    # Exploding one element keeps the optimizer from copying this expression into
+    # every later use and pushed filter, which would outgrow the JIT's method limit.
+    known = F.explode(F.array(F.coalesce("profile", _unknown_sender())))
+    return joined.select(*tx.columns, known.alias("profile"))
 
 
 def with_past_history(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -3,6 +3,7 @@
 from ledgersift.plans import (  # noqa: F401  (imported for their registrations)
     aggregate_queries,
     row_queries,
+    stream_queries,
     table_queries,
 )
 from ledgersift.plans.catalog import CHECKS, QUERIES

@@ -8,10 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One given table; its schema is inferred once per process, not once per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as an unbounded source of files."""
+    # A pattern instead of the plain name: a file source takes a single file only that way.
+    path = f"{sf_dir.rstrip('/')}/{name}[.]parquet"
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(path)
 
 
 def transactions_from(orders: DataFrame, customers: DataFrame) -> DataFrame:
