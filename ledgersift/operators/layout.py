@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +34,16 @@ def by_type(df: DataFrame, salts: int = 1, id_col: str = "tx_id") -> DataFrame:
     return df.repartition("type", F.pmod(F.xxhash64(id_col), F.lit(salts)))
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Persist with spill to disk; the caller unpersists."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def kept(*frames: DataFrame):
+    """Persist frames, spilling to disk, for the length of a ``with`` block."""
+    for df in frames:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield frames
+    finally:
+        for df in frames:
+            df.unpersist()
 
 
 def partition_report(df: DataFrame, partitions: int | None = None) -> DataFrame:
