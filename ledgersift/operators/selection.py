@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgersift.operators.quality import unpivot_one_row
@@ -14,11 +14,17 @@ from ledgersift.operators.quality import unpivot_one_row
 VARIANCE_FLOOR = 0.01
 CORRELATION_LIMIT = 0.95
 # Above this many columns one aggregate of pairs grows too wide for code generation.
-MAX_PAIRWISE_COLUMNS = 60
+MAX_PAIRWISE_COLUMNS = 40
 
 
-def _not_nan(column):
-    return F.when(F.isnan(column), 0.0).otherwise(F.coalesce(column, F.lit(0.0)))
+def pearson(a: str, b: str) -> Column:
+    """Correlation over the rows where both are present; null where one is constant.
+
+    The built-in ``corr`` divides by zero there, which is an error in ANSI mode.
+    """
+    x, y = F.col(a), F.col(b)
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
 
 
 def feature_variance(
@@ -40,8 +46,7 @@ def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
     pairs = list(combinations(range(len(features)), 2))
     if len(features) > MAX_PAIRWISE_COLUMNS:
         return _wide_correlation(df, features, pairs)
-    # Spark's corr skips a row when either side is null, as required.
-    wide = df.agg(*[F.corr(features[i], features[j]).alias(f"c_{i}_{j}") for i, j in pairs])
+    wide = df.agg(*[pearson(features[i], features[j]).alias(f"c_{i}_{j}") for i, j in pairs])
     entries = [
         F.struct(
             F.lit(features[i]).alias("feature1"),
@@ -76,12 +81,12 @@ def correlated_features(matrix: DataFrame, limit: float = CORRELATION_LIMIT) ->
 
 def feature_importance(df: DataFrame, features: list[str], label: str = "isFraud") -> DataFrame:
     """Absolute correlation with the label, all features in one job."""
-    wide = df.agg(*[F.corr(c, label).alias(f"importance_{c}") for c in features])
+    wide = df.agg(*[pearson(c, label).alias(f"importance_{c}") for c in features])
     tall = unpivot_one_row(wide, features, {"importance": "double"})
     return tall.select(
         F.col("column_name").alias("feature"),
         "position",
-        F.abs(_not_nan(F.col("importance"))).alias("importance"),
+        F.abs(F.coalesce("importance", F.lit(0.0))).alias("importance"),
     )
 
 
