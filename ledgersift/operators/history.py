@@ -54,11 +54,13 @@ def _unknown_sender() -> Column:
 def with_history(tx: DataFrame, history: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Attach each sender's history as ``profile``; senders without one get zeros."""
     profile = _profile(*[F.col(c) for c in _PROFILE]).alias("profile")
-    lookup = history.select("nameOrig", profile)
-    hot = None
+    hot, cold = None, history
     if "_rows" in history.columns:
         # The history was counted over these very rows, so it knows the hot senders.
+        # Both sides test the same count, so one aggregation serves them.
         hot = history.filter(F.col("_rows") > hot_rows).select("nameOrig", profile)
+        cold = history.filter(F.col("_rows") <= hot_rows)
+    lookup = cold.select("nameOrig", profile)
     joined = left_join_lookup(
         tx, lookup, "nameOrig", "tx_id", hot_lookup=hot, hot_rows=hot_rows
     )

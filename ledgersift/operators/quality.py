@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -118,41 +119,67 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return unpivot_one_row(wide, chosen, kinds).drop("position")
 
 
-def _check(name: Column, status: Column, expected: float, actual: Column) -> list[Column]:
-    return [
-        name.alias("check_name"),
-        status.alias("status"),
-        F.lit(float(expected)).alias("expected_value"),
-        actual.cast("double").alias("actual_value"),
-    ]
+@dataclass
+class Check:
+    """Aggregates of one check, and its percentage as an expression over them."""
+
+    name: str
+    counts: dict[str, Column]
+    percentage: Column
+    limit: float = 0.0
+    failure: str = "FAIL"
+
+
+def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All checks in one aggregate, one result row per check.
+
+    A check whose percentage is null could not be made: it warns and expects 0.
+    """
+    counts = [c.alias(name) for check in checks for name, c in check.counts.items()]
+    wide = df.agg(rows().alias("_rows"), *counts)
+    entries = []
+    for check in checks:
+        pct = check.percentage
+        status = F.when(pct <= check.limit, "PASS").when(pct.isNull(), "WARNING")
+        entries.append(
+            F.struct(
+                F.lit(check.name).alias("check_name"),
+                status.otherwise(check.failure).alias("status"),
+                F.when(pct.isNull(), 0.0).otherwise(check.limit).alias("expected_value"),
+                F.coalesce(pct, F.lit(0.0)).alias("actual_value"),
+            )
+        )
+    return wide.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
 
 
-def _pass_below(actual: Column, limit: float, otherwise: str = "FAIL") -> Column:
-    return F.when(actual <= limit, "PASS").otherwise(otherwise)
+def _null_check(df: DataFrame, max_pct: float = 5.0) -> Check:
+    nulls = reduce(Column.__add__, [F.col(c).isNull().cast("int") for c in df.columns])
+    return Check(
+        "Null Values Check",
+        {"nulls": F.sum(nulls), "cells": rows() * len(df.columns)},
+        ratio(F.col("nulls"), F.col("cells"), 100.0),
+        max_pct,
+    )
 
 
 def check_nulls(df: DataFrame, max_pct: float = 5.0) -> DataFrame:
     """Share of missing cells over all cells."""
-    nulls = reduce(Column.__add__, [F.col(c).isNull().cast("int") for c in df.columns])
-    counted = df.agg(F.sum(nulls).alias("nulls"), (rows() * len(df.columns)).alias("cells"))
-    pct = ratio(F.col("nulls"), F.col("cells"), 100.0)
-    return counted.select(_check(F.lit("Null Values Check"), _pass_below(pct, max_pct), max_pct, pct))
+    return run_checks(df, [_null_check(df, max_pct)])
 
 
 def check_duplicates(df: DataFrame, max_pct: float = 1.0) -> DataFrame:
-    pct = F.col("duplicate_pct")
-    return duplicate_count(df).select(
-        _check(F.lit("Duplicate Check"), _pass_below(pct, max_pct), max_pct, pct)
-    )
+    """Share of surplus copies over all rows."""
+    pct = F.max("duplicate_pct")
+    check = Check("Duplicate Check", {"duplicates": pct}, F.col("duplicates"), max_pct)
+    return run_checks(duplicate_count(df), [check])
 
 
 def check_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
+    """Share of values outside [low, high]; only none at all passes."""
     outside = (F.col(column) < low) | (F.col(column) > high)
-    counted = df.agg(F.count_if(outside).alias("out"), rows().alias("n"))
-    pct = ratio(F.col("out"), F.col("n"), 100.0)
-    return counted.select(
-        _check(F.lit(f"Range Check ({column})"), _pass_below(pct, 0.0), 0.0, pct)
-    )
+    counts = {"outside": F.count_if(outside), "n": rows()}
+    pct = ratio(F.col("outside"), F.col("n"), 100.0)
+    return run_checks(df, [Check(f"Range Check ({column})", counts, pct)])
 
 
 def cash_out_mismatch(tolerance: float = 0.0) -> Column:
@@ -167,15 +194,18 @@ def _unbalanced_origin(tolerance: float) -> Column:
     return F.col("newbalanceOrig") != expected
 
 
+def _balance_check(max_pct: float = 1.0, tolerance: float = 0.0) -> Check:
+    counts = {
+        "mismatches": F.count_if(cash_out_mismatch(tolerance)),
+        "cash_outs": F.count_if(F.col("type") == "CASH_OUT"),
+    }
+    pct = ratio(F.col("mismatches"), F.col("cash_outs"), 100.0)
+    return Check("Balance Consistency Check", counts, pct, max_pct)
+
+
 def check_balance(df: DataFrame, max_pct: float = 1.0, tolerance: float = 0.0) -> DataFrame:
-    counted = df.agg(
-        F.count_if(cash_out_mismatch(tolerance)).alias("bad"),
-        F.count_if(F.col("type") == "CASH_OUT").alias("n"),
-    )
-    pct = ratio(F.col("bad"), F.col("n"), 100.0)
-    return counted.select(
-        _check(F.lit("Balance Consistency Check"), _pass_below(pct, max_pct), max_pct, pct)
-    )
+    """Share of CASH_OUT rows whose sender balance does not add up."""
+    return run_checks(df, [_balance_check(max_pct, tolerance)])
 
 
 def check_transfer_balance(df: DataFrame, tolerance: float = 0.0) -> DataFrame:
@@ -195,37 +225,32 @@ def check_transfer_balance(df: DataFrame, tolerance: float = 0.0) -> DataFrame:
 _MOMENTS = {"mean": F.avg, "std": F.stddev_samp}
 
 
+def _outlier_checks(df: DataFrame, columns: list[str], sigmas: float) -> list[Check]:
+    """Checks with their bounds; the means and deviations are computed here, as one row."""
+    tested = [c for c in columns if c in numeric_columns(df)]
+    moments = [f(c).alias(f"{m}_{c}") for c in tested for m, f in _MOMENTS.items()]
+    stats = df.agg(rows().alias("n"), *moments).first()
+    checks = []
+    for c in columns:
+        std = stats[f"std_{c}"] if c in tested else None
+        counts, pct = {}, F.lit(None).cast("double")
+        if std:
+            low, high = (stats[f"mean_{c}"] + sign * sigmas * std for sign in (-1, 1))
+            counts = {f"outliers_{c}": F.count_if((F.col(c) < low) | (F.col(c) > high))}
+            pct = F.col(f"outliers_{c}") / F.lit(float(stats.n)) * 100.0
+        checks.append(Check(f"Outlier Check ({c})", counts, pct, 5.0, failure="WARNING"))
+    return checks
+
+
 def check_outliers(
     df: DataFrame, columns: list[str] | None = None, sigmas: float = 3.0
 ) -> DataFrame:
     """Share of values beyond mean +/- ``sigmas`` deviations, all columns in two passes.
 
-    The first pass is run here and brings back one row of means and deviations.
     Columns that are not numeric or do not vary are reported as WARNING.
     """
-    numeric = numeric_columns(df)
-    chosen = numeric if columns is None else columns
-    tested = [c for c in chosen if c in numeric]
-    moments = [f(c).alias(f"{m}_{c}") for c in tested for m, f in _MOMENTS.items()]
-    stats = df.agg(rows().alias("n"), *moments).first()
-    counts = []
-    for c in chosen:
-        std = stats[f"std_{c}"] if c in tested else None
-        if std:
-            low, high = (stats[f"mean_{c}"] + sign * sigmas * std for sign in (-1, 1))
-            outside = (F.col(c) < low) | (F.col(c) > high)
-            pct = F.count_if(outside) * 100.0 / F.lit(float(stats.n))
-        else:
-            pct = F.max(F.lit(None).cast("double"))
-        counts.append(pct.alias(f"pct_{c}"))
-    tall = unpivot_one_row(df.agg(*counts), chosen, {"pct": "double"})
-    pct = F.col("pct")
-    return tall.select(
-        F.concat(F.lit("Outlier Check ("), "column_name", F.lit(")")).alias("check_name"),
-        F.when(pct <= 5.0, "PASS").otherwise("WARNING").alias("status"),
-        F.when(pct.isNull(), 0.0).otherwise(5.0).alias("expected_value"),
-        F.coalesce(pct, F.lit(0.0)).alias("actual_value"),
-    )
+    chosen = numeric_columns(df) if columns is None else columns
+    return run_checks(df, _outlier_checks(df, chosen, sigmas))
 
 
 def negative_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -235,14 +260,13 @@ def negative_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 
 def run_all_checks(df: DataFrame) -> DataFrame:
-    """Null, duplicate, balance and outlier checks, one row each."""
-    parts = [
-        check_nulls(df),
-        check_duplicates(df),
-        check_balance(df),
-        check_outliers(df, numeric_columns(df)[:5]),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Null, duplicate, balance and outlier checks, one row each.
+
+    Three passes: means and deviations, all counts, and the duplicate groups.
+    """
+    outliers = _outlier_checks(df, numeric_columns(df)[:5], 3.0)
+    counted = run_checks(df, [_null_check(df), _balance_check(), *outliers])
+    return counted.unionByName(check_duplicates(df))
 
 
 def check_summary(checks: DataFrame) -> DataFrame:

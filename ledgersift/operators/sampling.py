@@ -6,8 +6,6 @@ or the table is partitioned differently.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,28 +41,39 @@ def train_test_split(
     return df.filter(chosen), df.filter(~chosen)
 
 
-def exact_sample(df: DataFrame, n: int, id_col: str = "tx_id", seed: int = SEED) -> DataFrame:
-    """The ``n`` rows of smallest hash (all rows when there are fewer).
+def exact_sample_by(
+    df: DataFrame, sizes: dict[int, int], label: str, id_col: str = "tx_id", seed: int = SEED
+) -> DataFrame:
+    """The ``sizes[v]`` rows of smallest hash among the rows of each label value ``v``.
 
-    Rows are counted per hash prefix; only rows of the prefixes that make up the
-    first ``n`` go on, and each prefix is ordered by itself.
+    Rows are counted per label and hash prefix; only rows of the prefixes that
+    make up the wanted number go on, and each prefix is ordered by itself.
     """
+    wanted = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col(label)]
     hashed = df.withColumn("_hash", row_hash(id_col, seed)).withColumn(
         "_bucket", F.substring("_hash", 1, _BUCKET_DIGITS)
     )
-    buckets = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 65,536 rows, whatever the table size.
-    before = F.coalesce(
-        F.sum("_n").over(
-            Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        ),
-        F.lit(0),
+    keys = [label, "_bucket"]
+    buckets = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # At most 65,536 rows per label value, whatever the table size.
+    upto = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(upto), F.lit(0))
+    reach = buckets.select(*keys, before.alias("_before"), wanted.alias("_wanted")).filter(
+        F.col("_before") < F.col("_wanted")
+    )
+    order = Window.partitionBy(*keys).orderBy("_hash", id_col)
+    placed = hashed.join(F.broadcast(reach), keys).withColumn(
+        "_place", F.row_number().over(order)
     )
-    needed = buckets.withColumn("_before", before).filter(F.col("_before") < n)
-    reach = F.broadcast(needed.select("_bucket", "_before", "_n"))
-    order = Window.partitionBy("_bucket").orderBy("_hash", id_col)
-    placed = hashed.join(reach, "_bucket").withColumn("_place", F.row_number().over(order))
-    return placed.filter(F.col("_before") + F.col("_place") <= n).select(*df.columns)
+    return placed.filter(F.col("_before") + F.col("_place") <= F.col("_wanted")).select(
+        *df.columns
+    )
+
+
+def exact_sample(df: DataFrame, n: int, id_col: str = "tx_id", seed: int = SEED) -> DataFrame:
+    """The ``n`` rows of smallest hash (all rows when there are fewer)."""
+    one = df.withColumn("_all", F.lit(1))
+    return exact_sample_by(one, {1: n}, "_all", id_col, seed).drop("_all")
 
 
 def balanced_sample(
@@ -76,8 +85,4 @@ def balanced_sample(
     seed: int = SEED,
 ) -> DataFrame:
     """Exact row counts per class, put together."""
-    parts = [
-        exact_sample(df.filter(F.col(label) == value), n, id_col, seed)
-        for value, n in ((1, fraud_rows), (0, normal_rows))
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return exact_sample_by(df, {1: fraud_rows, 0: normal_rows}, label, id_col, seed)

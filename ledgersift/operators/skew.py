@@ -22,7 +22,7 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def split_hot(
-    df: DataFrame, key: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS
 ) -> tuple[DataFrame, DataFrame | None]:
     """Split ``df`` into rows of ordinary keys and rows of hot keys.
 

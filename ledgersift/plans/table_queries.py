@@ -59,7 +59,9 @@ _ROUND = {
 
 
 def _rounded_columns(columns) -> str:
-    return ", ".join(f"round({c}, {_ROUND[c]}) AS {c}" if c in _ROUND else c for c in columns)
+    shown = {c: f"round({c}, {d}) AS {c}" for c, d in _ROUND.items()}
+    shown["time_since_last_tx"] = "CAST(time_since_last_tx AS DOUBLE) AS time_since_last_tx"
+    return ", ".join(shown.get(c, c) for c in columns)
 
 
 def _window_sql(inner: str, columns) -> str:
@@ -71,6 +73,9 @@ FROM (SELECT *, {inner} FROM transactions {_FRAMES})""",
 
 
 def _chosen(df, columns):
+    if "time_since_last_tx" in columns:
+        # A nullable integer would reach a client as double or as object, depending on it.
+        df = df.withColumn("time_since_last_tx", F.col("time_since_last_tx").cast("double"))
     return rounded(df.select("tx_id", *columns), **{c: d for c, d in _ROUND.items() if c in columns})
 
 
