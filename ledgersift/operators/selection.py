@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgersift.operators.quality import unpivot_one_row
@@ -17,14 +17,27 @@ CORRELATION_LIMIT = 0.95
 MAX_PAIRWISE_COLUMNS = 40
 
 
-def pearson(a: str, b: str) -> Column:
+def column_spread(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, float]]:
+    """Nulls and sample variance of each column: one job, one row brought back."""
+    parts = {"nulls": lambda c: F.count_if(F.col(c).isNull()), "variance": F.var_samp}
+    row = df.agg(*[f(c).alias(f"{m}_{c}") for c in columns for m, f in parts.items()]).first()
+    return {c: (row[f"nulls_{c}"], row[f"variance_{c}"] or 0.0) for c in columns}
+
+
+def pearson(a: str, b: str, spread: dict[str, tuple[int, float]]) -> Column:
     """Correlation over the rows where both are present; null where one is constant.
 
-    The built-in ``corr`` divides by zero there, which is an error in ANSI mode.
+    The built-in ``corr`` divides by zero on a constant, an error in ANSI mode. So
+    it serves columns known to vary everywhere; columns with nulls might be
+    constant on the rows they share, which the longer form allows for.
     """
+    if not spread[a][1] or not spread[b][1]:
+        return F.lit(None).cast("double")
+    if not spread[a][0] and not spread[b][0]:
+        return F.corr(a, b)
     x, y = F.col(a), F.col(b)
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    widths = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), widths)
 
 
 def feature_variance(
@@ -44,9 +57,10 @@ def feature_variance(
 def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
     """Pearson correlation of every pair (first before second), nulls dropped pairwise."""
     pairs = list(combinations(range(len(features)), 2))
+    spread = column_spread(df, features)
     if len(features) > MAX_PAIRWISE_COLUMNS:
         return _wide_correlation(df, features, pairs)
-    wide = df.agg(*[pearson(features[i], features[j]).alias(f"c_{i}_{j}") for i, j in pairs])
+    wide = df.agg(*[pearson(features[i], features[j], spread).alias(f"c_{i}_{j}") for i, j in pairs])
     entries = [
         F.struct(
             F.lit(features[i]).alias("feature1"),
@@ -81,7 +95,8 @@ def correlated_features(matrix: DataFrame, limit: float = CORRELATION_LIMIT) ->
 
 def feature_importance(df: DataFrame, features: list[str], label: str = "isFraud") -> DataFrame:
     """Absolute correlation with the label, all features in one job."""
-    wide = df.agg(*[pearson(c, label).alias(f"importance_{c}") for c in features])
+    spread = column_spread(df, [*features, label])
+    wide = df.agg(*[pearson(c, label, spread).alias(f"importance_{c}") for c in features])
     tall = unpivot_one_row(wide, features, {"importance": "double"})
     return tall.select(
         F.col("column_name").alias("feature"),
@@ -102,37 +117,37 @@ def select_features(
 
     Columns of low variance go first; then the second column of each strongly
     correlated pair of kept columns; the rest is ranked by label correlation,
-    ties in column order.
+    ties in column order. Two passes over the rows; what comes back between them
+    is one number per column or pair of columns.
     """
-    variance = feature_variance(df, features, min_variance)
-    kept = variance.filter("keep").select("feature")
-    strong = correlated_features(correlation_matrix(df, features), max_correlation)
-    dropped = (
-        strong.join(kept.withColumnRenamed("feature", "feature1"), "feature1", "left_semi")
-        .select(F.col("feature2").alias("feature"))
-        .distinct()
-        .withColumn("_correlated", F.lit(True))
-    )
-    importance = feature_importance(df, features, label).drop("position")
-    table = variance.join(dropped, "feature", "left").join(importance, "feature")
-    eligible = F.col("keep") & F.col("_correlated").isNull()
-    # One row per feature: this window orders a list of column names.
-    order = Window.partitionBy("_eligible").orderBy(F.desc("importance"), "position")
-    ranked = table.withColumn("_eligible", eligible).withColumn(
-        "_rank", F.row_number().over(order)
-    )
-    status = (
-        F.when(~F.col("keep"), "low_variance")
-        .when(~F.col("_eligible"), "correlated")
-        .when(F.col("_rank") <= top_n, "selected")
-        .otherwise("below_top_n")
-    )
-    return ranked.select(
-        "feature",
-        status.alias("status"),
-        "variance",
-        "importance",
-        F.when(F.col("_eligible"), F.col("_rank")).alias("rank"),
+    spread = column_spread(df, [*features, label])
+    kept = [c for c in features if spread[c][1] >= min_variance]
+    pairs = list(combinations(kept, 2)) if len(kept) <= MAX_PAIRWISE_COLUMNS else []
+    found = df.agg(
+        F.lit(0).alias("_"),
+        *[pearson(c, label, spread).alias(f"label_{c}") for c in features],
+        *[pearson(a, b, spread).alias(f"pair_{a}_{b}") for a, b in pairs],
+    ).first()
+    strength = {(a, b): found[f"pair_{a}_{b}"] for a, b in pairs}
+    if not pairs and len(kept) > 1:
+        matrix = _wide_correlation(df, kept, list(combinations(range(len(kept)), 2)))
+        strength = {(r.feature1, r.feature2): r.correlation for r in matrix.collect()}
+    dropped = {b for (_, b), r in strength.items() if r is not None and abs(r) >= max_correlation}
+
+    importance = {c: abs(found[f"label_{c}"] or 0.0) for c in features}
+    ranked = sorted((c for c in kept if c not in dropped), key=lambda c: -importance[c])
+    rank = {c: i for i, c in enumerate(ranked, start=1)}
+
+    def status(c: str) -> str:
+        if c not in kept:
+            return "low_variance"
+        if c in dropped:
+            return "correlated"
+        return "selected" if rank[c] <= top_n else "below_top_n"
+
+    rows = [(c, status(c), spread[c][1], importance[c], rank.get(c)) for c in features]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, status string, variance double, importance double, rank int"
     )
 
 
