@@ -55,24 +55,35 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     )
 
 
+def _typed_value(df: DataFrame, column: str) -> list[Column]:
+    """The value as whole number, double or text, whichever holds its type exactly."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        slot, target = "whole", "bigint"
+    elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        slot, target = "real", "double"
+    else:
+        slot, target = "text", "string"
+    slots = {"whole": "bigint", "real": "double", "text": "string"}
+    return [
+        (F.col(column).cast(target) if name == slot else F.lit(None).cast(t)).alias(name)
+        for name, t in slots.items()
+    ]
+
+
 def distinct_counts(df: DataFrame) -> DataFrame:
     """Distinct values per column, null counting as one value.
 
     Rows become (column, value) pairs; equal pairs combine before the shuffle,
     so a value that fills a column costs one row per task.
     """
-    pairs = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                    for c in df.columns
-                ]
-            )
-        ).alias("p")
-    ).select("p.*")
-    values = pairs.groupBy("column_name", "value").agg(F.lit(1).alias("_one"))
-    return values.groupBy("column_name").agg(rows().alias("unique_count"))
+    entries = [
+        F.struct(F.lit(i).alias("i"), *_typed_value(df, c)) for i, c in enumerate(df.columns)
+    ]
+    pairs = df.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
+    counted = pairs.distinct().groupBy("i").agg(rows().alias("unique_count"))
+    names = F.array(*[F.lit(c) for c in df.columns])
+    return counted.select(names[F.col("i")].alias("column_name"), "unique_count")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
