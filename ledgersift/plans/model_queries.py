@@ -10,12 +10,15 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ledgersift.functions.features import MODEL_COLUMNS_8
 from ledgersift.ml import forest as I
 from ledgersift.ml import score as M
 from ledgersift.ml import train as R
-from ledgersift.ml.prepare import ADVANCED_COLUMNS_10, preparation, split
+from ledgersift.ml.prepare import ADVANCED_COLUMNS_10, labelled, preparation, split
+from ledgersift.operators import history as H
 from ledgersift.operators.layout import kept
 from ledgersift.plans.catalog import query
+from ledgersift.plans.sql import with_tables
 from ledgersift.session import work_path
 from ledgersift.sources import views as V
 
@@ -58,17 +61,59 @@ train_advanced = _train_query(
 )
 
 
-@query("ml_prepare")
+_TRAIN = f"substr(md5('42:' || tx_id), 1, 8) < '{int(0.8 * 2**32):08x}'"
+_RAW = {c: c for c in MODEL_COLUMNS_8} | {
+    "amount_ratio": "CASE WHEN oldbalanceOrg > 0 THEN amount / oldbalanceOrg ELSE 0e0 END",
+    "is_large_amount": "CASE WHEN amount > 100000 THEN 1e0 ELSE 0e0 END",
+}
+_SCALED = ", ".join(
+    f"round(({c} - avg({c}) FILTER (split = 'train') OVER ()) "
+    f"/ stddev_samp({c}) FILTER (split = 'train') OVER (), 5) AS scaled_{c}"
+    for c in MODEL_COLUMNS_8
+)
+
+
+@query(
+    "ml_prepare",
+    with_tables(
+        f"""SELECT tx_id, split, CAST(isFraud AS DOUBLE) AS label, {_SCALED}
+FROM (SELECT tx_id, isFraud, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS split,
+  {", ".join(f"{sql} AS {c}" for c, sql in _RAW.items())} FROM transactions)""",
+        "transactions",
+    ),
+)
 def ml_prepare(spark, sf_dir):
+    """Features standardised by the training rows' mean and deviation."""
     train, test = _split(spark, sf_dir)
     fitted = Pipeline(stages=preparation(train.columns)).fit(train)
     parts = [
         fitted.transform(d).select(
-            "tx_id", F.lit(n).alias("split"), "label", vector_to_array("features").alias("features")
+            "tx_id", F.lit(n).alias("split"), "label", vector_to_array("features").alias("v")
         )
         for d, n in ((train, "train"), (test, "test"))
     ]
-    return parts[0].unionByName(parts[1])
+    scaled = [
+        F.round(F.col("v")[i], 5).alias(f"scaled_{c}") for i, c in enumerate(MODEL_COLUMNS_8)
+    ]
+    return parts[0].unionByName(parts[1]).select("tx_id", "split", "label", *scaled)
+
+
+@query(
+    "rule_auc",
+    with_tables(
+        """SELECT round(sum(neg * (above + pos / 2e0)) / (sum(pos) * sum(neg)), 6) AS auc_roc
+FROM (SELECT pos, neg, coalesce(sum(pos) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING
+    AND 1 PRECEDING), 0) AS above
+  FROM (SELECT fraud_probability AS p, count(*) FILTER (isFraud = 1) AS pos,
+    count(*) FILTER (isFraud = 0) AS neg FROM reduced GROUP BY 1))""",
+        "reduced",
+    ),
+)
+def rule_auc(spark, sf_dir):
+    """Area under ROC of the history-adjusted rule score."""
+    scored = labelled(H.score_with_history(V.transactions(spark, sf_dir)))
+    area = R.auc(scored.withColumnRenamed("fraud_probability", "rawPrediction"))
+    return spark.range(1).select(F.round(F.lit(area), 6).alias("auc_roc"))
 
 
 @query("auc")
