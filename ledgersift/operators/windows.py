@@ -81,14 +81,8 @@ def _with_surrogates(df: DataFrame, account: str) -> DataFrame:
     )
 
 
-def temporal_features(
-    df: DataFrame, account: str = "nameOrig", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Rolling and lag features over the 10 previous rows and the current one."""
-    ordinary, hot = split_hot(df, account, hot_rows)
-    result = _rolling(ordinary, account)
-    if hot is None:
-        return result
+def _rolling_hot(hot: DataFrame, account: str, hot_rows: int) -> DataFrame:
+    """``_rolling`` for accounts too large for one task: chunk by chunk."""
     size = max(hot_rows, ROLLING_BEFORE + 1)
     ranked = _with_rank(_with_surrogates(hot, account))
     own = F.floor(F.col("_rank") / size)
@@ -96,8 +90,18 @@ def temporal_features(
     chunked = ranked.withColumn(
         "_chunk", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own)))
     )
-    rolled = _rolling(chunked, "_key", "_chunk").filter(F.col("_chunk") == own)
-    return result.unionByName(rolled.select(*result.columns))
+    return _rolling(chunked, "_key", "_chunk").filter(F.col("_chunk") == own)
+
+
+def temporal_features(
+    df: DataFrame, account: str = "nameOrig", hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """Rolling and lag features over the 10 previous rows and the current one."""
+    ordinary, hot = split_hot(df, account, hot_rows)
+    result = _rolling(ordinary, account)
+    if hot is None:
+        return result
+    return result.unionByName(_rolling_hot(hot, account, hot_rows).select(*result.columns))
 
 
 def _running(df: DataFrame, *partition: str) -> DataFrame:
@@ -168,31 +172,41 @@ def merge_cells(cells: DataFrame, keys: list[str], last: int) -> DataFrame:
     )
 
 
+def _with_type_key(df: DataFrame, account: str) -> DataFrame:
+    return _with_surrogates(df, account).withColumn(
+        "_type", F.coalesce(F.col("type"), F.lit("\x00"))
+    )
+
+
+def _running_hot(rows: DataFrame, hot: DataFrame, account: str) -> DataFrame:
+    """``_running`` for ``rows`` of hot accounts, from step cells of their input ``hot``."""
+    keys = ["_key", "_type"]
+    merged = merge_cells(step_cells(_with_type_key(hot, account), *keys), keys, last=0).select(
+        *keys,
+        "_step",
+        F.col("_avg").alias("type_amount_avg"),
+        F.col("_max").alias("type_amount_max"),
+        F.col("_std").alias("type_amount_std"),
+    )
+    return salted_join(
+        _with_type_key(rows, account), merged, [*keys, "_step"], spread_by="tx_id"
+    )
+
+
 def type_account_features(
-    df: DataFrame, account: str = "nameOrig", hot_rows: int = HOT_ROWS
+    df: DataFrame, account: str = "nameOrig", hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Running mean, max and deviation of amount per account and type."""
     ordinary, hot = split_hot(df, account, hot_rows)
     result = _running(ordinary, account, "type")
     if hot is not None:
-        keyed = _with_surrogates(hot, account).withColumn(
-            "_type", F.coalesce(F.col("type"), F.lit("\x00"))
-        )
-        keys = ["_key", "_type"]
-        merged = merge_cells(step_cells(keyed, *keys), keys, last=0).select(
-            *keys,
-            "_step",
-            F.col("_avg").alias("type_amount_avg"),
-            F.col("_max").alias("type_amount_max"),
-            F.col("_std").alias("type_amount_std"),
-        )
-        joined = salted_join(keyed, merged, [*keys, "_step"], spread_by="tx_id")
+        joined = _running_hot(hot, hot, account)
         result = result.unionByName(joined.select(*result.columns))
     return _with_ratio(result)
 
 
 def account_features(
-    df: DataFrame, account: str = "nameOrig", hot_rows: int = HOT_ROWS
+    df: DataFrame, account: str = "nameOrig", hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Temporal, type and risk features in one table.
 
@@ -200,8 +214,8 @@ def account_features(
     the account serves the (account, type) windows too.
     """
     ordinary, hot = split_hot(df, account, hot_rows)
-    result = _with_ratio(_running(_rolling(ordinary, account), account, "type"))
+    result = _running(_rolling(ordinary, account), account, "type")
     if hot is not None:
-        rolled = temporal_features(hot, account, hot_rows)
-        result = result.unionByName(type_account_features(rolled, account, hot_rows))
-    return with_risk_features(result)
+        joined = _running_hot(_rolling_hot(hot, account, hot_rows), hot, account)
+        result = result.unionByName(joined.select(*result.columns))
+    return with_risk_features(_with_ratio(result))
