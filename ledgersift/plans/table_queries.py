@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgersift.operators import analytics as A
 from ledgersift.operators import drift as D
 from ledgersift.operators import layout as L
 from ledgersift.operators import quality as Q
@@ -601,10 +602,9 @@ def write_partitioned_query(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _feature_tables(spark, sf_dir, versions: int = 1) -> FeatureTables:
+def _feature_tables(spark, sf_dir) -> FeatureTables:
     tables = FeatureTables(spark, work_path(spark, "features"))
-    for _ in range(versions):
-        tables.create(V.transactions(spark, sf_dir), "transactions")
+    tables.create(V.transactions(spark, sf_dir), "transactions")
     return tables
 
 
@@ -618,9 +618,12 @@ def feature_table_read(spark, sf_dir):
     return _feature_tables(spark, sf_dir).load("transactions")
 
 
-@query("feature_version", "SELECT 'transactions' AS name, 2 AS version")
+@query("feature_version", "SELECT 'type_stats' AS name, 2 AS version")
 def feature_version(spark, sf_dir):
-    return _feature_tables(spark, sf_dir, versions=2).versions("transactions")
+    tables = FeatureTables(spark, work_path(spark, "features"))
+    for _ in range(2):
+        tables.create(A.type_stats(V.transactions(spark, sf_dir)), "type_stats")
+    return tables.versions("type_stats")
 
 
 @query("load_features", _NO_ID)

@@ -21,22 +21,24 @@ def get_session(app_name: str = "ledgersift", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Only a local master may fall back to a temporary folder: there, one machine
     is the whole cluster.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="ledgersift-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="ledgersift-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -60,3 +60,28 @@ def test_no_forbidden_calls():
             if f.endswith(".py"):
                 text = open(os.path.join(folder, f)).read()
                 assert "localCheckpoint" not in text and "crossJoin" not in text, f
+
+
+def test_history_aggregation_runs_once(spark, sf_dir):
+    df = QUERIES["fp_reduction"](spark, sf_dir)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+
+
+def test_filters_pass_the_score(spark, sf_dir):
+    """A filter on an input column still reaches the scan side of the scored table."""
+    from pyspark.sql import functions as F
+
+    from ledgersift.operators import history as H
+    from ledgersift.sources import views as V
+
+    scored = H.score_with_history(V.transactions(spark, sf_dir)).filter(F.col("tx_id") == 7)
+    assert "EqualTo(o_orderkey,7)" in scored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_work_folder(spark):
+    from ledgersift.session import work_path, work_root
+
+    assert work_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert work_path(spark, "x") != work_path(spark, "x")
