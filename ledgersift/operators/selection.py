@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import isnan
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -13,8 +14,8 @@ from ledgersift.operators.quality import unpivot_one_row
 
 VARIANCE_FLOOR = 0.01
 CORRELATION_LIMIT = 0.95
-# Above this many columns one aggregate of pairs grows too wide for code generation.
-MAX_PAIRWISE_COLUMNS = 40
+# Correlations one aggregate can hold before its generated code is too long to be compiled.
+PAIRS_PER_PASS = 15
 
 
 def column_spread(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, float]]:
@@ -54,36 +55,44 @@ def feature_variance(
     )
 
 
+def _correlations(
+    df: DataFrame, pairs: list[tuple[str, str]], spread: dict[str, tuple[int, float]]
+) -> dict[tuple[str, str], float | None]:
+    """Correlation of each pair of columns, as numbers.
+
+    Few pairs are one aggregate. Many pairs of columns without nulls are one
+    matrix job; with nulls, which drop out pair by pair, they take several passes.
+    """
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    if len(pairs) > PAIRS_PER_PASS and not any(spread[c][0] for c in columns):
+        return _matrix_correlations(df, columns, pairs)
+    found: dict[tuple[str, str], float | None] = {}
+    for start in range(0, len(pairs), PAIRS_PER_PASS):
+        part = pairs[start : start + PAIRS_PER_PASS]
+        row = df.agg(
+            F.lit(0).alias("_"), *[pearson(a, b, spread).alias(f"{a}|{b}") for a, b in part]
+        ).first()
+        found |= {(a, b): row[f"{a}|{b}"] for a, b in part}
+    return found
+
+
+def _matrix_correlations(
+    df: DataFrame, columns: list[str], pairs: list[tuple[str, str]]
+) -> dict[tuple[str, str], float | None]:
+    assembled = VectorAssembler(inputCols=columns, outputCol="_v").transform(df.select(*columns))
+    matrix = Correlation.corr(assembled, "_v").first()[0].toArray()
+    at = {c: i for i, c in enumerate(columns)}
+    values = {(a, b): float(matrix[at[a], at[b]]) for a, b in pairs}
+    return {pair: None if isnan(r) else r for pair, r in values.items()}
+
+
 def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
     """Pearson correlation of every pair (first before second), nulls dropped pairwise."""
-    pairs = list(combinations(range(len(features)), 2))
-    spread = column_spread(df, features)
-    if len(features) > MAX_PAIRWISE_COLUMNS:
-        return _wide_correlation(df, features, pairs)
-    wide = df.agg(*[pearson(features[i], features[j], spread).alias(f"c_{i}_{j}") for i, j in pairs])
-    entries = [
-        F.struct(
-            F.lit(features[i]).alias("feature1"),
-            F.lit(features[j]).alias("feature2"),
-            F.lit(i).alias("position1"),
-            F.lit(j).alias("position2"),
-            F.col(f"c_{i}_{j}").alias("correlation"),
-        )
-        for i, j in pairs
-    ]
-    return wide.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
-
-
-def _wide_correlation(df: DataFrame, features: list[str], pairs: list) -> DataFrame:
-    """Many columns: one matrix job over the rows without nulls."""
-    assembled = VectorAssembler(
-        inputCols=features, outputCol="_v", handleInvalid="skip"
-    ).transform(df.select(*features))
-    matrix = Correlation.corr(assembled, "_v").first()[0].toArray()
-    found = [(features[i], features[j], i, j, float(matrix[i, j])) for i, j in pairs]
+    pairs = list(combinations(features, 2))
+    values = _correlations(df, pairs, column_spread(df, features))
+    rows = [(a, b, values[a, b]) for a, b in pairs]
     return df.sparkSession.createDataFrame(
-        found,
-        "feature1 string, feature2 string, position1 int, position2 int, correlation double",
+        rows, "feature1 string, feature2 string, correlation double"
     )
 
 
@@ -94,15 +103,11 @@ def correlated_features(matrix: DataFrame, limit: float = CORRELATION_LIMIT) ->
 
 
 def feature_importance(df: DataFrame, features: list[str], label: str = "isFraud") -> DataFrame:
-    """Absolute correlation with the label, all features in one job."""
+    """Absolute correlation with the label; 0 where there is none."""
     spread = column_spread(df, [*features, label])
-    wide = df.agg(*[pearson(c, label, spread).alias(f"importance_{c}") for c in features])
-    tall = unpivot_one_row(wide, features, {"importance": "double"})
-    return tall.select(
-        F.col("column_name").alias("feature"),
-        "position",
-        F.abs(F.coalesce("importance", F.lit(0.0))).alias("importance"),
-    )
+    values = _correlations(df, [(c, label) for c in features], spread)
+    rows = [(c, i, abs(values[c, label] or 0.0)) for i, c in enumerate(features)]
+    return df.sparkSession.createDataFrame(rows, "feature string, position int, importance double")
 
 
 def select_features(
@@ -117,24 +122,15 @@ def select_features(
 
     Columns of low variance go first; then the second column of each strongly
     correlated pair of kept columns; the rest is ranked by label correlation,
-    ties in column order. Two passes over the rows; what comes back between them
-    is one number per column or pair of columns.
+    ties in column order. What comes back from the passes over the rows is one
+    number per column or pair of columns.
     """
     spread = column_spread(df, [*features, label])
     kept = [c for c in features if spread[c][1] >= min_variance]
-    pairs = list(combinations(kept, 2)) if len(kept) <= MAX_PAIRWISE_COLUMNS else []
-    found = df.agg(
-        F.lit(0).alias("_"),
-        *[pearson(c, label, spread).alias(f"label_{c}") for c in features],
-        *[pearson(a, b, spread).alias(f"pair_{a}_{b}") for a, b in pairs],
-    ).first()
-    strength = {(a, b): found[f"pair_{a}_{b}"] for a, b in pairs}
-    if not pairs and len(kept) > 1:
-        matrix = _wide_correlation(df, kept, list(combinations(range(len(kept)), 2)))
-        strength = {(r.feature1, r.feature2): r.correlation for r in matrix.collect()}
+    strength = _correlations(df, list(combinations(kept, 2)), spread)
     dropped = {b for (_, b), r in strength.items() if r is not None and abs(r) >= max_correlation}
-
-    importance = {c: abs(found[f"label_{c}"] or 0.0) for c in features}
+    with_label = _correlations(df, [(c, label) for c in features], spread)
+    importance = {c: abs(with_label[c, label] or 0.0) for c in features}
     ranked = sorted((c for c in kept if c not in dropped), key=lambda c: -importance[c])
     rank = {c: i for i, c in enumerate(ranked, start=1)}
 

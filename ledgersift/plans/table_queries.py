@@ -472,7 +472,7 @@ def feature_variance(spark, sf_dir):
 )
 def correlation_matrix(spark, sf_dir):
     matrix = E.correlation_matrix(V.transactions(spark, sf_dir), _FEATURES)
-    return rounded(matrix.select("feature1", "feature2", "correlation"), correlation=6)
+    return rounded(matrix, correlation=6)
 
 
 @query(

@@ -165,8 +165,27 @@ def test_selection(spark):
     assert E.apply_selection(df, E.select_features(df, names)).columns == ["a", "noise", "isFraud"]
     pairs = {(r.feature1, r.feature2): r.correlation for r in E.correlation_matrix(df, names).collect()}
     assert pairs["a", "twice"] == pytest.approx(1.0) and pairs["a", "flat"] is None
-    wide = E._wide_correlation(df, names[:2], [(0, 1)]).first()
-    assert wide.correlation == pytest.approx(1.0)
+
+
+def test_many_correlations(spark, monkeypatch):
+    """The matrix job and the passes with nulls give what one aggregate gives."""
+    rng = random.Random(2)
+    names = list("abcdef")
+    rows = [[rng.random() for _ in names[:-1]] + [1.0] for _ in range(200)]
+    holes = [[None if (i + j) % 9 == 0 else v for j, v in enumerate(r)] for i, r in enumerate(rows)]
+    for data in (rows, holes):
+        df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in names))
+        want = {(r[0], r[1]): r[2] for r in E.correlation_matrix(df, names).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(E, "PAIRS_PER_PASS", 4)
+            got = {(r[0], r[1]): r[2] for r in E.correlation_matrix(df, names).collect()}
+        assert want.keys() == got.keys()
+        for pair, value in want.items():
+            if value is None:
+                assert got[pair] is None, pair
+            else:
+                assert got[pair] == pytest.approx(value, abs=1e-9), pair
+        assert want["a", "f"] is None
 
 
 def test_drift(spark, tmp_path, make_tx):
