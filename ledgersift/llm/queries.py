@@ -1,7 +1,10 @@
 """All registered text queries."""
 
 from ledgersift.llm import (  # noqa: F401  (imported for their registrations)
+    license_scan,
+    line_dedup,
     quality_rules,
+    secret_scan,
     url_filter,
 )
 from ledgersift.llm.common import CHECKS, QUERIES

@@ -70,20 +70,16 @@ def _shrunk(level: DataFrame, key: str, parent: str, up: DataFrame | None) -> Da
     beyond what their sizes explain: wide apart, a light prior; alike, a heavy one.
     """
     pages, bad = F.sum("pages").cast("double"), F.sum("bad").cast("double")
-    if up is None:
-        spread = level.agg(
-            pages.alias("p_pages"), bad.alias("p_bad"), F.count(F.lit(1)).cast("double").alias("p_n"),
-            F.sum(F.col("pages") * F.col("pages")).cast("double").alias("p_sq"),
-            F.sum(F.col("bad") * F.col("bad") / F.col("pages")).alias("p_dev"),
-        ).withColumn("centre", (F.col("p_bad") + 1.0) / (F.col("p_pages") + 2.0))
-        joined = level.join(F.broadcast(spread))  # one row
+    spread = level.groupBy(parent).agg(
+        pages.alias("p_pages"), bad.alias("p_bad"), F.count(F.lit(1)).cast("double").alias("p_n"),
+        F.sum(F.col("pages") * F.col("pages")).cast("double").alias("p_sq"),
+        F.sum(F.col("bad") * F.col("bad") / F.col("pages")).alias("p_dev"),
+    )
+    if up is None:  # the root: all pages, with one good and one bad page added
+        spread = spread.withColumn("centre", (F.col("p_bad") + 1.0) / (F.col("p_pages") + 2.0))
     else:
-        spread = level.groupBy(parent).agg(
-            pages.alias("p_pages"), bad.alias("p_bad"), F.count(F.lit(1)).cast("double").alias("p_n"),
-            F.sum(F.col("pages") * F.col("pages")).cast("double").alias("p_sq"),
-            F.sum(F.col("bad") * F.col("bad") / F.col("pages")).alias("p_dev"),
-        )
-        joined = level.join(spread, parent).join(up.select(F.col("key").alias(parent), F.col("mean").alias("centre")), parent)
+        spread = spread.join(up.select(F.col("key").alias(parent), F.col("mean").alias("centre")), parent)
+    joined = level.join(spread, parent)
     mu = F.col("p_bad") / F.col("p_pages")
     within = mu * (1.0 - mu)
     between = F.col("p_dev") - F.col("p_pages") * mu * mu  # sum of n (share - mu)^2
@@ -115,7 +111,7 @@ def reputation(outcomes: DataFrame, limit: float = BAD_SHARE) -> DataFrame:
     )
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"))
-    by_suffix = _shrunk(suffixes, "suffix", "", None)
+    by_suffix = _shrunk(suffixes.withColumn("root", F.lit("")), "suffix", "root", None)
     by_domain = _shrunk(domains, "domain", "suffix", by_suffix)
     by_host = _shrunk(hosts, "host", "domain", by_domain)
     return by_host.select(F.col("key").alias("host"), _blocked(F.col("mean"), F.col("evidence"), limit).alias("blocked"))
