@@ -33,16 +33,17 @@ LEAST_VALUE = 6
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 FALSE_RATE = 0.05
 
-#: (encoding, what its tokens look like, alphabet, equal parts for the chi-squared test)
+#: (encoding, what its tokens look like, alphabet, sizes of the parts for the chi-squared test)
 ENCODINGS = (
-    ("hex", r"^(?=[^0-9]*[0-9])(?=[^a-f]*[a-f])[0-9a-f]+$", "0123456789abcdef", 8),
-    ("base32", r"^(?=[^2-7]*[2-7])(?=[^A-Z]*[A-Z])[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 8),
-    ("base36", r"^(?=[^0-9]*[0-9])(?=[^a-z]*[a-z])[0-9a-z]+$", "0123456789abcdefghijklmnopqrstuvwxyz", 6),
+    ("hex", r"^(?=[^0-9]*[0-9])(?=[^a-f]*[a-f])[0-9a-f]+$", "0123456789abcdef", (2,) * 8),
+    ("base32", r"^(?=[^2-7]*[2-7])(?=[^A-Z]*[A-Z])[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", (13, 13, 6)),
+    ("base36", r"^(?=[^0-9]*[0-9])(?=[^a-z]*[a-z])[0-9a-z]+$", "0123456789abcdefghijklmnopqrstuvwxyz", (10, 13, 13)),
     (
         "base64", r"^(?=[^0-9]*[0-9])(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z])[A-Za-z0-9+/_-]+$",
-        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 8,
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", (26, 26, 12),
     ),
 )
+MOST_PARTS = max(len(parts) for _, _, _, parts in ENCODINGS)
 
 
 def _found(text: Column, pattern: str) -> tuple[Column, Column]:
@@ -62,15 +63,20 @@ def _spans(found: str, gaps: str, rank: int) -> Column:
     )
 
 
+def _named(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _above(z: Column) -> Column:
     """Upper tail of the normal distribution, by a logistic form (error below 2e-4)."""
-    bound = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), 1.5976 * z + 0.07056 * z * z * z))
-    return 1.0 / (1.0 + F.exp(bound))
+    bound = lambda x: F.greatest(F.lit(-30.0), F.least(F.lit(30.0), x * (1.5976 + 0.07056 * x * x)))
+    return _named(z, lambda x: 1.0 / (1.0 + F.exp(bound(x))))
 
 
-def _chi_tail(x: Column, df: Column | float) -> Column:
+def _chi_tail(x: Column, df: Column) -> Column:
     """Upper tail of chi-squared, by the cube-root form."""
-    spread = F.lit(2.0) / (9.0 * df) if not isinstance(df, float) else F.lit(2.0 / (9.0 * df))
+    spread = F.lit(2.0) / (9.0 * df)
     return _above((F.pow(x / df, F.lit(1.0 / 3.0)) - (1.0 - spread)) / F.sqrt(spread))
 
 
@@ -79,13 +85,22 @@ def _sum(values: Column) -> Column:
 
 
 def _values(token: Column) -> Column:
-    """Struct of the token's symbols as numbers, the alphabet's size and its parts; null without encoding."""
+    """Struct of the token's symbols as numbers, the alphabet's size, the part of each number
+    and the parts' shares; null without encoding."""
     plain = F.translate(token, "-_", "+/")
     choice = None
+
+    def numbered(alphabet: str) -> Column:
+        return F.transform(F.split(plain, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
+
     for _, looks, alphabet, parts in ENCODINGS:
-        numbers = F.transform(F.split(plain, ""), lambda c, a=alphabet: F.instr(F.lit(a), c) - 1)
+        numbers = numbered(alphabet)
+        part_of = [k for k, width in enumerate(parts) for _ in range(width)]
         row = F.struct(
-            F.filter(numbers, lambda v: v >= 0).alias("v"), F.lit(float(len(alphabet))).alias("size"), F.lit(float(parts)).alias("parts")
+            F.filter(numbers, lambda v: v >= 0).alias("v"),
+            F.lit(float(len(alphabet))).alias("size"),
+            F.array(*map(F.lit, part_of)).alias("part_of"),
+            F.array(*[F.lit(width / len(alphabet)) for width in parts]).alias("shares"),
         )
         choice = F.when(token.rlike(looks), row) if choice is None else choice.when(token.rlike(looks), row)
     return choice
@@ -93,9 +108,9 @@ def _values(token: Column) -> Column:
 
 def _summary(row: Column) -> Column:
     """One pass over the symbols: the sums and counts that the tests need."""
-    size, parts = row["size"], row["parts"]
+    size = row["size"]
     zero = lambda name: F.lit(0.0).alias(name)
-    bins = [f"c{k}" for k in range(8)]
+    bins = [f"c{k}" for k in range(MOST_PARTS)]
     start = F.struct(*[zero(x) for x in ("n", "sum", "squares", "products", "first", "last", "high", "runs", *bins)])
 
     def step(a: Column, v: Column) -> Column:
@@ -108,34 +123,40 @@ def _summary(row: Column) -> Column:
             "first": F.when(begun, a["first"]).otherwise(x), "last": x,
             "high": a["high"] + up.cast("double"), "runs": a["runs"] + turned.cast("double"),
         }
-        fields |= {c: a[c] + (F.floor(x * parts / size) == k).cast("double") for k, c in enumerate(bins)}
+        fields |= {c: a[c] + (F.get(row["part_of"], v) == k).cast("double") for k, c in enumerate(bins)}
         return F.struct(*[value.alias(name) for name, value in fields.items()])
 
-    return F.aggregate(row["v"], start, step, lambda a: F.struct(a.alias("s"), size.alias("size"), parts.alias("parts")))
+    return F.aggregate(row["v"], start, step, lambda a: F.struct(a.alias("s"), row["shares"].alias("shares")))
 
 
 def _p_random(summary: Column) -> Column:
     """Fisher's combination of the three tests."""
-    s, parts = summary["s"], summary["parts"]
+    s, shares = summary["s"], summary["shares"]
     n = F.greatest(s["n"], F.lit(2.0))
-    expected = n / parts
-    counts = [F.when(F.lit(float(k)) < parts, (s[f"c{k}"] - expected) * (s[f"c{k}"] - expected) / expected).otherwise(0.0) for k in range(8)]
-    p_chi = _chi_tail(sum(counts[1:], counts[0]), parts - 1.0)
-
-    high, low = s["high"], n - s["high"]
-    mean_runs = 2.0 * high * low / n + 1.0
-    var_runs = (mean_runs - 1.0) * (mean_runs - 2.0) / (n - 1.0)
-    z_runs = (s["runs"] - mean_runs) / F.sqrt(F.greatest(var_runs, F.lit(1e-9)))
-    p_runs = F.when(var_runs > 0, 2.0 * _above(F.abs(z_runs))).otherwise(F.lit(0.0))
-
-    mean = s["sum"] / n
-    around = s["squares"] - n * mean * mean
-    along = s["products"] - mean * (2.0 * s["sum"] - s["first"] - s["last"]) + (n - 1.0) * mean * mean
-    z_serial = along / F.greatest(around, F.lit(1e-9)) * F.sqrt(n) + 1.0 / F.sqrt(n)
-    p_serial = F.when(around > 0, 2.0 * _above(F.abs(z_serial))).otherwise(F.lit(0.0))
-
-    bounded = lambda p: F.greatest(F.lit(1e-12), F.least(F.lit(1.0), p))
-    return _chi_tail(-2.0 * (F.ln(bounded(p_chi)) + F.ln(bounded(p_runs)) + F.ln(bounded(p_serial))), 6.0)
+    counts = F.array(*[s[f"c{k}"] for k in range(MOST_PARTS)])
+    # the sum of (c - n * share)^2 / (n * share) over the encoding's parts
+    parts = F.transform(shares, lambda share, k: F.get(counts, k) * F.get(counts, k) / (n * share))
+    chi = F.greatest(_sum(parts) - n, F.lit(0.0))
+
+    def runs(high: Column) -> Column:
+        mean = 2.0 * high * (n - high) / n + 1.0
+        return F.struct(mean.alias("mean"), ((mean - 1.0) * (mean - 2.0) / (n - 1.0)).alias("var"))
+
+    z_runs = lambda r: (s["runs"] - r["mean"]) / F.sqrt(F.greatest(r["var"], F.lit(1e-9)))
+    p_runs = _named(runs(s["high"]), lambda r: F.when(r["var"] > 0, 2.0 * _above(F.abs(z_runs(r)))).otherwise(F.lit(0.0)))
+
+    def serial(mean: Column) -> Column:
+        around = s["squares"] - n * mean * mean
+        along = s["products"] - mean * (2.0 * s["sum"] - s["first"] - s["last"]) + (n - 1.0) * mean * mean
+        return F.struct(around.alias("around"), along.alias("along"))
+
+    z_serial = lambda r: r["along"] / F.greatest(r["around"], F.lit(1e-9)) * F.sqrt(n) + 1.0 / F.sqrt(n)
+    p_serial = _named(
+        _named(s["sum"] / n, serial),
+        lambda r: F.when(r["around"] > 1e-9, 2.0 * _above(F.abs(z_serial(r)))).otherwise(F.lit(0.0)),
+    )
+    log = lambda p: F.ln(F.greatest(F.lit(1e-12), F.least(F.lit(1.0), p)))
+    return _chi_tail(-2.0 * (log(_chi_tail(chi, F.size(shares) - 1.0)) + log(p_runs) + log(p_serial)), F.lit(6.0))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -41,7 +41,7 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, "^(?s:.*?)://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(url, "^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def _by_rule(rules: tuple) -> tuple[Column, Column]:
@@ -162,7 +162,7 @@ _FITS = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'
 _SQL = rf"""
 WITH parts AS (SELECT page_id, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-  coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*(/[^?#]*)', 1), '') AS path,
+  coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path,
   TRY_CAST(nullif(regexp_extract(url, '/(\d{{1,18}})(?:[./?#]|$)', 1), '') AS BIGINT) AS number FROM pages),
 judged AS (SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
 hosts AS (SELECT host, regexp_extract(host, '([^.]*\.)?[^.]*$', 0) AS domain, regexp_extract(host, '[^.]*$', 0) AS suffix,
