@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 import ledgersift.llm as package
 from ledgersift.session import work_path
@@ -14,6 +17,9 @@ from ledgersift.session import work_path
 # Functions sent to executors travel by value, so executors need no copy of the library.
 cloudpickle.register_pickle_by_value(package)
 
+#: Text of one call of a ``map_texts`` function, but for a single longer text.
+SLICE_BYTES = 8 << 20
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
@@ -41,6 +47,39 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_texts(
+    df: DataFrame, keep: list[str], compute: Callable[[list], dict], added: str, text_col: str = "text"
+) -> DataFrame:
+    """Columns computed from the texts of an Arrow batch, beside the columns ``keep`` unchanged.
+
+    ``compute`` gets the texts of some rows (None for null) and returns a list or array for
+    each column of the schema string ``added``. Rows are handed on in slices of bounded
+    text, so one batch of long texts does not multiply in memory.
+    """
+    spark = df.sparkSession
+    fields = spark.createDataFrame([], added).schema
+    schema = T.StructType([df.schema[c] for c in keep] + fields.fields)
+    kinds = to_arrow_schema(fields)
+    names = [f.name for f in schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_col)
+            at = 0
+            while at < batch.num_rows:
+                end, size = at, 0
+                while end < batch.num_rows and (size < SLICE_BYTES or end == at):
+                    size += texts[end].as_buffer().size if texts[end].is_valid else 0
+                    end += 1
+                part = batch.slice(at, end - at)
+                new = compute(part.column(text_col).to_pylist())
+                columns = [part.column(c) for c in keep] + [pa.array(new[f.name], type=f.type) for f in kinds]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+                at = end
+
+    return df.select(*keep, text_col).mapInArrow(run, schema)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -3,6 +3,7 @@
 from ledgersift.llm import (  # noqa: F401  (imported for their registrations)
     license_scan,
     line_dedup,
+    near_dedup,
     quality_rules,
     secret_scan,
     url_filter,
