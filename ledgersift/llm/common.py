@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _sizes_of(values: pa.Array) -> list[int]:
+    lengths = pc.binary_length(values) if pa.types.is_string(values.type) else pc.list_value_length(values)
+    return lengths.fill_null(0).to_pylist()
+
+
 def map_texts(
     df: DataFrame, keep: list[str], compute: Callable[[list], dict], added: str, text_col: str = "text"
 ) -> DataFrame:
@@ -64,12 +70,12 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text_col)
+            sizes = _sizes_of(batch.column(text_col))
             at = 0
             while at < batch.num_rows:
                 end, size = at, 0
                 while end < batch.num_rows and (size < SLICE_BYTES or end == at):
-                    size += texts[end].as_buffer().size if texts[end].is_valid else 0
+                    size += sizes[end]
                     end += 1
                 part = batch.slice(at, end - at)
                 new = compute(part.column(text_col).to_pylist())

@@ -1,6 +1,7 @@
 """All registered text queries."""
 
 from ledgersift.llm import (  # noqa: F401  (imported for their registrations)
+    bpe,
     license_scan,
     line_dedup,
     near_dedup,
