@@ -83,7 +83,8 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 at = end
 
-    return df.select(*keep, text_col).mapInArrow(run, schema)
+    wanted = list(dict.fromkeys([*keep, text_col]))
+    return df.select(*[F.col(f"`{c}`") for c in wanted]).mapInArrow(run, schema)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from ledgersift.llm import (  # noqa: F401  (imported for their registrations)
     bpe,
+    decontaminate,
     license_scan,
     line_dedup,
     near_dedup,
     quality_rules,
     secret_scan,
+    toxicity,
     url_filter,
 )
 from ledgersift.llm.common import CHECKS, QUERIES
