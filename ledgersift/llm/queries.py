@@ -3,6 +3,7 @@
 from ledgersift.llm import (  # noqa: F401  (imported for their registrations)
     bpe,
     decontaminate,
+    language_id,
     license_scan,
     line_dedup,
     near_dedup,
