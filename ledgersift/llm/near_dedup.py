@@ -14,7 +14,7 @@ itself; beyond that no pairs are made of it:
   no word belongs to more than 65 fingerprints. This is exact and linear.
 * ``near_copies`` compares the nodes of a large key with two of them, the one that has most
   company over all its keys (an original among its copies) and one drawn by hash, which
-  differs from key to key; each node has about 85 keys.
+  differs from key to key; each node has about 106 keys.
 
 Defined results: null text counts as empty; texts without words share fingerprint zero
 and are linked; a null id counts as the largest and is never a component's id unless all
@@ -37,8 +37,8 @@ from ledgersift.llm.components import components
 from ledgersift.llm.golay import segment_keys
 
 PAIRS_UP_TO = 16
-#: Sketch of ``near_copies``: segments of 21 bits from six 64-bit hashes of each long word.
-SEGMENTS, SEGMENT_BITS, SKETCH_HASHES, LONG_WORD = 16, 21, 6, 5
+#: Sketch of ``near_copies``: segments of 21 bits from four 128-bit hashes of each long word.
+SEGMENTS, SEGMENT_BITS, SKETCH_HASHES, LONG_WORD = 20, 21, 4, 5
 
 
 def ascii_words(text: str | None) -> list[bytes]:
@@ -87,18 +87,15 @@ def _parts_of(word: np.ndarray) -> np.ndarray:
 
 
 def _sizes(keys: DataFrame) -> DataFrame:
-    """Keys with company: (key, n, low, high)."""
-    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"))
-    return counted.where("n > 1")
+    """Keys with company: (key, n)."""
+    return keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def _pairs(keys: DataFrame, sizes: DataFrame) -> DataFrame:
     """(a, b) with a < b for keys of at most PAIRS_UP_TO nodes; may repeat."""
-    twos = sizes.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    some = keys.join(sizes.where(f"n > 2 AND n <= {PAIRS_UP_TO}").select("key"), "key")
+    some = keys.join(sizes.where(f"n <= {PAIRS_UP_TO}").select("key"), "key")
     other = some.select("key", F.col("node").alias("b"))
-    more = some.select("key", F.col("node").alias("a")).join(other, "key").where("a < b").select("a", "b")
-    return twos.unionAll(more)
+    return some.select("key", F.col("node").alias("a")).join(other, "key").where("a < b").select("a", "b")
 
 
 def link_fingerprints(nodes: DataFrame) -> DataFrame:
@@ -138,9 +135,9 @@ def sketch_of(words: list[bytes]) -> bytes:
     """Majority bits over the distinct long words (all words where none is long)."""
     distinct = set(words)
     used = sorted(w for w in distinct if len(w) >= LONG_WORD) or sorted(distinct)
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([[digest(w, seed) for seed in range(SKETCH_HASHES)] for w in used], dtype=">u8")
-    bits = majority_bits(hashes.reshape(-1, SKETCH_HASHES))
+    digest = xxhash.xxh3_128_digest
+    raw = b"".join([digest(w, seed) for w in used for seed in range(SKETCH_HASHES)])
+    bits = majority_bits(np.frombuffer(raw, dtype=">u8").reshape(-1, 2 * SKETCH_HASHES))
     return np.packbits(bits).tobytes()
 
 
@@ -176,9 +173,9 @@ def _sketch_keys(nodes: DataFrame) -> DataFrame:
 def candidate_pairs(nodes: DataFrame) -> DataFrame:
     """Distinct (a, b) of handles that meet at a key."""
     keys = _sketch_keys(nodes)
-    sizes = written(_sizes(keys), "key-sizes")
-    close = _pairs(keys, sizes)
-    large = written(keys.join(sizes.where(f"n > {PAIRS_UP_TO}").select("key", "n"), "key"), "large-keys")
+    shared = written(keys.join(_sizes(keys), "key"), "shared-keys")
+    close = _pairs(shared.select("key", "node"), shared.select("key", "n").distinct())
+    large = shared.where(f"n > {PAIRS_UP_TO}")
     company = large.groupBy("node").agg(F.sum(F.log("n")).alias("company"))
     ranked = large.join(company, "node")
     drawn = F.xxhash64("key", "node")
