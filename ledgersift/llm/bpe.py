@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -34,6 +35,11 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Characters of a leaf; tokens on either side of a window at first; needed agreement.
 LEAF_CHARS, WINDOW_TOKENS, AGREE_TOKENS, AGREE_BYTES = 4096, 16, 3, 24
 
+#: Words whose ids an encoder remembers before it starts afresh.
+KNOWN_WORDS = 400_000
+#: Text encoded at once; lists of ids take several times its size.
+SLICE_BYTES = 2 << 20
+
 
 def byte_symbols() -> dict[str, int]:
     """The printable stand-in of each byte in byte-level vocabularies.
@@ -46,6 +52,21 @@ def byte_symbols() -> dict[str, int]:
     return symbols | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+def _last(text: str) -> str:
+    return text[-1:]
+
+
+def _joined_at_blanks(parts: list[str]) -> list[str]:
+    """Parts of a split at blanks, joined again where a part is empty or ends in white space."""
+    out = [parts[0]]
+    for part in parts[1:]:
+        if not out[-1] or out[-1][-1].isspace():
+            out[-1] += " " + part
+        else:
+            out.append(part)
+    return out
+
+
 class TreeEncoder:
     """Encodes texts of any length; made from the text of a vocabulary file."""
 
@@ -54,6 +75,7 @@ class TreeEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.leaf_chars = leaf_chars
+        self.known: dict[str, tuple] = {}
         symbols = byte_symbols()
         parsed = json.loads(vocabulary)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -62,11 +84,54 @@ class TreeEncoder:
             self.bytes_of[number] = bytes(symbols[c] for c in token)
         for added in parsed["added_tokens"]:
             self.bytes_of[added["id"]] = added["content"].encode()
+        self.numerals = [str(k).encode() for k in range(size)]
         self.length_of = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encoded_leaves(self, leaves: list[str]) -> list[list[int]]:
+        """Leaves by their words: neither a token nor a piece of the pre-tokenizer spans the
+        start of a blank after a visible character, so words encode alone. Known words are
+        looked up; new ones are encoded together, once.
+        """
+        split = [leaf.split(" ") for leaf in leaves]
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        missing: set[str] = set()
+        for k, parts in enumerate(split):
+            new = set(parts[1:]).difference(self.known)
+            if not all(new) or any(map(str.isspace, map(_last, new))) or not parts[0] or parts[0][-1].isspace():
+                split[k] = parts = _joined_at_blanks(parts)
+                new = set(parts[1:]).difference(self.known)
+            missing |= new
+        self._learn([w for w in missing if w and not w[-1].isspace()])
+        ending = [w for w in missing if not w or w[-1].isspace()]  # only at the end of a leaf
+        own = dict(zip(ending, self._ids([" " + w for w in ending])))
+        heads = self._ids([parts[0] for parts in split])
+        get = self.known.__getitem__
+        out = []
+        for head, parts in zip(heads, split):
+            if len(parts) > 1 and parts[-1] in own:
+                middle, last = parts[1:-1], own[parts[-1]]
+            else:
+                middle, last = parts[1:], ()
+            out.append([*head, *chain.from_iterable(map(get, middle)), *last])
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of a blank and each word; a text of them all is cut at the words."""
+        for at in range(0, len(words), 1000):
+            part = words[at : at + 1000]
+            ids = np.array(self._ids(["".join([" " + w for w in part])])[0], dtype=np.int64)
+            ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in part])
+            cuts = np.searchsorted(np.cumsum(self.length_of[ids]), ends, side="left") + 1
+            ids = ids.tolist()
+            first = 0
+            for w, last in zip(part, cuts.tolist()):
+                self.known[w] = tuple(ids[first:last])
+                first = last
+
     def _leaves(self, text: str) -> list[str]:
         """Halves of halves, none longer than a leaf, in order."""
         if len(text) <= self.leaf_chars:
@@ -112,7 +177,7 @@ class TreeEncoder:
             own = self._leaves(text)
             spans.append((len(leaves), len(leaves) + len(own)))
             leaves += own
-        done = self._ids(leaves)
+        done = self._encoded_leaves(leaves)
         out = []
         for first, last in spans:
             level = done[first:last]
@@ -148,7 +213,7 @@ def _map_tokens(docs: DataFrame, path: str | None, leaf_chars: int, compute, add
         encoder = _encoder(shared.value, leaf_chars)
         return compute(encoder, encoder.encode([t or "" for t in texts]))
 
-    return map_texts(docs.select("doc_id", "text"), ["doc_id"], run, added)
+    return map_texts(docs.select("doc_id", "text"), ["doc_id"], run, added, slice_bytes=SLICE_BYTES)
 
 
 def encode(docs: DataFrame, path: str | None = None, leaf_chars: int = LEAF_CHARS) -> DataFrame:
@@ -169,13 +234,14 @@ def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
 
 def digests(docs: DataFrame, path: str | None = None, leaf_chars: int = LEAF_CHARS) -> DataFrame:
     """doc_id, n_tokens, and hashes of the ids and of the text decoded from them."""
-    sha = lambda text: hashlib.sha256(text.encode("utf-8")).hexdigest()
+    sha = lambda raw: hashlib.sha256(raw).hexdigest()
 
     def compute(encoder: TreeEncoder, ids: list[list[int]]) -> dict:
+        numeral = encoder.numerals.__getitem__
         return {
             "n_tokens": [len(x) for x in ids],
-            "ids_sha256": [sha(",".join(map(str, x))) for x in ids],
-            "decoded_sha256": [sha(encoder.decode(x)) for x in ids],
+            "ids_sha256": [sha(b",".join(map(numeral, x))) for x in ids],
+            "decoded_sha256": [sha(encoder.decode(x).encode("utf-8")) for x in ids],
         }
 
     return _map_tokens(docs, path, leaf_chars, compute, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -54,7 +54,12 @@ def _sizes_of(values: pa.Array) -> list[int]:
 
 
 def map_texts(
-    df: DataFrame, keep: list[str], compute: Callable[[list], dict], added: str, text_col: str = "text"
+    df: DataFrame,
+    keep: list[str],
+    compute: Callable[[list], dict],
+    added: str,
+    text_col: str = "text",
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Columns computed from the texts of an Arrow batch, beside the columns ``keep`` unchanged.
 
@@ -74,7 +79,7 @@ def map_texts(
             at = 0
             while at < batch.num_rows:
                 end, size = at, 0
-                while end < batch.num_rows and (size < SLICE_BYTES or end == at):
+                while end < batch.num_rows and (size < slice_bytes or end == at):
                     size += sizes[end]
                     end += 1
                 part = batch.slice(at, end - at)
