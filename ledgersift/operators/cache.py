@@ -42,13 +42,17 @@ def cache_lookup(
     features: tuple[str, ...] = ("amount", "type"),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Look up ``cache_key`` at ``request_ts``; on a miss keep the request's own features."""
-    entries = cache.select("cache_key", "expires_at", F.struct(*features).alias("_cached"))
+    """Look up ``cache_key`` at ``request_ts``; on a miss keep the request's own features.
+
+    An entry serves from the moment it was cached until it expires.
+    """
+    entries = cache.select("cache_key", "cached_at", "expires_at", F.struct(*features).alias("_cached"))
     joined = left_join_lookup(requests, entries, "cache_key", request_id, hot_rows=hot_rows)
-    hit = F.coalesce(F.col("expires_at") > F.col("request_ts"), F.lit(False))
+    valid = (F.col("cached_at") <= F.col("request_ts")) & (F.col("expires_at") > F.col("request_ts"))
+    hit = F.coalesce(valid, F.lit(False))
     merged = {c: F.when(F.col("cache_hit"), F.col("_cached")[c]).otherwise(F.col(c)) for c in features}
     return (
-        joined.withColumn("cache_hit", hit).withColumns(merged).drop("_cached", "expires_at")
+        joined.withColumn("cache_hit", hit).withColumns(merged).drop("_cached", "cached_at", "expires_at")
     )
 
 
@@ -65,20 +69,26 @@ def cache_hit_stats(lookups: DataFrame) -> DataFrame:
 
 
 def glob_to_regex(pattern: str) -> str:
-    """Key pattern with ``*``, ``?`` and ``[...]`` as an anchored regular expression."""
-    out, inside = "", False
-    for ch in pattern:
-        if inside:
-            out += ch
-            inside = ch != "]"
-        elif ch == "[":
-            out += ch
-            inside = True
+    """Key pattern with ``*``, ``?`` and ``[...]`` as an anchored regular expression.
+
+    A backslash makes the next character plain; a bracket that is never closed is plain too.
+    """
+    out, at = "", 0
+    plain = lambda ch: "\\" + ch if not ch.isalnum() and ch.isascii() else ch
+    while at < len(pattern):
+        ch, at = pattern[at], at + 1
+        if ch == "\\" and at < len(pattern):
+            out, at = out + plain(pattern[at]), at + 1
+        elif ch == "[" and (end := pattern.find("]", at + 1)) > 0:
+            negated = pattern[at] in "^!"
+            members = pattern[at + negated : end]
+            out += "[" + "^" * negated + "".join(c if c == "-" else plain(c) for c in members) + "]"
+            at = end + 1
         elif ch in "*?":
             out += ".*" if ch == "*" else "."
         else:
-            out += "\\" + ch if ch in r"\.^$|+(){}]" else ch
-    return f"^{out}$"
+            out += plain(ch)
+    return f"^(?s:{out})$"
 
 
 def cache_invalidate(cache: DataFrame, pattern: str) -> DataFrame:

@@ -40,7 +40,9 @@ def load_baseline(spark: SparkSession, path: str) -> DataFrame | None:
     """Stored statistics, or None when there are none."""
     try:
         return spark.read.schema(STATISTICS_SCHEMA).json(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

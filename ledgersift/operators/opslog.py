@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgersift.operators.analytics import ratio, rows
-from ledgersift.operators.quantiles import SMALL_ROWS, exact_quantiles
+from ledgersift.operators.quantiles import exact_quantiles
 
 FAILED_LATENCY_MS = 9999.0
 
@@ -20,22 +20,13 @@ METRIC_LIMITS = (
 _QUANTILES = (("median_latency_ms", 0.5), ("p95_latency_ms", 0.95), ("p99_latency_ms", 0.99))
 
 
-def latency_summary(
-    log: DataFrame, max_mean_ms: float = 100.0, small_rows: int = SMALL_ROWS
-) -> DataFrame:
-    """Mean, maximum and exact quantiles of response time; no answer counts as 9999 ms.
-
-    A short log uses the built-in percentile; a longer one finds the quantiles by
-    narrowing, because that aggregate would hold every value in one task.
-    """
+def latency_summary(log: DataFrame, max_mean_ms: float = 100.0, **settings: int) -> DataFrame:
+    """Mean, maximum and exact quantiles of response time; no answer counts as 9999 ms."""
     filled = log.select(
         F.coalesce(F.col("response_time_ms"), F.lit(FAILED_LATENCY_MS)).alias("ms")
     )
-    if filled.limit(small_rows + 1).count() <= small_rows:
-        quantiles = [F.percentile("ms", F.lit(p)).alias(name) for name, p in _QUANTILES]
-    else:
-        exact = exact_quantiles(filled, "ms", [p for _, p in _QUANTILES])
-        quantiles = [F.lit(v).alias(name) for (name, _), v in zip(_QUANTILES, exact)]
+    exact = exact_quantiles(filled, "ms", [p for _, p in _QUANTILES], **settings)
+    quantiles = [F.lit(v).cast("double").alias(name) for (name, _), v in zip(_QUANTILES, exact)]
     summary = filled.agg(
         F.avg("ms").alias("avg_latency_ms"), F.max("ms").alias("max_latency_ms"), *quantiles
     )
@@ -109,10 +100,15 @@ def minute_volume(events: DataFrame, time: str = "ts") -> DataFrame:
     minute = F.window(time, "1 minute")["start"]
     counted = events.select(minute.alias("minute")).groupBy("minute").agg(rows().alias("volume"))
     bounds = counted.agg(F.min("minute").alias("first"), F.max("minute").alias("last"))
-    # One element per minute of the covered time span.
-    spine = bounds.select(
-        F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MINUTE"))).alias("minute")
-    )
+    kind = counted.schema["minute"].dataType
+    # One row has only the days of the covered span; their minutes come out in many tasks.
+    first_day, last_day = F.to_date("first").cast(kind), F.to_date("last").cast(kind)
+    days = bounds.select(
+        "first", "last", F.explode(F.sequence(first_day, last_day, F.expr("INTERVAL 1 DAY"))).alias("day")
+    ).repartition("day")
+    start = F.greatest("day", "first")
+    end = F.least(F.col("day") + F.expr("INTERVAL 1439 MINUTE"), "last")
+    spine = days.select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MINUTE"))).alias("minute"))
     return spine.join(counted, "minute", "left").select(
         "minute", F.coalesce("volume", F.lit(0)).alias("volume")
     )

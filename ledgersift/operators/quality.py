@@ -270,12 +270,13 @@ def negative_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return unpivot_one_row(wide, chosen, {"negative_count": "bigint"}).drop("position")
 
 
-def run_all_checks(df: DataFrame) -> DataFrame:
+def run_all_checks(df: DataFrame, ids: tuple[str, ...] = ("tx_id",)) -> DataFrame:
     """Null, duplicate, balance and outlier checks, one row each.
 
-    Three passes: means and deviations, all counts, and the duplicate groups.
+    Outliers are sought in every numeric column but ``ids``. Three passes: means and
+    deviations, all counts, and the duplicate groups.
     """
-    outliers = _outlier_checks(df, numeric_columns(df)[:5], 3.0)
+    outliers = _outlier_checks(df, numeric_columns(df, ids), 3.0)
     counted = run_checks(df, [_null_check(df), _balance_check(), *outliers])
     return counted.unionByName(check_duplicates(df))
 

@@ -3,42 +3,29 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import isnan
+from math import isfinite, sqrt
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ledgersift.operators.quality import unpivot_one_row
 
 VARIANCE_FLOOR = 0.01
 CORRELATION_LIMIT = 0.95
-# Correlations one aggregate can hold before its generated code is too long to be compiled.
-PAIRS_PER_PASS = 15
+def _number(column: str) -> Column:
+    """The column as double; NaN counts as missing."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
 
 
-def column_spread(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, float]]:
-    """Nulls and sample variance of each column: one job, one row brought back."""
-    parts = {"nulls": lambda c: F.count_if(F.col(c).isNull()), "variance": F.var_samp}
-    row = df.agg(*[f(c).alias(f"{m}_{c}") for c in columns for m, f in parts.items()]).first()
-    return {c: (row[f"nulls_{c}"], row[f"variance_{c}"] or 0.0) for c in columns}
+def column_spread(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
+    """Mean and sample variance of each column, 0 where there is none; NaN counts as missing.
 
-
-def pearson(a: str, b: str, spread: dict[str, tuple[int, float]]) -> Column:
-    """Correlation over the rows where both are present; null where one is constant.
-
-    The built-in ``corr`` divides by zero on a constant, an error in ANSI mode. So
-    it serves columns known to vary everywhere; columns with nulls might be
-    constant on the rows they share, which the longer form allows for.
+    One job, one row brought back.
     """
-    if not spread[a][1] or not spread[b][1]:
-        return F.lit(None).cast("double")
-    if not spread[a][0] and not spread[b][0]:
-        return F.corr(a, b)
-    x, y = F.col(a), F.col(b)
-    widths = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), widths)
+    parts = {"mean": F.avg, "variance": F.var_samp}
+    row = df.agg(*[f(_number(c)).alias(f"{m}_{c}") for c in columns for m, f in parts.items()]).first()
+    return {c: (row[f"mean_{c}"] or 0.0, row[f"variance_{c}"] or 0.0) for c in columns}
 
 
 def feature_variance(
@@ -56,34 +43,44 @@ def feature_variance(
 
 
 def _correlations(
-    df: DataFrame, pairs: list[tuple[str, str]], spread: dict[str, tuple[int, float]]
+    df: DataFrame, pairs: list[tuple[str, str]], spread: dict[str, tuple[float, float]]
 ) -> dict[tuple[str, str], float | None]:
-    """Correlation of each pair of columns, as numbers.
+    """Correlation of each pair of columns over the rows where both are present.
 
-    Few pairs are one aggregate. Many pairs of columns without nulls are one
-    matrix job; with nulls, which drop out pair by pair, they take several passes.
+    One scan for any number of pairs: each row gives one short row per pair, and the
+    sums of products combine before the shuffle. Values are taken from the column's mean,
+    so the sums keep their digits. NaN counts as missing; a column that is constant on the
+    shared rows, or infinite there, has no correlation (None).
     """
-    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    if len(pairs) > PAIRS_PER_PASS and not any(spread[c][0] for c in columns):
-        return _matrix_correlations(df, columns, pairs)
-    found: dict[tuple[str, str], float | None] = {}
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        part = pairs[start : start + PAIRS_PER_PASS]
-        row = df.agg(
-            F.lit(0).alias("_"), *[pearson(a, b, spread).alias(f"{a}|{b}") for a, b in part]
-        ).first()
-        found |= {(a, b): row[f"{a}|{b}"] for a, b in part}
+    if not pairs:
+        return {}
+    shifted = {c: _number(c) - F.lit(float(spread[c][0])) for pair in pairs for c in pair}
+    entries = [
+        F.struct(F.lit(i).alias("pair"), shifted[a].alias("x"), shifted[b].alias("y"))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    tall = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    both = tall.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    x, y = F.col("x"), F.col("y")
+    sums = both.groupBy("pair").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(x).alias("x"), F.sum(y).alias("y"),
+        F.sum(x * x).alias("xx"), F.sum(y * y).alias("yy"), F.sum(x * y).alias("xy"),
+    )
+    found: dict[tuple[str, str], float | None] = dict.fromkeys(pairs)
+    for row in sums.collect():  # one row per pair
+        found[pairs[row["pair"]]] = _pearson(row)
     return found
 
 
-def _matrix_correlations(
-    df: DataFrame, columns: list[str], pairs: list[tuple[str, str]]
-) -> dict[tuple[str, str], float | None]:
-    assembled = VectorAssembler(inputCols=columns, outputCol="_v").transform(df.select(*columns))
-    matrix = Correlation.corr(assembled, "_v").first()[0].toArray()
-    at = {c: i for i, c in enumerate(columns)}
-    values = {(a, b): float(matrix[at[a], at[b]]) for a, b in pairs}
-    return {pair: None if isnan(r) else r for pair, r in values.items()}
+def _pearson(row: Row) -> float | None:
+    n = row["n"]
+    wide = row["xx"] - row["x"] * row["x"] / n
+    high = row["yy"] - row["y"] * row["y"] / n
+    # what is left of a constant column is rounding
+    if not (wide > 1e-12 * row["xx"] and high > 1e-12 * row["yy"]):
+        return None
+    r = (row["xy"] - row["x"] * row["y"] / n) / sqrt(wide * high)
+    return max(-1.0, min(1.0, r)) if isfinite(r) else None
 
 
 def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:

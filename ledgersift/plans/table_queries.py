@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgersift.functions import features as X
 from ledgersift.operators import analytics as A
 from ledgersift.operators import drift as D
 from ledgersift.operators import layout as L
@@ -289,7 +290,7 @@ def negative_counts(spark, sf_dir):
 
 
 _ALL_CHECKS = f"""_checks AS ({_union([_NULLS_SQL, _DUPS_SQL, _BALANCE_SQL,
-    *[_outlier_sql(c) for c in _NUMERIC[:5]]])})"""
+    *[_outlier_sql(c) for c in _NUMERIC if c != 'tx_id']])})"""
 
 
 @query(
@@ -436,18 +437,48 @@ def drift_summary(spark, sf_dir):
     return D.drift_summary(_alerts(spark, sf_dir))
 
 
-_VARIANCE = "_variance AS (" + _union(
-    f"SELECT '{c}' AS feature, {i} AS position, coalesce(var_samp({c}), 0e0) AS variance FROM transactions"
-    for i, c in enumerate(_FEATURES)
+# The table that features are selected from: raw and derived columns, one of them with gaps.
+_DERIVED_SQL = """_features AS (SELECT *,
+  CASE WHEN oldbalanceOrg > 0 THEN amount / oldbalanceOrg ELSE 0e0 END AS ratio_guarded,
+  amount / greatest(oldbalanceOrg, 1e0) AS ratio_floor1,
+  CASE WHEN amount > 100000 THEN 1 ELSE 0 END AS is_large_amount,
+  newbalanceOrig - oldbalanceOrg AS balance_change_orig,
+  newbalanceDest - oldbalanceDest AS balance_change_dest,
+  CASE WHEN newbalanceOrig = 0 THEN 1 ELSE 0 END AS is_zero_balance_orig,
+  CASE WHEN tx_id % 97 = 0 THEN NULL ELSE amount END AS known_amount FROM transactions)"""
+
+
+def _feature_table(spark, sf_dir):
+    gaps = F.when(F.col("tx_id") % 97 != 0, F.col("amount"))
+    return V.transactions(spark, sf_dir).withColumns(
+        {
+            "ratio_guarded": X.amount_ratio("guarded"),
+            "ratio_floor1": X.amount_ratio("floor1"),
+            "is_large_amount": X.is_large_amount(),
+            "balance_change_orig": X.balance_change_orig(),
+            "balance_change_dest": X.balance_change_dest(),
+            "is_zero_balance_orig": X.is_zero_balance_orig(),
+            "known_amount": gaps,
+        }
+    )
+
+
+_SELECTABLE = [
+    *_FEATURES, "ratio_guarded", "ratio_floor1", "is_large_amount", "balance_change_orig",
+    "balance_change_dest", "is_zero_balance_orig", "known_amount",
+]
+_VARIANCE = f"{_DERIVED_SQL}, _variance AS (" + _union(
+    f"SELECT '{c}' AS feature, {i} AS position, coalesce(var_samp({c}), 0e0) AS variance FROM _features"
+    for i, c in enumerate(_SELECTABLE)
 ) + ")"
 _CORRELATION = "_corr AS (" + _union(
-    f"SELECT '{a}' AS feature1, '{b}' AS feature2, corr({a}, {b}) AS r FROM transactions"
-    for i, a in enumerate(_FEATURES)
-    for b in _FEATURES[i + 1 :]
+    f"SELECT '{a}' AS feature1, '{b}' AS feature2, corr({a}, {b}) AS r FROM _features"
+    for i, a in enumerate(_SELECTABLE)
+    for b in _SELECTABLE[i + 1 :]
 ) + ")"
 _IMPORTANCE = "_importance AS (" + _union(
-    f"SELECT '{c}' AS feature, coalesce(abs(corr({c}, isFraud)), 0e0) AS importance FROM transactions"
-    for c in _FEATURES
+    f"SELECT '{c}' AS feature, coalesce(abs(corr({c}, isFraud)), 0e0) AS importance FROM _features"
+    for c in _SELECTABLE
 ) + ")"
 
 
@@ -460,42 +491,42 @@ _IMPORTANCE = "_importance AS (" + _union(
     ),
 )
 def feature_variance(spark, sf_dir):
-    found = E.feature_variance(V.transactions(spark, sf_dir), _FEATURES).drop("position")
+    found = E.feature_variance(_feature_table(spark, sf_dir), _SELECTABLE).drop("position")
     return rounded(found, variance=2)
 
 
 @query(
     "correlation_matrix",
     with_tables(
-        f", {_CORRELATION} SELECT feature1, feature2, round(r, 6) AS correlation FROM _corr", _TX
+        f", {_DERIVED_SQL}, {_CORRELATION} SELECT feature1, feature2, round(r, 6) AS correlation FROM _corr", _TX
     ),
 )
 def correlation_matrix(spark, sf_dir):
-    matrix = E.correlation_matrix(V.transactions(spark, sf_dir), _FEATURES)
+    matrix = E.correlation_matrix(_feature_table(spark, sf_dir), _SELECTABLE)
     return rounded(matrix, correlation=6)
 
 
 @query(
     "correlated_features",
     with_tables(
-        f""", {_CORRELATION} SELECT feature1, feature2, round(abs(r), 6) AS correlation FROM _corr
-WHERE abs(r) >= 0.5e0""",
+        f""", {_DERIVED_SQL}, {_CORRELATION} SELECT feature1, feature2, round(abs(r), 6) AS correlation
+FROM _corr WHERE abs(r) >= 0.95e0""",
         _TX,
     ),
 )
 def correlated_features(spark, sf_dir):
-    matrix = E.correlation_matrix(V.transactions(spark, sf_dir), _FEATURES)
-    return rounded(E.correlated_features(matrix, 0.5), correlation=6)
+    matrix = E.correlation_matrix(_feature_table(spark, sf_dir), _SELECTABLE)
+    return rounded(E.correlated_features(matrix), correlation=6)
 
 
 @query(
     "feature_importance",
     with_tables(
-        f", {_IMPORTANCE} SELECT feature, round(importance, 6) AS importance FROM _importance", _TX
+        f", {_DERIVED_SQL}, {_IMPORTANCE} SELECT feature, round(importance, 6) AS importance FROM _importance", _TX
     ),
 )
 def feature_importance(spark, sf_dir):
-    found = E.feature_importance(V.transactions(spark, sf_dir), _FEATURES).drop("position")
+    found = E.feature_importance(_feature_table(spark, sf_dir), _SELECTABLE).drop("position")
     return rounded(found, importance=6)
 
 
@@ -518,7 +549,7 @@ SELECT feature, CASE WHEN NOT keep THEN 'low_variance' WHEN NOT ok THEN 'correla
     ),
 )
 def select_features(spark, sf_dir):
-    chosen = E.select_features(V.transactions(spark, sf_dir), _FEATURES, top_n=4)
+    chosen = E.select_features(_feature_table(spark, sf_dir), _SELECTABLE, top_n=4)
     return rounded(chosen, variance=2, importance=6)
 
 
@@ -530,12 +561,12 @@ def select_features(spark, sf_dir):
     with_tables(
         """SELECT tx_id, isFraud, amount FROM (SELECT *, row_number() OVER (PARTITION BY isFraud
   ORDER BY md5('42:' || tx_id), tx_id) AS place FROM transactions)
-WHERE place <= CASE WHEN isFraud = 1 THEN 500 ELSE 5000 END""",
+WHERE place <= CASE WHEN isFraud = 1 THEN 5000 ELSE 50000 END""",
         _TX,
     ),
 )
 def balanced_sample(spark, sf_dir):
-    sample = P.balanced_sample(V.transactions(spark, sf_dir), fraud_rows=500, normal_rows=5000)
+    sample = P.balanced_sample(V.transactions(spark, sf_dir), fraud_rows=5000, normal_rows=50000)
     return sample.select("tx_id", "isFraud", "amount")
 
 

@@ -1,5 +1,6 @@
 """Quantiles, samples, cache, quality checks, selection, drift and logs."""
 
+import math
 import random
 
 import numpy as np
@@ -33,7 +34,7 @@ def test_exact_quantiles(spark, kind):
         "single": np.array([7.0]),
     }[kind]
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(3)
-    got = exact_quantiles(df.withColumnRenamed("v", "x"), "x", PS, bins=10)
+    got = exact_quantiles(df.withColumnRenamed("v", "x"), "x", PS, collected=20, accuracy=50)
     assert got == pytest.approx(list(np.quantile(values, PS)), rel=1e-12)
 
 
@@ -42,14 +43,33 @@ def test_exact_quantiles_of_nothing(spark):
     assert exact_quantiles(empty, "x", [0.5]) == [None]
 
 
-def test_latency_summary_long_log_equals_short(spark):
+@pytest.mark.parametrize("collected", [3, 10_000])
+def test_quantiles_with_wide_and_odd_values(spark, collected):
+    rng = random.Random(8)
+    finite = [rng.choice([1.0, -1.0]) * 10.0 ** rng.randrange(-300, 300) for _ in range(600)] + [5.0] * 400
+    odd = [math.inf] * 40 + [-math.inf] * 30 + [math.nan] * 20
+    df = spark.createDataFrame([(v,) for v in finite + odd], "x double").repartition(3)
+    order = [-math.inf] * 30 + sorted(finite) + [math.inf] * 40 + [math.nan] * 20
+    ps = [k / (len(order) - 1) for k in (0, 29, 30, 200, 555, 1029, 1030, 1069, 1070, len(order) - 1)]
+    got = exact_quantiles(df, "x", ps, collected=collected, accuracy=100)
+    for p, value in zip(ps, got):
+        want = order[round(p * (len(order) - 1))]
+        assert value == pytest.approx(want, rel=1e-6) or (math.isnan(want) and math.isnan(value))
+
+
+def test_latency_summary(spark):
     rng = random.Random(5)
-    rows = [(rng.expovariate(0.02) if i % 97 else None,) for i in range(2000)]
-    log = spark.createDataFrame(rows, "response_time_ms double")
-    short, long = O.latency_summary(log).first(), O.latency_summary(log, small_rows=100).first()
-    assert long.max_latency_ms == 9999.0
-    for name in short.asDict():
-        assert long[name] == pytest.approx(short[name])
+    values = [rng.expovariate(0.02) if i % 97 else None for i in range(2000)]
+    log = spark.createDataFrame([(v,) for v in values], "response_time_ms double")
+    filled = [9999.0 if v is None else v for v in values]
+    for settings in ({}, {"collected": 50, "accuracy": 100}):
+        got = O.latency_summary(log, **settings).first()
+        assert got.max_latency_ms == 9999.0
+        assert got.avg_latency_ms == pytest.approx(np.mean(filled))
+        for name, p in (("median", 0.5), ("p95", 0.95), ("p99", 0.99)):
+            assert got[f"{name}_latency_ms"] == pytest.approx(np.quantile(filled, p))
+    with_odd = log.union(spark.createDataFrame([(math.nan,), (math.inf,)], log.schema))
+    assert math.isnan(O.latency_summary(with_odd).first().avg_latency_ms)
 
 
 def test_exact_sample(make_tx):
@@ -93,6 +113,8 @@ def test_cache_expiry_and_fallback(spark):
     assert [(got[i].cache_hit, got[i].amount) for i in (1, 2, 3)] == [
         (True, 9.0), (False, 1.0), (False, 1.0),
     ]
+    early = requests.withColumn("request_ts", F.expr("TIMESTAMP_NTZ '2024-01-01 10:05:00'"))
+    assert not rows_by(C.cache_lookup(early, cache))[1].cache_hit  # cached only later
     stats = C.cache_hit_stats(C.cache_lookup(requests, cache)).first()
     assert (stats.hits, stats.misses) == (1, 2)
     assert C.cache_invalidate(cache, "account:C?").count() == 0
@@ -101,7 +123,14 @@ def test_cache_expiry_and_fallback(spark):
 
 
 def test_glob():
-    assert C.glob_to_regex("a.b*[1-3]?") == r"^a\.b.*[1-3].$"
+    import re
+
+    for pattern, yes, no in (
+        ("a.b*[1-3]?", "a.bxx2z", "aXb2z"), (r"a\*b", "a*b", "axb"), ("a[b", "a[b", "ab"), ("k[^0-9]", "kx", "k5"),
+        ("x\n*", "x\ny\nz", "xy"), ("*", "", None),
+    ):
+        assert re.search(C.glob_to_regex(pattern), yes), pattern
+        assert no is None or not re.search(C.glob_to_regex(pattern), no), pattern
 
 
 def test_validation_counts_bad_rows(make_tx):
@@ -167,25 +196,27 @@ def test_selection(spark):
     assert pairs["a", "twice"] == pytest.approx(1.0) and pairs["a", "flat"] is None
 
 
-def test_many_correlations(spark, monkeypatch):
-    """The matrix job and the passes with nulls give what one aggregate gives."""
+def test_many_correlations(spark):
+    """Any number of columns, with nulls, NaN and constants, against numpy."""
     rng = random.Random(2)
-    names = list("abcdef")
-    rows = [[rng.random() for _ in names[:-1]] + [1.0] for _ in range(200)]
+    names = list("abcdefghijklm")
+    rows = [[rng.random() * 1e6 + 1e9 for _ in names[:-1]] + [1.0] for _ in range(200)]
     holes = [[None if (i + j) % 9 == 0 else v for j, v in enumerate(r)] for i, r in enumerate(rows)]
-    for data in (rows, holes):
+    odd = [[math.nan if v is None else v for v in r] for r in holes]
+    for data in (rows, holes, odd):
         df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in names))
-        want = {(r[0], r[1]): r[2] for r in E.correlation_matrix(df, names).collect()}
-        with monkeypatch.context() as m:
-            m.setattr(E, "PAIRS_PER_PASS", 4)
-            got = {(r[0], r[1]): r[2] for r in E.correlation_matrix(df, names).collect()}
-        assert want.keys() == got.keys()
-        for pair, value in want.items():
-            if value is None:
-                assert got[pair] is None, pair
+        got = {(r[0], r[1]): r[2] for r in E.correlation_matrix(df, names).collect()}
+        assert len(got) == 78
+        table = np.array([[math.nan if v is None else v for v in r] for r in data])
+        for (a, b), value in got.items():
+            x, y = table[:, names.index(a)], table[:, names.index(b)]
+            both = ~np.isnan(x) & ~np.isnan(y)
+            if "m" in (a, b):
+                assert value is None
             else:
-                assert got[pair] == pytest.approx(value, abs=1e-9), pair
-        assert want["a", "f"] is None
+                assert value == pytest.approx(np.corrcoef(x[both], y[both])[0, 1], abs=1e-6)
+    label = df.withColumn("isFraud", F.lit(1))
+    assert {r.importance for r in E.feature_importance(label, names).collect()} == {0.0}
 
 
 def test_drift(spark, tmp_path, make_tx):
