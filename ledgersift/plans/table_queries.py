@@ -13,7 +13,7 @@ from ledgersift.operators import sampling as P
 from ledgersift.operators import selection as E
 from ledgersift.operators import windows as W
 from ledgersift.plans.catalog import query, rounded
-from ledgersift.plans.etl import load_transactions
+from ledgersift.plans.etl import run_etl
 from ledgersift.plans.row_queries import COMBINED_SQL, RISK_SQL
 from ledgersift.plans.sql import with_tables
 from ledgersift.schema import CRITICAL_COLUMNS, NUMERIC_FEATURES
@@ -627,9 +627,11 @@ _ALL_TX = with_tables("SELECT * FROM transactions", _TX)
 _NO_ID = with_tables("SELECT * EXCLUDE (tx_id) FROM transactions", _TX)
 
 
-def _as_csv(spark, sf_dir) -> str:
+def _as_csv(spark, sf_dir, amount=None) -> str:
     path = work_path(spark, "csv")
     tx = V.transactions(spark, sf_dir)
+    if amount is not None:
+        tx = tx.withColumn("amount", amount)
     ordered = ["step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig", "nameDest",
                "oldbalanceDest", "newbalanceDest", "isFraud", "isFlaggedFraud"]
     tx.select(*ordered).write.option("header", True).csv(path)
@@ -681,13 +683,18 @@ def load_features_query(spark, sf_dir):
 @query(
     "etl_run_metrics",
     with_tables(
-        f"""SELECT count(*) AS total_records, count(*) AS processed_records,
-  count(*) FILTER (isFraud = 1) AS fraud_records,
-  CASE WHEN count(*) FILTER ({_MISMATCH}) > 0 THEN 1 ELSE 0 END AS warnings,
-  100e0 AS success_rate_pct FROM transactions""",
+        f"""SELECT count(*) AS total_records, count(*) FILTER (tx_id % 50 <> 0) AS processed_records,
+  count(*) FILTER (tx_id % 50 = 0) AS error_records,
+  count(*) FILTER (tx_id % 50 <> 0 AND isFraud = 1) AS fraud_records,
+  CASE WHEN count(*) FILTER (tx_id % 50 <> 0 AND {_MISMATCH}) > 0 THEN 1 ELSE 0 END AS warnings,
+  round(100e0 * count(*) FILTER (tx_id % 50 <> 0) / count(*), 6) AS success_rate_pct FROM transactions""",
         _TX,
     ),
 )
 def etl_run_metrics(spark, sf_dir):
-    metrics = load_transactions(V.transactions(spark, sf_dir), work_path(spark, "etl"))
+    """Load a CSV file in which every fiftieth row has an amount that is no number."""
+    amount = F.when(F.col("tx_id") % 50 == 0, "oops").otherwise(F.col("amount").cast("string"))
+    source = _as_csv(spark, sf_dir, amount)
+    metrics = run_etl(spark, source, work_path(spark, "etl"))
+    metrics = rounded(metrics, success_rate_pct=6)
     return metrics.drop("stages", "seconds")

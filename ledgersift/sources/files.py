@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 from ledgersift.schema import CSV_SCHEMA
 
 
+#: Column with the text of a row that could not be read.
+MALFORMED = "_malformed"
+
+
 class MissingInputError(FileNotFoundError):
     """The input path does not exist."""
 
@@ -35,6 +39,20 @@ def read_transactions_csv(
     return df.filter(F.hash(*df.columns) >= -(2**31))
 
 
+def read_transactions_with_errors(
+    spark: SparkSession, path: str, schema: T.StructType = CSV_SCHEMA
+) -> DataFrame:
+    """CSV with header, malformed rows kept: their line is in ``MALFORMED``, null elsewhere."""
+    with_line = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(with_line)
+    try:
+        return reader.option("columnNameOfCorruptRecord", MALFORMED).csv(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise MissingInputError(path) from error
+        raise
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,

@@ -33,7 +33,7 @@ def csv_path(tmp_path):
 
 def test_csv_drops_malformed(spark, csv_path):
     df = read_transactions_csv(spark, csv_path)
-    assert sorted(r.amount for r in df.collect()) == [1000.0, 50000.0, 150000.0]
+    assert sorted(r.amount for r in df.collect()) == [80.0, 2500.0, 320000.0]
     assert read_transactions_csv(spark, csv_path, schema=None).columns == CSV_SCHEMA.names
     with pytest.raises(MissingInputError):
         read_transactions_csv(spark, csv_path + ".absent")
@@ -42,8 +42,9 @@ def test_csv_drops_malformed(spark, csv_path):
 def test_etl(spark, csv_path, tmp_path):
     out = str(tmp_path / "out")
     metrics = run_etl(spark, csv_path, out).first()
-    assert (metrics.total_records, metrics.fraud_records) == (3, 1)
-    assert list(metrics.stages) == list(STAGES) and metrics.success_rate_pct == 100.0
+    assert (metrics.total_records, metrics.processed_records, metrics.error_records) == (4, 3, 1)
+    assert metrics.fraud_records == 1
+    assert list(metrics.stages) == list(STAGES) and metrics.success_rate_pct == 75.0
     written = spark.read.parquet(out)
     assert written.count() == 3 and "type_TRANSFER" in written.columns
     pruned = written.filter(F.col("type") == "TRANSFER")
@@ -196,6 +197,17 @@ def test_tuning_marks_the_best(parts):
     assert max(rows, key=lambda r: r.auc_roc).best
 
 
+def test_documented_settings_reach_the_models(parts):
+    """The numbers of trees and rounds of the fitted models are the documented ones."""
+    train, _ = parts
+    forest = R.train(train, "random_forest").model.stages[-1]
+    assert (forest.getNumTrees, forest.getMaxDepth()) == (100, 10)
+    assert R.make_estimator("gbt").getMaxIter() == 100
+    assert R.make_estimator("boosted").getMaxIter() == 200
+    assert R.make_estimator("gbt_advanced").getMaxIter() == 200
+    assert R.make_estimator("random_forest_advanced").getNumTrees() == 200
+
+
 def test_weighted_boosting_raises_recall(parts):
     train, test = parts
     small = {"maxIter": 3, "maxDepth": 3}

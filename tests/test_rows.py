@@ -11,11 +11,11 @@ from ledgersift.operators import history as H
 
 def test_etl_features(five):
     out = rows_by(X.with_etl_features(five))
-    assert out[1].amount_ratio == pytest.approx(0.2)
+    assert out[3].amount_ratio == pytest.approx(0.25)
     assert [r.is_large_amount for r in out.values()].count(1) == 1
     assert [r.risk_category for r in out.values()].count("HIGH") == 1
-    assert out[1].balance_change_orig == 1000.0
-    assert (out[1].type_CASH_IN, out[1].type_DEBIT) == (1, 0)
+    assert out[3].balance_change_orig == 2500.0
+    assert (out[3].type_CASH_IN, out[3].type_DEBIT) == (1, 0)
 
 
 def test_ratio_variants(make_tx):
@@ -37,7 +37,7 @@ def test_null_inputs_are_low_risk(make_tx):
 
 def test_risk_features(five):
     got = rows_by(X.with_risk_features(five))
-    assert got[2].combined_risk_score == pytest.approx(0.84)
+    assert got[2].combined_risk_score == pytest.approx(0.4 * 1 + 0.4 * 0.6 + 0.2 * 0.6)
 
 
 def test_amount_bands(make_tx):
@@ -49,7 +49,7 @@ def test_amount_bands(make_tx):
 def test_additive_score(five):
     df = five.withColumn("p", S.additive_score())
     row = rows_by(df.withColumn("level", S.additive_risk_level(F.col("p"))))[2]
-    assert row.p == pytest.approx(0.7) and row.level == "MEDIUM"
+    assert row.p == pytest.approx(0.3 + 0.2) and row.level == "MEDIUM"
     noisy = [r.p for r in five.withColumn("p", S.additive_score(noise_seed=1)).collect()]
     assert all(0 <= p <= 1 for p in noisy)
 
