@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ledgersift.functions import scoring as S
 from ledgersift.operators.analytics import search_transactions
 from ledgersift.operators.skew import HOT_ROWS, left_join_lookup, salted_join, split_hot
 from ledgersift.operators.windows import _with_surrogates, merge_cells, step_cells
+from ledgersift.session import work_path
 
 BASELINE_FP_RATE = 0.15
 TARGET_FP_RATE = 0.105
@@ -189,50 +192,82 @@ def top_alerts(scored: DataFrame, limit: int = 10, minimum: float = 0.7) -> Data
     return alerts.orderBy(F.desc("fraud_probability"), "tx_id").limit(limit)
 
 
-def fp_rate_running(
-    scored: DataFrame,
-    target: float = TARGET_FP_RATE,
-    start: float = 0.5,
-    warm_up: int = 100,
-) -> DataFrame:
-    """False-positive rate after each step and the threshold that follows it.
+# The threshold moves in whole steps of this width, between these numbers of steps.
+THRESHOLD_STEP, LEAST_STEPS, MOST_STEPS = 0.05, 6, 16
+# Rows of one ordered range; a range is walked by one task.
+RANGE_ROWS = 500_000
 
-    Rows are aggregated per step first; only that short table is ordered. The
-    threshold moves by 0.05 per step: up to 0.8 while the rate is over 1.2 times
-    the target, down to 0.3 while it is under 0.8 times.
-    """
-    false_hit = F.col("is_fraud") & (F.col("isFraud") == 0)
-    steps = scored.groupBy("step").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(false_hit).alias("fp")
-    )
-    upto = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    running = steps.select(
-        "step",
-        F.sum("n").over(upto).alias("predictions_made"),
-        F.sum("fp").over(upto).alias("false_positives"),
-    ).withColumn("fp_rate", F.col("false_positives") / F.col("predictions_made"))
-
-    def move(threshold, row):
-        high, low = row["fp_rate"] > target * 1.2, row["fp_rate"] < target * 0.8
-        moved = (
-            F.when(high, F.least(F.lit(0.8), threshold + 0.05))
-            .when(low, F.greatest(F.lit(0.3), threshold - 0.05))
-            .otherwise(threshold)
-        )
-        return F.when(row["predictions_made"] < warm_up, threshold).otherwise(moved)
 
-    # One array element per step: its length is the number of steps, not of rows.
-    series = running.agg(
-        F.array_sort(
-            F.collect_list(F.struct("step", "predictions_made", "false_positives", "fp_rate"))
-        ).alias("rows")
-    )
-    walk = F.aggregate(
-        "rows",
-        F.array(F.lit(start)),
-        lambda acc, row: F.concat(acc, F.array(move(F.element_at(acc, -1), row))),
-    )
-    paired = F.arrays_zip(F.col("rows"), F.slice(walk, 2, F.size("rows")).alias("threshold"))
-    return series.select(F.explode(paired).alias("r")).select(
-        "r.rows.*", F.col("r.threshold").alias("threshold")
-    )
+def _moves(false_hits: np.ndarray, made: int, false: int, target: float, warm_up: int) -> tuple:
+    """Counts after each row, and whether the threshold then goes up (1), down (-1) or stays."""
+    n = made + np.arange(1, len(false_hits) + 1, dtype=np.int64)
+    fp = false + np.cumsum(false_hits, dtype=np.int64)
+    rate = fp / n
+    move = np.where(rate > target * 1.2, 1, np.where(rate < target * 0.8, -1, 0))
+    return n, fp, rate, np.where(n < warm_up, 0, move)
+
+
+def _walked(moves: np.ndarray, at: int) -> np.ndarray:
+    """Steps after each move, held between the limits."""
+    out = np.empty(len(moves), dtype=np.int64)
+    for i, move in enumerate(moves.tolist()):
+        at = min(MOST_STEPS, max(LEAST_STEPS, at + move))
+        out[i] = at
+    return out
+
+
+def fp_rate_running(
+    scored: DataFrame, target: float = TARGET_FP_RATE, start: float = 0.5, warm_up: int = 100,
+    range_rows: int = RANGE_ROWS,
+) -> DataFrame:
+    """False-positive rate after each prediction and the threshold that follows it.
+
+    The threshold moves by 0.05 after every row in (step, tx_id) order: up to 0.8 while
+    the rate is over 1.2 times the target, down to 0.3 while it is under 0.8 times.
+
+    The rows are written once in ordered ranges. One row per range comes back with its
+    counts, which give every range what was before it; a second one with where the walk
+    ends for each place it may begin at, which gives every range its own beginning. So
+    ranges are walked independently, whatever the number of rows.
+    """
+    spark = scored.sparkSession
+    false_hit = F.coalesce(F.col("is_fraud") & (F.col("isFraud") == 0), F.lit(False)).cast("int")
+    rows = scored.select("step", "tx_id", false_hit.alias("_fp"))
+    ranges = max(1, -(-rows.count() // range_rows))
+    path = work_path(spark, "ranges")
+    ordered = rows.repartitionByRange(ranges, "step", "tx_id")
+    ordered.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    stored = spark.read.schema("step int, tx_id bigint, _fp int, _range int").parquet(path)
+
+    counts = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.sum("_fp").alias("fp"))
+    before, made, false = {}, 0, 0
+    for row in sorted(counts.collect(), key=lambda r: r["_range"]):
+        before[row["_range"]] = (made, false)
+        made, false = made + row["n"], false + row["fp"]
+
+    def moves_of(key: tuple, group: pd.DataFrame) -> tuple:
+        group = group.sort_values(["step", "tx_id"], kind="stable")
+        return group, _moves(group["_fp"].to_numpy(), *before[key[0]], target, warm_up)
+
+    def ends(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        moves = moves_of(key, group)[1][3]
+        last = [int(_walked(moves, at)[-1]) for at in range(LEAST_STEPS, MOST_STEPS + 1)]
+        return pd.DataFrame({"_range": [key[0]], "ends": [last]})
+
+    begins, at = {}, round(start / THRESHOLD_STEP)
+    by_range = stored.groupBy("_range")
+    if ranges > 1:
+        found = by_range.applyInPandas(ends, "_range int, ends array<bigint>").collect()
+        after = {r["_range"]: r["ends"] for r in found}
+    for number in sorted(before):
+        begins[number] = at
+        at = after[number][at - LEAST_STEPS] if ranges > 1 else at
+
+    def walk(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group, (n, fp, rate, moves) = moves_of(key, group)
+        steps = _walked(moves, begins[key[0]])
+        counted = {"predictions_made": n, "false_positives": fp, "fp_rate": rate}
+        return group[["step", "tx_id"]].assign(**counted, threshold=steps * THRESHOLD_STEP)
+
+    kind = "step int, tx_id bigint, predictions_made bigint, false_positives bigint, fp_rate double, threshold double"
+    return by_range.applyInPandas(walk, kind)

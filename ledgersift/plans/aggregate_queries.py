@@ -363,14 +363,10 @@ def fp_metrics(spark, sf_dir):
 @query(
     "fp_rate_running",
     with_tables(
-        """, _per_step AS (
-  SELECT step, count(*) AS n, count(*) FILTER (is_fraud AND isFraud = 0) AS fp
-  FROM reduced GROUP BY step),
-_running AS (
-  SELECT step, row_number() OVER (ORDER BY step) AS rn,
-    CAST(sum(n) OVER (ORDER BY step) AS BIGINT) AS n,
-    CAST(sum(fp) OVER (ORDER BY step) AS BIGINT) AS fp
-  FROM _per_step),
+        """, _running AS (
+  SELECT step, tx_id, row_number() OVER o AS rn, row_number() OVER o AS n,
+    CAST(sum(CASE WHEN is_fraud AND isFraud = 0 THEN 1 ELSE 0 END) OVER o AS BIGINT) AS fp
+  FROM reduced WINDOW o AS (ORDER BY step, tx_id ROWS UNBOUNDED PRECEDING)),
 _rates AS (SELECT *, fp / n AS fp_rate FROM _running),
 _walk AS (
   SELECT CAST(0 AS BIGINT) AS rn, 0.5e0 AS threshold
@@ -380,7 +376,7 @@ _walk AS (
     WHEN r.fp_rate < 0.105e0 * 0.8e0 THEN greatest(0.3e0, w.threshold - 0.05e0)
     ELSE w.threshold END
   FROM _walk w JOIN _rates r ON r.rn = w.rn + 1)
-SELECT r.step, r.n AS predictions_made, r.fp AS false_positives, round(r.fp_rate, 6) AS fp_rate,
+SELECT r.step, r.tx_id, r.n AS predictions_made, r.fp AS false_positives, round(r.fp_rate, 6) AS fp_rate,
   round(w.threshold, 6) AS threshold
 FROM _rates r JOIN _walk w ON r.rn = w.rn""",
         "reduced",

@@ -241,13 +241,31 @@ def test_top_alerts_and_timeline(make_tx):
     assert A.search_transactions(tx, "TRANS", regex=False).count() == 3
 
 
-def test_fp_rate_walk(make_tx):
-    """150 false alarms in step 1, nothing wrong later: the threshold rises, then falls."""
+@pytest.mark.parametrize("range_rows", [500_000, 700])
+def test_fp_rate_walk(make_tx, range_rows):
+    """Against a plain loop over the rows; many steps, several ranges."""
+    rng = random.Random(6)
     rows = [{"step": 1, "type": "TRANSFER", "amount": 150000.0, "nameOrig": f"A{i}"} for i in range(150)]
-    rows += [{"step": 2 + i % 3, "amount": 1.0, "nameOrig": f"B{i}"} for i in range(6000)]
-    got = {r.step: r for r in H.fp_rate_running(H.score_with_history(make_tx(rows))).collect()}
-    assert got[1].threshold == pytest.approx(0.55) and got[1].fp_rate == 1.0
-    assert got[4].threshold == pytest.approx(0.40)
+    rows += [{"step": 2 + i % 2500, "amount": 1.0, "nameOrig": f"B{i}"} for i in range(2500)]
+    rows += [
+        {"step": 2000 + i, "type": "TRANSFER", "amount": 150000.0, "nameOrig": f"D{i}"}
+        for i in range(2000) if rng.random() < 0.4
+    ]
+    scored = H.score_with_history(make_tx(rows))
+    got = {r.tx_id: r for r in H.fp_rate_running(scored, range_rows=range_rows).collect()}
+    n = fp = 0
+    threshold, seen = 0.5, set()
+    for r in sorted(scored.select("tx_id", "step", "is_fraud", "isFraud").collect(), key=lambda r: (r.step, r.tx_id)):
+        n, fp = n + 1, fp + (r.is_fraud and r.isFraud == 0)
+        if n >= 100 and fp / n > 0.105 * 1.2:
+            threshold = min(0.8, threshold + 0.05)
+        elif n >= 100 and fp / n < 0.105 * 0.8:
+            threshold = max(0.3, threshold - 0.05)
+        row = got[r.tx_id]
+        assert (row.predictions_made, row.false_positives) == (n, fp)
+        assert row.threshold == pytest.approx(threshold)
+        seen.add(round(threshold, 2))
+    assert len(got) == len(rows) and len(seen) > 3
 
 
 def test_partition_report(make_tx):
