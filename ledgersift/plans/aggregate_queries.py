@@ -11,6 +11,7 @@ from ledgersift.operators import opslog as O
 from ledgersift.plans.catalog import query, rounded
 from ledgersift.plans.row_queries import _ADDITIVE
 from ledgersift.plans.sql import with_tables
+from ledgersift.session import work_path
 from ledgersift.sources import views as V
 
 _TX = "transactions"
@@ -582,3 +583,40 @@ FROM _spine s LEFT JOIN _counts c ON s.minute = c.minute""",
 )
 def minute_volume(spark, sf_dir):
     return O.minute_volume(V.transaction_events(spark, sf_dir))
+
+
+@query(
+    "service_targets",
+    with_tables(
+        """SELECT endpoint, round(avg(response_time_ms), 4) AS avg_latency_ms,
+  avg(response_time_ms) < 100 AS latency_pass,
+  round(count(*) / (date_diff('microsecond', min("timestamp"), max("timestamp")) / 1e6), 8) AS throughput_tx_s,
+  count(*) / (date_diff('microsecond', min("timestamp"), max("timestamp")) / 1e6) >= 100000 AS throughput_pass
+FROM request_log GROUP BY endpoint""",
+        "request_log",
+    ),
+)
+def service_targets(spark, sf_dir):
+    """Latency and throughput targets per endpoint."""
+    seconds = F.timestamp_diff("MICROSECOND", F.min("timestamp"), F.max("timestamp")) / 1e6
+    summary = V.request_log(spark, sf_dir).groupBy("endpoint").agg(
+        F.avg("response_time_ms").alias("avg_latency_ms"),
+        (F.count(F.lit(1)) / seconds).alias("throughput_tx_s"),
+    )
+    return rounded(A.service_targets(summary), avg_latency_ms=4, throughput_tx_s=8)
+
+
+@query(
+    "metric_files",
+    with_tables(
+        """SELECT sample_id, cpu_percent, memory_percent, disk_usage_percent FROM host_metrics""",
+        "host_metrics",
+    ),
+)
+def metric_files(spark, sf_dir):
+    """Host metrics appended to a file and read again."""
+    path = work_path(spark, "metrics")
+    metrics = V.host_metrics(spark, sf_dir)
+    O.save_metrics(metrics, path)
+    stored = spark.read.schema(metrics.schema).json(path)
+    return stored.select("sample_id", "cpu_percent", "memory_percent", "disk_usage_percent")

@@ -18,6 +18,7 @@ from ledgersift.ml import train as R
 from ledgersift.ml.prepare import ADVANCED_COLUMNS_10, labelled, preparation, split
 from ledgersift.operators import history as H
 from ledgersift.operators.layout import kept
+from ledgersift.operators.sampling import balanced_sample
 from ledgersift.plans.catalog import query
 from ledgersift.plans.sql import with_tables
 from ledgersift.session import work_path
@@ -96,6 +97,28 @@ _SCALED = ", ".join(
 )
 
 
+_SAMPLE = """_sample AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY isFraud
+  ORDER BY md5('42:' || tx_id), tx_id) AS place FROM transactions)
+WHERE place <= CASE WHEN isFraud = 1 THEN 5000 ELSE 50000 END)"""
+
+
+@query(
+    "train_boosted_weighted",
+    with_tables(
+        f""", {_SAMPLE} SELECT 'boosted_weighted' AS model, count(*) AS test_rows,
+  count(*) FILTER (isFraud = 1) AS positives, TRUE AS roc_reached, TRUE AS pr_above_base
+FROM _sample WHERE NOT {_TRAIN}""",
+        "transactions",
+    ),
+)
+def train_boosted_weighted(spark, sf_dir):
+    """Boosting with weighted frauds and the encoded type, on the balanced sample."""
+    sample = balanced_sample(V.transactions(spark, sf_dir), fraud_rows=5000, normal_rows=50000)
+    with kept(*split(sample)) as (train, test):
+        trained = R.train(train, "boosted_weighted", with_type=True)
+        return _figures(R.metrics_table(spark, [R.evaluate(trained, test)]))
+
+
 @query(
     "ml_prepare",
     with_tables(

@@ -12,7 +12,7 @@ from ledgersift.operators import history as H
 from ledgersift.operators import layout as L
 from ledgersift.plans.catalog import query, rounded
 from ledgersift.plans.sql import with_tables
-from ledgersift.schema import TYPES, TX_SCHEMA
+from ledgersift.schema import BALANCE_COLUMNS, TYPES, TX_SCHEMA
 from ledgersift.sources import views as V
 
 _TX = "transactions"
@@ -233,6 +233,65 @@ def model_features(spark, sf_dir):
     return X.model_features(V.dirty_transactions(spark, sf_dir))
 
 
+_INPUTS = {c: c for c in ("tx_id", "step", "type", "amount", *BALANCE_COLUMNS)} | {
+    "guarded": "CASE WHEN oldbalanceOrg > 0 THEN amount / oldbalanceOrg ELSE 0e0 END",
+    "floor1": "amount / greatest(oldbalanceOrg, 1e0)",
+    "is_large_amount": "CASE WHEN amount > 100000 THEN 1 ELSE 0 END",
+    "balance_change_orig": "oldbalanceOrg - newbalanceOrig",
+    "balance_change_dest": "newbalanceDest - oldbalanceDest",
+}
+
+
+def _inputs_sql(columns, ratio):
+    sql = _INPUTS | {"amount_ratio": _INPUTS[ratio]}
+    return ", ".join(f"{sql[c]} AS {c}" for c in columns)
+
+
+@query(
+    "model_inputs_8",
+    with_tables(f"SELECT tx_id, {_inputs_sql(X.MODEL_COLUMNS_8, 'guarded')} FROM transactions", _TX),
+)
+def model_inputs_8(spark, sf_dir):
+    return X.model_features(V.transactions(spark, sf_dir), X.MODEL_COLUMNS_8)
+
+
+@query(
+    "model_inputs_10",
+    with_tables(f"SELECT tx_id, {_inputs_sql(X.CACHE_COLUMNS_10, 'floor1')} FROM transactions", _TX),
+)
+def model_inputs_10(spark, sf_dir):
+    return X.model_features(V.transactions(spark, sf_dir), X.CACHE_COLUMNS_10)
+
+
+@query(
+    "cache_lookup_features",
+    with_tables(
+        f""", _mid AS (SELECT floor((min(step) + max(step)) / 2) AS middle FROM transactions),
+_ten AS (SELECT tx_id, step, nameOrig, {_inputs_sql(X.CACHE_COLUMNS_10, "floor1")} FROM transactions),
+_entry AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nameOrig ORDER BY step DESC, tx_id DESC) AS r
+  FROM _ten WHERE step <= (SELECT middle FROM _mid)) WHERE r = 1)
+SELECT q.tx_id, c.step IS NOT NULL AND q.step < c.step + 90 AS cache_hit,
+  {", ".join(f"CASE WHEN c.step IS NOT NULL AND q.step < c.step + 90 THEN c.{c} ELSE q.{c} END AS {c}" for c in X.CACHE_COLUMNS_10)}
+FROM _ten q LEFT JOIN _entry c USING (nameOrig) WHERE q.step > (SELECT middle FROM _mid)""",
+        _TX,
+    ),
+)
+def cache_lookup_features(spark, sf_dir):
+    """Ten features from the sender's entry (90 days), computed from the request on a miss."""
+    tx = V.transactions(spark, sf_dir)
+    at = F.expr("TIMESTAMP_NTZ '1995-01-01 00:00:00'") + F.make_dt_interval(F.col("step"))
+    rows = X.model_features(tx, X.CACHE_COLUMNS_10, ("tx_id", "step", "nameOrig")).withColumn("ts", at)
+    middle = tx.select(F.floor((F.min("step") + F.max("step")) / 2)).scalar()
+    older = rows.filter(F.col("step") <= middle).drop("step")
+    cache = C.latest_features(older, "nameOrig", ttl=90 * 86400).drop("tx_id")
+    requests = rows.filter(F.col("step") > middle).select(
+        "tx_id", F.concat(F.lit("account:"), "nameOrig").alias("cache_key"), *X.CACHE_COLUMNS_10,
+        F.col("ts").alias("request_ts"),
+    )
+    found = C.cache_lookup(requests, cache, features=X.CACHE_COLUMNS_10)
+    return found.select("tx_id", "cache_hit", *X.CACHE_COLUMNS_10)
+
+
 @query(
     "search_transactions",
     with_tables(

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgersift.ml import train as R
+from ledgersift.ml.prepare import split
 from ledgersift.plans.catalog import query
 from ledgersift.plans.sql import with_tables
 from ledgersift.schema import TX_SCHEMA
 from ledgersift.session import work_path
 from ledgersift.sources import views as V
 from ledgersift.streaming.scoring import alerts, minute_counts, score, with_stream_features
-from ledgersift.streaming.sinks import feed_cache, read_cache, run_to_table
+from ledgersift.streaming.sinks import feed_cache, read_cache, run_to_keyed_table, run_to_table
 from ledgersift.streaming.sources import parse_messages
 
 
@@ -50,6 +52,27 @@ def stream_score(spark, sf_dir):
     return run_to_table(spark, scored, "stream-scores")
 
 
+@query(
+    "stream_score_model",
+    with_tables(
+        """SELECT tx_id, type, amount, TRUE AS is_probability, TRUE AS prediction_follows
+FROM transactions""",
+        "transactions",
+    ),
+)
+def stream_score_model(spark, sf_dir):
+    """A saved model, loaded again, scores the stream."""
+    train, _ = split(V.transactions(spark, sf_dir))
+    path = work_path(spark, "stream-model")
+    R.save_model(R.train(train, "decision_tree").model, path)
+    p = F.col("fraud_probability")
+    scored = score(_messages(spark, sf_dir), R.load_model(path)).select(
+        "tx_id", "type", "amount", p.between(0.0, 1.0).alias("is_probability"),
+        ((F.col("prediction") == 1.0) == (p > 0.5)).alias("prediction_follows"),
+    )
+    return run_to_table(spark, scored, "stream-model-scores")
+
+
 @query("stream_alerts", with_tables(f"{_SCORES} WHERE amount > 100000", "transactions"))
 def stream_alerts(spark, sf_dir):
     found = alerts(score(with_stream_features(_messages(spark, sf_dir)))).select(
@@ -62,15 +85,14 @@ def stream_alerts(spark, sf_dir):
     "stream_minute_volume",
     with_tables(
         """SELECT date_trunc('minute', ts) AS minute, count(*) AS volume FROM tx_events
-GROUP BY 1 HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE
-  <= (SELECT max(ts) FROM tx_events) - INTERVAL 10 MINUTE""",
+GROUP BY 1""",
         "tx_events",
     ),
 )
 def stream_minute_volume(spark, sf_dir):
-    """Minutes that are final: those the watermark has passed."""
+    """All minutes, those that late messages may still change included."""
     events = V.transaction_events_from(V.table_stream(spark, sf_dir, "events"))
-    minutes = run_to_table(spark, minute_counts(events, "ts"), "stream-minutes")
+    minutes = run_to_keyed_table(spark, minute_counts(events, "ts"), "minute", "stream-minutes")
     return minutes.withColumn("minute", F.col("minute").cast("timestamp_ntz"))
 
 

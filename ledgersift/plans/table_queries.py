@@ -12,7 +12,7 @@ from ledgersift.operators import quality as Q
 from ledgersift.operators import sampling as P
 from ledgersift.operators import selection as E
 from ledgersift.operators import windows as W
-from ledgersift.plans.catalog import query, rounded
+from ledgersift.plans.catalog import CHECKS, query, rounded
 from ledgersift.plans.etl import run_etl
 from ledgersift.plans.row_queries import COMBINED_SQL, RISK_SQL
 from ledgersift.plans.sql import with_tables
@@ -100,9 +100,13 @@ FROM (SELECT *, {_ROLLING_SQL}, {_RUNNING_SQL}, {RISK_SQL} FROM transactions {_F
     ),
 )
 def account_features(spark, sf_dir):
+    """The combined feature table; ``feature_pipeline`` is its other name."""
     return _chosen(W.account_features(V.transactions(spark, sf_dir)), _ROLLING + _RUNNING + _RISK)
 
 
+query("feature_pipeline", CHECKS["account_features"])(account_features)
+
+
 # ---------------------------------------------------------------- quality
 
 
@@ -482,6 +486,16 @@ _IMPORTANCE = "_importance AS (" + _union(
 ) + ")"
 
 
+_SELECTION = """_dropped AS (SELECT DISTINCT feature2 AS feature FROM _corr WHERE abs(r) >= 0.95e0
+  AND feature1 IN (SELECT feature FROM _variance WHERE variance >= 0.01e0)),
+_table AS (
+  SELECT v.feature, v.position, variance, importance, variance >= 0.01e0 AS keep,
+    variance >= 0.01e0 AND v.feature NOT IN (SELECT feature FROM _dropped) AS ok
+  FROM _variance v JOIN _importance i USING (feature)),
+_ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY ok ORDER BY importance DESC, position)
+  AS INT) AS place FROM _table)"""
+
+
 @query(
     "feature_variance",
     with_tables(
@@ -533,15 +547,7 @@ def feature_importance(spark, sf_dir):
 @query(
     "select_features",
     with_tables(
-        f""", {_VARIANCE}, {_CORRELATION}, {_IMPORTANCE},
-_dropped AS (SELECT DISTINCT feature2 AS feature FROM _corr WHERE abs(r) >= 0.95e0
-  AND feature1 IN (SELECT feature FROM _variance WHERE variance >= 0.01e0)),
-_table AS (
-  SELECT v.feature, v.position, variance, importance, variance >= 0.01e0 AS keep,
-    variance >= 0.01e0 AND v.feature NOT IN (SELECT feature FROM _dropped) AS ok
-  FROM _variance v JOIN _importance i USING (feature)),
-_ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY ok ORDER BY importance DESC, position)
-  AS INT) AS place FROM _table)
+        f""", {_VARIANCE}, {_CORRELATION}, {_IMPORTANCE}, {_SELECTION}
 SELECT feature, CASE WHEN NOT keep THEN 'low_variance' WHEN NOT ok THEN 'correlated'
   WHEN place <= 4 THEN 'selected' ELSE 'below_top_n' END AS status, round(variance, 2) AS variance,
   round(importance, 6) AS importance, CASE WHEN ok THEN place END AS rank FROM _ranked""",
@@ -656,9 +662,19 @@ def _feature_tables(spark, sf_dir) -> FeatureTables:
     return tables
 
 
-@query("feature_table_write", "SELECT 'transactions' AS name, 'table' AS feature_type, 1 AS version")
+@query(
+    "feature_table_write",
+    with_tables(
+        """SELECT 'transactions' AS name, 'table' AS feature_type, 1 AS version, count(*) AS row_count
+FROM transactions""",
+        _TX,
+    ),
+)
 def feature_table_write(spark, sf_dir):
-    return _feature_tables(spark, sf_dir).metadata().select("name", "feature_type", "version")
+    tables = _feature_tables(spark, sf_dir)
+    rows = tables.load("transactions").count()
+    found = tables.metadata().select("name", "feature_type", "version")
+    return found.withColumn("row_count", F.lit(rows).cast("bigint"))
 
 
 @query("feature_table_read", _ALL_TX)
@@ -666,12 +682,70 @@ def feature_table_read(spark, sf_dir):
     return _feature_tables(spark, sf_dir).load("transactions")
 
 
-@query("feature_version", "SELECT 'type_stats' AS name, 2 AS version")
+@query(
+    "feature_version",
+    with_tables(
+        """SELECT 'type_stats' AS name, 2 AS version, count(DISTINCT type) AS rows_now,
+  count(DISTINCT type) FILTER (amount > 1000000) AS rows_before FROM transactions""",
+        _TX,
+    ),
+)
 def feature_version(spark, sf_dir):
+    """Two versions of one table; the older one stays readable."""
+    tables = FeatureTables(spark, work_path(spark, "features"))
+    tx = V.transactions(spark, sf_dir)
+    for part in (tx.filter(F.col("amount") > 1000000), tx):
+        tables.create(A.type_stats(part), "type_stats")
+    before, now = tables.load("type_stats", 1).count(), tables.load("type_stats").count()
+    return tables.versions("type_stats").select(
+        "name", "version", F.lit(now).cast("bigint").alias("rows_now"),
+        F.lit(before).cast("bigint").alias("rows_before"),
+    )
+
+
+@query(
+    "selected_features",
+    with_tables(
+        f""", {_VARIANCE}, {_CORRELATION}, {_IMPORTANCE}, {_SELECTION}
+SELECT feature AS column_name, (SELECT count(*) FROM transactions) AS row_count FROM _ranked
+WHERE ok AND place <= 4 UNION ALL SELECT 'isFraud', count(*) FROM transactions""",
+        _TX,
+    ),
+)
+def selected_features(spark, sf_dir):
+    """The selected columns, saved as a feature table and read again."""
+    source = _feature_table(spark, sf_dir)
+    chosen = E.select_features(source, _SELECTABLE, top_n=4)
     tables = FeatureTables(spark, work_path(spark, "features"))
-    for _ in range(2):
-        tables.create(A.type_stats(V.transactions(spark, sf_dir)), "type_stats")
-    return tables.versions("type_stats")
+    tables.create(E.apply_selection(source, chosen), "selected")
+    saved = tables.load("selected")
+    rows = saved.count()
+    return spark.createDataFrame([(c, rows) for c in saved.columns], "column_name string, row_count bigint")
+
+
+@query(
+    "drift_files",
+    with_tables(
+        f""", {_ALERTS} SELECT 'baseline' AS file, count(*) AS row_count FROM _b
+UNION ALL SELECT 'alerts', count(*) FROM _alerts""",
+        _TX,
+    ),
+)
+def drift_files(spark, sf_dir):
+    """The first call stores a baseline, the second one finds it; alerts go to a file."""
+    tx = V.transactions(spark, sf_dir)
+    middle = tx.select(F.floor((F.min("step") + F.max("step")) / 2)).first()[0]
+    baseline, alerts = work_path(spark, "baseline"), work_path(spark, "alerts")
+    D.monitor_drift(tx.filter(F.col("step") <= middle), _FEATURES, baseline)
+    found = D.monitor_drift(tx.filter(F.col("step") > middle), _FEATURES, baseline)
+    D.save_alerts(found, alerts)
+    stored = D.load_baseline(spark, baseline)
+    names = "feature string, alert_type string"
+    return stored.agg(F.lit("baseline").alias("file"), F.count(F.lit(1)).alias("row_count")).unionByName(
+        spark.read.schema(names).json(alerts).agg(
+            F.lit("alerts").alias("file"), F.count(F.lit(1)).alias("row_count")
+        )
+    )
 
 
 @query("load_features", _NO_ID)

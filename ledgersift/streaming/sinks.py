@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgersift.operators.cache import latest_features
@@ -50,6 +51,22 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def run_to_keyed_table(spark: SparkSession, stream: DataFrame, key: str, name: str) -> DataFrame:
+    """Process all that is there now; the newest value of every key, open ones included.
+
+    Each micro-batch writes the keys it changed to its own folder (again, if it is run
+    again); reading takes every key from its latest batch.
+    """
+    out, checkpoint = work_path(spark, name), work_path(spark, f"{name}-checkpoint")
+    writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    sink = files_batch_sink(out, "parquet")
+    writer.foreachBatch(sink).trigger(availableNow=True).start().awaitTermination()
+    kind = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
+    batches = spark.read.schema(kind).parquet(out)
+    latest = [F.max_by(c, "batch_id").alias(c) for c in stream.columns if c != key]
+    return batches.groupBy(key).agg(*latest)
+
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
