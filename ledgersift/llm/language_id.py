@@ -192,16 +192,18 @@ def training_windows(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> list:
 
 
 def fit_languages(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> LanguageModel | None:
-    """A model trained on the windows that are whole; None where there are none."""
+    """A model trained on whole windows; a text shorter than one is repeated. None without texts."""
     windows, labels = [], []
     rows = training_windows(docs, texts)
     languages = sorted({r["lang"] for r in rows})
     for r in rows:
-        for part in r["parts"]:
-            raw = part.encode("utf-8", "surrogatepass")
-            if len(raw) >= WINDOW:
-                windows.append(np.frombuffer(raw[:WINDOW], dtype=np.uint8))
-                labels.append(languages.index(r["lang"]))
+        parts = [part.encode("utf-8", "surrogatepass") for part in r["parts"]]
+        whole = [raw[:WINDOW] for raw in parts if len(raw) >= WINDOW]
+        longest = max(parts, key=len)
+        if not whole and longest:
+            whole = [((longest + b" ") * WINDOW)[:WINDOW]]
+        windows += [np.frombuffer(raw, dtype=np.uint8) for raw in whole]
+        labels += [languages.index(r["lang"])] * len(whole)
     if not windows:
         return None
     model = LanguageModel(languages)
