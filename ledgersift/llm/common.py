@@ -48,6 +48,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, value) -> Callable:
+    """``value`` sent to all executors once; the result of the call gives it back there.
+
+    Serialized by value like the functions, so executors need not have the library.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    held: list = []
+
+    def get():
+        if not held:
+            held.append(cloudpickle.loads(sent.value))
+        return held[0]
+
+    return get
+
+
 def _sizes_of(values: pa.Array) -> list[int]:
     lengths = pc.binary_length(values) if pa.types.is_string(values.type) else pc.list_value_length(values)
     return lengths.fill_null(0).to_pylist()

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import map_texts, query, table
+from ledgersift.llm.common import map_texts, query, share, table
 
 MASKS = ("1101100101", "1110010011", "1010111001", "1001011011")
 WINDOW, PERCENT, LEAST_WORDS = 20, 80, 8
@@ -144,10 +144,10 @@ _HITS = "_ls_hits array<struct<item_id:bigint,window_words:int,equal_words:int>>
 
 
 def _searched(docs: DataFrame, index: SeedIndex, keep: list[str]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # BLOCK_WORDS bounds it
+    shared = share(docs.sparkSession, index)  # BLOCK_WORDS bounds it
 
     def run(texts: list) -> dict:
-        seeds = shared.value
+        seeds = shared()
         names = ("item_id", "window_words", "equal_words")
         return {"_ls_hits": [[dict(zip(names, hit)) for hit in seeds.overlaps(t)] for t in texts]}
 

@@ -8,7 +8,6 @@ and so a key.
 
 from __future__ import annotations
 
-from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -24,7 +23,6 @@ def _remainder(word: int) -> int:
     return word
 
 
-@cache
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Remainder of each single bit, and the error pattern of each remainder."""
     single = np.array([_remainder(1 << i) for i in range(LENGTH)], dtype=np.uint32)
@@ -38,9 +36,12 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return single, pattern
 
 
+SINGLE_REST, ERROR_PATTERN = _tables()
+
+
 def codeword_numbers(words: np.ndarray) -> np.ndarray:
     """For each word, a row of 24 codeword numbers, sorted; they repeat where keys coincide."""
-    single, pattern = _tables()
+    single, pattern = SINGLE_REST, ERROR_PATTERN
     words = words.astype(np.uint32)
     rest = np.zeros(words.shape, dtype=np.uint32)
     for i in range(LENGTH):

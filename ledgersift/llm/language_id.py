@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import crc32_of_id, map_texts, query, table
+from ledgersift.llm.common import crc32_of_id, map_texts, query, share, table
 
 WINDOW, HIDDEN, PAD = 64, 8, 256
 SAMPLE_TEXTS, WINDOWS_PER_TEXT = 300, 12
@@ -213,10 +213,10 @@ def fit_languages(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> LanguageModel |
 
 def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """doc_id, lang_pred and score of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
+    shared = share(docs.sparkSession, model)  # a few thousand numbers
 
     def run(texts: list) -> dict:
-        fitted = shared.value
+        fitted = shared()
         names, scores = fitted.label(texts) if fitted else (["und"] * len(texts), [0.0] * len(texts))
         return {"lang_pred": names, "score": scores}
 
