@@ -145,10 +145,14 @@ def _sketches(rows: DataFrame) -> DataFrame:
     """(_key, doc_id, digest, handle, sketch) of rows (_key, doc_id, text)."""
 
     def run(texts: list) -> dict:
-        words = [ascii_words(t) for t in texts]
-        digests = [xxhash.xxh3_128_digest(b" ".join(w)) for w in words]
-        handles = [int.from_bytes(d[:8], "big", signed=True) for d in digests]
-        return {"digest": digests, "handle": handles, "sketch": [sketch_of(w) for w in words]}
+        out = {"digest": [], "handle": [], "sketch": []}
+        for text in texts:
+            words = ascii_words(text)
+            digest = xxhash.xxh3_128_digest(b" ".join(words))
+            out["digest"].append(digest)
+            out["handle"].append(int.from_bytes(digest[:8], "big", signed=True))
+            out["sketch"].append(sketch_of(words))
+        return out
 
     return map_texts(rows, ["_key", "doc_id"], run, "digest binary, handle bigint, sketch binary")
 
@@ -182,9 +186,10 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
     leaders = ranked.groupBy("key").agg(
         F.max(F.struct("company", "node")).alias("central"), F.min(F.struct(drawn.alias("draw"), F.col("node"))).alias("drawn")
     )
-    led = leaders.select("key", F.explode_outer(F.array("central.node", "drawn.node")).alias("leader"))
+    met = large.join(leaders, "key").groupBy("node")  # a node has about 106 keys
+    led = met.agg(F.array_union(F.collect_set("central.node"), F.collect_set("drawn.node")).alias("leaders"))
     stars = (
-        large.join(led, "key")
+        led.select("node", F.explode_outer("leaders").alias("leader"))
         .where("node <> leader")
         .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
     )
