@@ -12,9 +12,10 @@ itself; beyond that no pairs are made of it:
 * ``link_fingerprints`` (at most two bits apart) links the nodes of large keys through the
   65 words within one bit of each: two fingerprints two bits apart share such a word, and
   no word belongs to more than 65 fingerprints. This is exact and linear.
-* ``near_copies`` compares the nodes of a large key with two of them, the one that has most
-  company over all its keys (an original among its copies) and one drawn by hash, which
-  differs from key to key; each node has about 106 keys.
+* ``near_copies`` first compares the nodes of a large key with the one that has most company
+  over all its keys (an original among its copies). Then it compares what these links have
+  not joined: all pairs of small keys, and the nodes of large keys with one drawn by hash,
+  which differs from key to key; each node has about 106 keys.
 
 Defined results: null text counts as empty; texts without words share fingerprint zero
 and are linked; a null id counts as the largest and is never a component's id unless all
@@ -174,25 +175,48 @@ def _sketch_keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("handle", "sketch").mapInPandas(run, "key bigint, node bigint")
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """Distinct (a, b) of handles that meet at a key."""
+def shared_keys(nodes: DataFrame) -> DataFrame:
+    """(key, node, n) of the keys that n > 1 nodes have."""
     keys = _sketch_keys(nodes)
-    shared = written(keys.join(_sizes(keys), "key"), "shared-keys")
-    close = _pairs(shared.select("key", "node"), shared.select("key", "n").distinct())
+    return written(keys.join(_sizes(keys), "key"), "shared-keys")
+
+
+def _led(large: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Distinct (a, b) of the nodes of large keys and the leaders (key, leader) of these."""
+    met = large.join(leaders, "key").where("node <> leader")
+    return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
+def pairs_with_centres(shared: DataFrame) -> DataFrame:
+    """Each node of a large key with the node of that key that has most company."""
     large = shared.where(f"n > {PAIRS_UP_TO}")
     company = large.groupBy("node").agg(F.sum(F.log("n")).alias("company"))
-    ranked = large.join(company, "node")
-    drawn = F.xxhash64("key", "node")
-    leaders = ranked.groupBy("key").agg(
-        F.max(F.struct("company", "node")).alias("central"), F.min(F.struct(drawn.alias("draw"), F.col("node"))).alias("drawn")
-    )
-    met = large.join(leaders, "key").groupBy("node")  # a node has about 106 keys
-    led = met.agg(F.array_union(F.collect_set("central.node"), F.collect_set("drawn.node")).alias("leaders"))
-    stars = (
-        led.select("node", F.explode_outer("leaders").alias("leader"))
-        .where("node <> leader")
-        .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    central = large.join(company, "node").groupBy("key").agg(F.max(F.struct("company", "node")).alias("c"))
+    return _led(large.select("key", "node"), central.select("key", F.col("c.node").alias("leader")))
+
+
+def pairs_across(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Candidates that are not in one component yet; pairs within one can add nothing to it.
+
+    Small keys give all pairs of theirs, large ones each node with one drawn by hash.
+    ``roots`` has (node, root) of the nodes that are linked so far.
+    """
+    placed = written(
+        shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed-keys"
     )
+    split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    open_keys = placed.join(split.select("key"), "key", "left_semi")
+    small = open_keys.where(f"n <= {PAIRS_UP_TO}")
+    left = small.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
+    right = small.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
+    condition = (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root"))
+    close = left.join(right, condition).select("a", "b")
+    large = open_keys.where(f"n > {PAIRS_UP_TO}")
+    draw = F.struct(F.xxhash64("key", "node").alias("draw"), "node", "root")
+    drawn = large.groupBy("key").agg(F.min(draw).alias("d"))
+    drawn = drawn.select("key", F.col("d.node").alias("leader"), F.col("d.root").alias("leader_root"))
+    met = large.join(drawn, "key").where("root <> leader_root")
+    stars = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
     return close.unionAll(stars).distinct()
 
 
@@ -241,14 +265,24 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
         .agg(F.min(order).alias("first"), F.min("handle").alias("handle"), F.min("sketch").alias("sketch")),
         "nodes",
     )
-    pairs = written(candidate_pairs(nodes), "pairs")
-    involved = pairs.select(F.explode_outer(F.array("a", "b")).alias("handle")).distinct()
-    wanted = nodes.join(involved, "handle").select(F.col("first.k").alias("_key"), "digest", "handle")
+    shared = shared_keys(nodes)
+    with_company = nodes.join(shared.select(F.col("node").alias("handle")).distinct(), "handle", "left_semi")
+    wanted = with_company.select(F.col("first.k").alias("_key"), "digest", "handle")
     sets = written(_shingle_sets(rows.join(wanted, "_key").dropDuplicates(["_key"]), size), "shingles")
-    left = sets.select(F.col("handle").alias("a_handle"), F.col("digest").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("handle").alias("b_handle"), F.col("digest").alias("b"), F.col("shingles").alias("right"))
-    met = pairs.toDF("a_handle", "b_handle").join(left, "a_handle").join(right, "b_handle")
-    roots = components(_similar(met.select("a", "b", "left", "right"), similarity))
+
+    def links(pairs: DataFrame) -> DataFrame:
+        left = sets.select(F.col("handle").alias("a_handle"), F.col("digest").alias("a"), F.col("shingles").alias("left"))
+        right = sets.select(F.col("handle").alias("b_handle"), F.col("digest").alias("b"), F.col("shingles").alias("right"))
+        met = pairs.toDF("a_handle", "b_handle").join(left, "a_handle").join(right, "b_handle")
+        return written(_similar(met.select("a", "b", "left", "right"), similarity), "links")
+
+    first = links(pairs_with_centres(shared))
+    handles = nodes.select(F.col("digest").alias("node"), "handle")
+    by_digest = components(first)
+    tops = handles.select(F.col("node").alias("root"), F.col("handle").alias("root_handle"))
+    linked = by_digest.join(handles, "node").join(tops, "root")
+    second = links(pairs_across(shared, linked.select(F.col("handle").alias("node"), F.col("root_handle").alias("root"))))
+    roots = components(first.unionAll(second))
     rooted = nodes.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     return rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.k").alias("_key"))
 
