@@ -7,15 +7,14 @@ linked ones form components.
 
 Equal fingerprints (or equal word sequences) are one node from the start, so a group of
 copies costs one row per task. A key with up to ``PAIRS_UP_TO`` nodes is joined with
-itself; beyond that no pairs are made of it:
+itself; larger ones are linked through stars first:
 
 * ``link_fingerprints`` (at most two bits apart) links the nodes of large keys through the
   65 words within one bit of each: two fingerprints two bits apart share such a word, and
   no word belongs to more than 65 fingerprints. This is exact and linear.
 * ``near_copies`` first compares the nodes of a large key with the one that has most company
-  over all its keys (an original among its copies). Then it compares what these links have
-  not joined: all pairs of small keys, and the nodes of large keys with one drawn by hash,
-  which differs from key to key; each node has about 106 keys.
+  over all its keys (an original among its copies). Then it compares all pairs of a key,
+  at any size, but those that the first links have joined.
 
 Defined results: null text counts as empty; texts without words share fingerprint zero
 and are linked; a null id counts as the largest and is never a component's id unless all
@@ -196,9 +195,8 @@ def pairs_with_centres(shared: DataFrame) -> DataFrame:
 
 
 def pairs_across(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Candidates that are not in one component yet; pairs within one can add nothing to it.
+    """All pairs that share a key and are not in one component yet; others can add nothing to it.
 
-    Small keys give all pairs of theirs, large ones each node with one drawn by hash.
     ``roots`` has (node, root) of the nodes that are linked so far.
     """
     placed = written(
@@ -206,18 +204,10 @@ def pairs_across(shared: DataFrame, roots: DataFrame) -> DataFrame:
     )
     split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     open_keys = placed.join(split.select("key"), "key", "left_semi")
-    small = open_keys.where(f"n <= {PAIRS_UP_TO}")
-    left = small.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    right = small.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
+    left = open_keys.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
+    right = open_keys.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
     condition = (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root"))
-    close = left.join(right, condition).select("a", "b")
-    large = open_keys.where(f"n > {PAIRS_UP_TO}")
-    draw = F.struct(F.xxhash64("key", "node").alias("draw"), "node", "root")
-    drawn = large.groupBy("key").agg(F.min(draw).alias("d"))
-    drawn = drawn.select("key", F.col("d.node").alias("leader"), F.col("d.root").alias("leader_root"))
-    met = large.join(drawn, "key").where("root <> leader_root")
-    stars = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    return close.unionAll(stars).distinct()
+    return left.join(right, condition).select("a", "b").distinct()
 
 
 def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:

@@ -156,6 +156,17 @@ def test_original_joins_scattered_copies(spark):
     assert kept <= 4  # of 60; the sketch misses few of the pairs that are barely similar enough
 
 
+def test_large_keys_give_all_open_pairs(spark):
+    """Near-copies of a key that many share meet, whatever else shares it; joined ones do not."""
+    nodes = 3 * near_dedup.PAIRS_UP_TO
+    shared = spark.createDataFrame(
+        [(7, i, nodes, 1, 100) for i in range(nodes)], "key bigint, node bigint, n bigint, place int, size int"
+    )
+    roots = spark.createDataFrame([(i, 0) for i in range(1, 10)], "node bigint, root bigint")
+    got = {tuple(sorted(r)) for r in near_dedup.pairs_across(shared, roots).collect()}
+    assert got == {(a, b) for b in range(10, nodes) for a in range(b)}
+
+
 def test_empty_near_dedup(spark):
     none = frame(spark, [])
     assert near_dedup.fingerprint_components(none).count() == 0
