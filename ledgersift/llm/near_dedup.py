@@ -1,9 +1,12 @@
-"""Near-duplicates by SimHash and Golay-code fuzzy hashing.
+"""Near-duplicates by SimHash and Golay-code fuzzy hashing, and by shingle prefixes.
 
-Fingerprints are cut into segments. With few differing bits, one segment has none and
+``fingerprint_components`` links fingerprints, ``near_copies`` texts whose sets of shingles
+have a given Jaccard similarity; both find all links there are. For the second, shingles
+stand in one order over the whole corpus, rare ones first, and the first fifth of each set
+(for 0.8) are its keys: sets similar enough share one (prefix filter). Fingerprints are cut into segments. With few differing bits, one segment has none and
 its neighbour at most two (pigeonhole); the pair of that exact segment and a Golay key
-of the neighbour is then shared. Fingerprints meet at these keys, are verified, and
-linked ones form components.
+of the neighbour is then shared. Nodes meet at these keys, are verified, and linked ones
+form components.
 
 Equal fingerprints (or equal word sequences) are one node from the start, so a group of
 copies costs one row per task. A key with up to ``PAIRS_UP_TO`` nodes is joined with
@@ -32,13 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import map_texts, query, row_key, table, written
+from ledgersift.llm.common import map_texts, query, row_key, share, table, written
 from ledgersift.llm.components import components
 from ledgersift.llm.golay import segment_keys
 
 PAIRS_UP_TO = 16
-#: Sketch of ``near_copies``: segments of 21 bits from four 128-bit hashes of each long word.
-SEGMENTS, SEGMENT_BITS, SKETCH_HASHES, LONG_WORD = 20, 21, 4, 5
+#: ``near_copies`` counts shingles in blocks of about so many and knows so many common ones at most.
+COUNTED_AT_ONCE, MOST_COMMON = 4_000_000, 400_000
 
 
 def ascii_words(text: str | None) -> list[bytes]:
@@ -131,52 +134,108 @@ def fingerprint_components(docs: DataFrame, size: int = 3) -> DataFrame:
     return prints.join(by_print, "fp")
 
 
-def sketch_of(words: list[bytes]) -> bytes:
-    """Majority bits over the distinct long words (all words where none is long)."""
-    distinct = set(words)
-    used = sorted(w for w in distinct if len(w) >= LONG_WORD) or sorted(distinct)
-    digest = xxhash.xxh3_128_digest
-    raw = b"".join([digest(w, seed) for w in used for seed in range(SKETCH_HASHES)])
-    bits = majority_bits(np.frombuffer(raw, dtype=">u8").reshape(-1, 2 * SKETCH_HASHES))
-    return np.packbits(bits).tobytes()
+def shingle_set(words: list[bytes], size: int) -> np.ndarray:
+    """Sorted distinct XXH64 (seed 42) of the shingles."""
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(s, 42) for s in shingles(words, size)], dtype=np.uint64))
+
+
+def common_shingles(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur again within a block, sorted, and roughly how many texts have them.
 
+    They only set the order of ``prefix``, which gives the same links in any order.
+    """
 
-def _sketches(rows: DataFrame) -> DataFrame:
-    """(_key, doc_id, digest, handle, sketch) of rows (_key, doc_id, text)."""
+    def counted(sets: list[np.ndarray]) -> pd.DataFrame:
+        values, counts = np.unique(np.concatenate(sets), return_counts=True)
+        again = counts > 1
+        return pd.DataFrame({"shingle": values[again].view(np.int64), "n": counts[again].astype(np.int64)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets, held = [], 0
+        for batch in batches:
+            for text in batch["text"]:
+                sets.append(shingle_set(ascii_words(text), size))
+                held += len(sets[-1])
+                if held >= COUNTED_AT_ONCE:
+                    yield counted(sets)
+                    sets, held = [], 0
+        if sets:
+            yield counted(sets)
+
+    found = rows.select("text").mapInPandas(run, "shingle bigint, n bigint")
+    totals = written(found.groupBy("shingle").agg(F.sum("n").alias("n")), "common-shingles")
+    level = F.floor(F.log2("n")).cast("int")
+    least, room = None, MOST_COMMON
+    for row in totals.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # 63 at most
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["level"]
+    kept = totals.where("false") if least is None else totals.where(level >= least)
+    table = kept.toPandas()  # MOST_COMMON bounds it
+    values = table["shingle"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(values)
+    return values[order], table["n"].to_numpy(dtype=np.int64)[order]
+
+
+def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles of a set, rare ones first: sets similar enough share one of theirs.
+
+    Of n shingles at most n - similarity * n may be missing in a similar set of any size.
+    """
+    values, counts = common
+    often = np.zeros(len(own), dtype=np.int64)
+    if len(values):
+        at = np.minimum(np.searchsorted(values, own), len(values) - 1)
+        often = np.where(values[at] == own, counts[at], 0)
+    ordered = own[np.lexsort((own, often))]
+    return ordered[: len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1]
+
+
+def _prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(_key, doc_id, digest, handle, n_shingles, prefix) of rows (_key, doc_id, text)."""
+    shared = share(rows.sparkSession, common_shingles(rows, size))
 
     def run(texts: list) -> dict:
-        out = {"digest": [], "handle": [], "sketch": []}
+        out = {"digest": [], "handle": [], "n_shingles": [], "prefix": []}
         for text in texts:
             words = ascii_words(text)
             digest = xxhash.xxh3_128_digest(b" ".join(words))
+            own = shingle_set(words, size)
             out["digest"].append(digest)
             out["handle"].append(int.from_bytes(digest[:8], "big", signed=True))
-            out["sketch"].append(sketch_of(words))
+            out["n_shingles"].append(len(own))
+            out["prefix"].append(prefix(own, shared(), similarity).tobytes())
         return out
 
-    return map_texts(rows, ["_key", "doc_id"], run, "digest binary, handle bigint, sketch binary")
+    return map_texts(rows, ["_key", "doc_id"], run, "digest binary, handle bigint, n_shingles int, prefix binary")
 
 
-def _sketch_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node) from nodes (handle, sketch)."""
+def _prefix_keys(nodes: DataFrame) -> DataFrame:
+    """(key, node, place, size) from nodes (handle, n_shingles, prefix); places count from 1."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights = 1 << np.arange(SEGMENT_BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
-            for at in range(0, len(batch), 2000):
-                part = batch.iloc[at : at + 2000]
-                raw = np.frombuffer(b"".join(part["sketch"]), dtype=np.uint8).reshape(len(part), -1)
-                bits = np.unpackbits(raw, axis=1)[:, : SEGMENTS * SEGMENT_BITS]
-                segments = bits.reshape(len(part), SEGMENTS, SEGMENT_BITS).astype(np.int64) @ weights
-                rows, keys = segment_keys(segments)
-                yield pd.DataFrame({"key": keys, "node": part["handle"].to_numpy(dtype=np.int64)[rows]})
-
-    return nodes.select("handle", "sketch").mapInPandas(run, "key bigint, node bigint")
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
+                keys = [np.frombuffer(p, dtype=np.int64) for p in part["prefix"]]
+                lengths = np.array([len(k) for k in keys])
+                yield pd.DataFrame(
+                    {
+                        "key": np.concatenate(keys),
+                        "node": np.repeat(part["handle"].to_numpy(dtype=np.int64), lengths),
+                        "place": np.concatenate([np.arange(1, n + 1, dtype=np.int32) for n in lengths]),
+                        "size": np.repeat(part["n_shingles"].to_numpy(dtype=np.int32), lengths),
+                    }
+                )
+
+    return nodes.select("handle", "n_shingles", "prefix").mapInPandas(run, "key bigint, node bigint, place int, size int")
 
 
 def shared_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node, n) of the keys that n > 1 nodes have."""
-    keys = _sketch_keys(nodes)
+    """(key, node, place, size, n) of the keys that n > 1 nodes have."""
+    keys = _prefix_keys(nodes)
     return written(keys.join(_sizes(keys), "key"), "shared-keys")
 
 
@@ -194,29 +253,35 @@ def pairs_with_centres(shared: DataFrame) -> DataFrame:
     return _led(large.select("key", "node"), central.select("key", F.col("c.node").alias("leader")))
 
 
-def pairs_across(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs that share a key and are not in one component yet; others can add nothing to it.
+def pairs_across(shared: DataFrame, roots: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """All pairs that share a key, may be similar and are not in one component yet.
 
-    ``roots`` has (node, root) of the nodes that are linked so far.
+    Pairs within one component can add nothing to it. If a shared key were the first of all
+    common shingles, no more than the places after it could be common; for the true first
+    one this holds, so a similar pair always passes. ``roots`` has (node, root) of the nodes that are linked so far.
     """
     placed = written(
         shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed-keys"
     )
     split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     open_keys = placed.join(split.select("key"), "key", "left_semi")
-    left = open_keys.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    right = open_keys.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-    condition = (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root"))
-    return left.join(right, condition).select("a", "b").distinct()
+    sides = ("node", "root", "place", "size")
+    left = open_keys.select("key", *[F.col(c).alias(f"a_{c}") for c in sides])
+    right = open_keys.select("key", *[F.col(c).alias(f"b_{c}") for c in sides])
+    after = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place")) + 1
+    needed = F.lit(similarity / (1 + similarity)) * (F.col("a_size") + F.col("b_size")) - 1e-6
+    condition = (
+        (left["key"] == right["key"]) & (F.col("a_node") < F.col("b_node")) & (F.col("a_root") != F.col("b_root"))
+        & (F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - 1e-6) & (after >= needed)
+    )
+    return left.join(right, condition).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
 def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
     """(digest, handle, shingles): sorted distinct 64-bit hashes of the shingles, as bytes."""
 
     def run(texts: list) -> dict:
-        digest = xxhash.xxh64_intdigest
-        hashes = ([digest(s, 42) for s in shingles(ascii_words(t), size)] for t in texts)
-        return {"shingles": [np.unique(np.array(h, dtype=np.uint64)).tobytes() for h in hashes]}
+        return {"shingles": [shingle_set(ascii_words(t), size).tobytes() for t in texts]}
 
     return map_texts(texts, ["digest", "handle"], run, "shingles binary")
 
@@ -244,15 +309,15 @@ def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
 def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """(_key) of one row for each group of near-copies: the row with the lowest id.
 
-    Rows equal in id and text share ``_key`` (see ``row_key``). Candidates come from the
-    sketches, links from the exact Jaccard similarity of shingle sets.
+    Rows equal in id and text share ``_key`` (see ``row_key``). Candidates share a shingle of
+    their prefixes, as all similar pairs do; links come from the exact Jaccard similarity.
     """
     rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("_key"), "doc_id", "text")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("_key").alias("k"))
     nodes = written(
-        _sketches(rows)
+        _prefixes(rows, size, similarity)
         .groupBy("digest")
-        .agg(F.min(order).alias("first"), F.min("handle").alias("handle"), F.min("sketch").alias("sketch")),
+        .agg(F.min(order).alias("first"), *[F.min(c).alias(c) for c in ("handle", "n_shingles", "prefix")]),
         "nodes",
     )
     shared = shared_keys(nodes)
@@ -271,7 +336,7 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
     by_digest = components(first)
     tops = handles.select(F.col("node").alias("root"), F.col("handle").alias("root_handle"))
     linked = by_digest.join(handles, "node").join(tops, "root")
-    second = links(pairs_across(shared, linked.select(F.col("handle").alias("node"), F.col("root_handle").alias("root"))))
+    second = links(pairs_across(shared, linked.select(F.col("handle").alias("node"), F.col("root_handle").alias("root")), similarity))
     roots = components(first.unionAll(second))
     rooted = nodes.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     return rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.k").alias("_key"))

@@ -167,6 +167,32 @@ def test_large_keys_give_all_open_pairs(spark):
     assert got == {(a, b) for b in range(10, nodes) for a in range(b)}
 
 
+def test_block_edits_are_found(spark):
+    """Cut, longer, replaced and short copies: every pair of similarity 0.8 by brute force is joined."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    rows = []
+    for k in range(160):
+        base = [word() for _ in range(rng.choice([5, 9, 24, 60, 200]))]
+        n = len(base)
+        share = rng.uniform(0.02, 0.19)
+        cut = max(1, int(n * share))
+        at = rng.randrange(n - cut)
+        other = [
+            base[:-cut], base[cut:], base + [word() for _ in range(cut)], base[:at] + [word() for _ in range(cut // 2 or 1)] + base[at:],
+            base[:at] + [word() for _ in range(cut // 2 or 1)] + base[at + (cut // 2 or 1) :],
+        ][k % 5]
+        rows += [(2 * k, " ".join(base), "aa"), (2 * k + 1, " ".join(other), "aa")]
+    own = []
+    for _, text, _ in rows:
+        words = text.split()
+        own.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    alike = [2 * k + 1 for k in range(160) if len(own[2 * k] & own[2 * k + 1]) >= 0.8 * len(own[2 * k] | own[2 * k + 1])]
+    assert len(alike) > 60
+    gone = {r[0] for r in rows} - {r.doc_id for r in near_dedup.one_of_each(frame(spark, rows)).collect()}
+    assert gone == set(alike)
+
+
 def test_empty_near_dedup(spark):
     none = frame(spark, [])
     assert near_dedup.fingerprint_components(none).count() == 0
