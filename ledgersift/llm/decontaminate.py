@@ -1,17 +1,18 @@
-"""Benchmark decontamination by spaced seeds.
+"""Benchmark decontamination by runs of equal words.
 
-A mask selects some of ten neighbouring words; the others may differ. Each mask's hash is
-taken at every word of every text and every test item; equal hashes place an item over a
-text. Along that placement all words are compared: text and item overlap if a window of
-``WINDOW`` item words (the whole item, if shorter) has ``PERCENT`` percent of them equal.
+Text and item overlap if, the item laid over the text, a window of ``WINDOW`` item words
+(the whole item, if shorter) has ``PERCENT`` percent of them equal. Few enough other words
+leave a run of equal ones between them (pigeonhole; three or four words, by the window's
+length). Hashes of such runs are taken at every word of every text and every test item;
+equal hashes place an item over a text, and along that placement all words are compared.
+So every overlap is found.
 
 The test items are the stated query set. They are read in blocks of bounded size, each
 sent to all tasks, and every text is searched whole against every block; texts are
 neither shuffled nor collected.
 
 Defined results: null or empty texts overlap nothing; items of fewer than ``LEAST_WORDS``
-words cannot be told from chance and are not searched, items shorter than a mask are
-sought word for word; repeated rows or items each give their own rows (the same ones);
+words cannot be told from chance and are not searched; repeated rows or items each give their own rows (the same ones);
 empty tables give an empty result; further columns are kept by the stage.
 """
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgersift.llm.common import map_texts, query, share, table
 
+#: Seeds of the check SQL.
 MASKS = ("1101100101", "1110010011", "1010111001", "1001011011")
 WINDOW, PERCENT, LEAST_WORDS = 20, 80, 8
 #: Item words sent to the tasks at once.
@@ -52,22 +54,20 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array([known[w] for w in words], dtype=np.uint64)
 
 
-def _masks(short: list[int]) -> list[list[int]]:
-    """Selected places of each mask, and of full masks for items shorter than one."""
-    return [[k for k, c in enumerate(m) if c == "1"] for m in MASKS] + [list(range(n)) for n in short]
+def sure_run(length: int) -> int:
+    """Equal words in a row that every overlap with an item of so many words has."""
+    window = min(WINDOW, length)
+    others = (100 - PERCENT) * window // 100
+    return -(-(window - others) // (others + 1))
 
 
-def _span(number: int, places: list[int]) -> int:
-    return len(MASKS[number]) if number < len(MASKS) else len(places)
-
-
-def seed_hashes(words: np.ndarray, number: int, places: list[int]) -> np.ndarray:
-    """Hash of the selected words at every start of a mask."""
-    count = len(words) - _span(number, places) + 1
+def seed_hashes(words: np.ndarray, run: int) -> np.ndarray:
+    """Hash of each ``run`` neighbouring words."""
+    count = len(words) - run + 1
     if count <= 0:
         return np.zeros(0, dtype=np.uint64)
-    total = np.full(count, (number + 1) * 0x632BE59BD9B4E019 & (2**64 - 1), dtype=np.uint64)
-    for k in places:
+    total = np.full(count, run * 0x632BE59BD9B4E019 & (2**64 - 1), dtype=np.uint64)
+    for k in range(run):
         total += words[k : k + count] * np.uint64(_FACTORS[k])
     total ^= total >> np.uint64(29)
     total *= np.uint64(0xBF58476D1CE4E5B9)
@@ -79,18 +79,13 @@ class SeedIndex:
 
     def __init__(self, items: list[tuple[int, list[bytes]]]):
         self.items = [(item, word_hashes(words)) for item, words in items]
-        span = len(MASKS[0])
-        short = sorted({len(w) for _, w in self.items if len(w) < span})
-        self.masks = _masks(short)
+        self.runs = sorted({sure_run(len(words)) for _, words in self.items})
         hashes, owners, places = [], [], []
         for owner, (_, words) in enumerate(self.items):
-            for number, mask in enumerate(self.masks):
-                if number >= len(MASKS) and len(mask) != len(words):
-                    continue
-                found = seed_hashes(words, number, mask)
-                hashes.append(found)
-                owners.append(np.full(len(found), owner))
-                places.append(np.arange(len(found)))
+            found = seed_hashes(words, sure_run(len(words)))
+            hashes.append(found)
+            owners.append(np.full(len(found), owner))
+            places.append(np.arange(len(found)))
         joined = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
         order = np.argsort(joined, kind="stable")
         self.hashes = joined[order]
@@ -103,8 +98,8 @@ class SeedIndex:
         """(item_id, window words, most equal words in a window) of every overlap."""
         words = word_hashes(folded_words(text))
         laid: set[tuple[int, int]] = set()
-        for number, mask in enumerate(self.masks):
-            found = seed_hashes(words, number, mask)
+        for run in self.runs:
+            found = seed_hashes(words, run)
             at = np.flatnonzero(self.sieve[(found >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)])
             first = np.searchsorted(self.hashes, found[at], "left")
             last = np.searchsorted(self.hashes, found[at], "right")

@@ -1,6 +1,7 @@
 """Trained classifiers, near-duplicates, decontamination and the pipeline on small rows."""
 
 import collections
+import itertools
 import random
 import zlib
 
@@ -240,6 +241,21 @@ def test_blocks_give_the_same(spark, monkeypatch):
     assert sorted(decontaminate.overlaps(docs, benchmark).collect()) == sorted(whole)
 
 
+def test_every_tolerated_substitution_is_found():
+    """All places of the words that may differ, for each length from the shortest item to a window."""
+    for length in range(decontaminate.LEAST_WORDS, decontaminate.WINDOW + 2):
+        item = [b"w%d" % k for k in range(length)]
+        index = decontaminate.SeedIndex([(5, item)])
+        window = min(length, decontaminate.WINDOW)
+        for others in range((100 - decontaminate.PERCENT) * window // 100 + 1):
+            for places in itertools.combinations(range(window), others):
+                words = [b"x" if k in places else w for k, w in enumerate(item)]
+                found = index.overlaps((b"before " + b" ".join(words) + b" after").decode())
+                assert [(i, w) for i, w, _ in found] == [(5, window)] and found[0][2] >= window - others, places
+        lost = [b"x" if k < window // 5 + 1 else w for k, w in enumerate(item[:window])]
+        assert not index.overlaps(b" ".join(lost).decode())
+
+
 def test_decontaminate_sql(spark, sf_dir):
     got = decontaminate.op6_decontaminate(spark, sf_dir).toPandas()
     problem = difference(got, duck(sf_dir).execute(decontaminate._SQL).df())
