@@ -4,12 +4,13 @@ Labelled page outcomes (bad or not) are counted by host. A beta-binomial prior i
 by moments at each level and handed down: all pages give the prior of a public suffix,
 the suffix's posterior mean that of its registered domains, the domain's that of its
 hosts. A host is blocked if the lower bound of its posterior bad share is above the
-limit. Counts are summed before they are shuffled, so a host with a third of all pages
+limit. A host without labelled pages is judged by the prior it inherits: its domain's for
+hosts, else its suffix's for domains, else the root's for suffixes. Counts are summed before they are shuffled, so a host with a third of all pages
 is one row per task; the join back to the pages is a plain equi-join that adaptive
 execution splits.
 
 Defined results: a null url or one without ``://`` has an empty host and path, fits no
-rule and is judged as a host without outcomes of its own; a url with an empty path fits
+rule and is allowed, as there is no host to judge; a url with an empty path fits
 no rule, as every rule's path starts with ``/``; repeated page rows count each time; a
 document labelled twice counts as bad if any of its labels is; an empty table gives an
 empty result; other columns are ignored.
@@ -63,11 +64,13 @@ def suffix_of(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def _shrunk(level: DataFrame, key: str, parent: str, up: DataFrame | None) -> DataFrame:
+def _shrunk(level: DataFrame, key: str, parent: str, up: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Posterior mean of each ``key``, its prior centred on the parent's and weighted by moments.
 
     The weight follows from how far the shares of children of one parent are apart,
-    beyond what their sizes explain: wide apart, a light prior; alike, a heavy one.
+    beyond what their sizes explain: wide apart, a light prior; alike, a heavy one. Beside it
+    the prior (key, mean, evidence) that each ``parent`` hands to children not seen; where
+    it has one child, nothing tells how far children are apart, and this prior is light.
     """
     pages, bad = F.sum("pages").cast("double"), F.sum("bad").cast("double")
     spread = level.groupBy(parent).agg(
@@ -79,7 +82,6 @@ def _shrunk(level: DataFrame, key: str, parent: str, up: DataFrame | None) -> Da
         spread = spread.withColumn("centre", (F.col("p_bad") + 1.0) / (F.col("p_pages") + 2.0))
     else:
         spread = spread.join(up.select(F.col("key").alias(parent), F.col("mean").alias("centre")), parent)
-    joined = level.join(spread, parent)
     mu = F.col("p_bad") / F.col("p_pages")
     within = mu * (1.0 - mu)
     between = F.col("p_dev") - F.col("p_pages") * mu * mu  # sum of n (share - mu)^2
@@ -88,12 +90,15 @@ def _shrunk(level: DataFrame, key: str, parent: str, up: DataFrame | None) -> Da
     weight = F.when((room > 0) & (excess > 0), within / excess - 1.0).otherwise(F.lit(MOST_WEIGHT))
     weight = F.greatest(F.lit(LEAST_WEIGHT), F.least(F.lit(MOST_WEIGHT), weight))
     alpha = F.col("centre") * F.col("weight") + F.col("bad")
-    return (
-        joined.withColumn("weight", weight)
+    posterior = (
+        level.join(spread, parent)
+        .withColumn("weight", weight)
         .withColumn("mean", alpha / (F.col("weight") + F.col("pages")))
         .withColumn("evidence", F.col("weight") + F.col("pages"))
         .select(F.col(key).alias("key"), "mean", "evidence")
     )
+    handed = F.when(F.col("p_n") > 1, weight).otherwise(F.lit(LEAST_WEIGHT))
+    return posterior, spread.select(F.col(parent).alias("key"), F.col("centre").alias("mean"), handed.alias("evidence"))
 
 
 def _blocked(mean: Column, evidence: Column, limit: float) -> Column:
@@ -101,30 +106,38 @@ def _blocked(mean: Column, evidence: Column, limit: float) -> Column:
     return mean - QUANTILE * F.sqrt(mean * (1.0 - mean) / (evidence + 1.0)) > limit
 
 
-def reputation(outcomes: DataFrame, limit: float = BAD_SHARE) -> DataFrame:
-    """(host, blocked) from ``outcomes`` (host, bad 0/1): each host with outcomes."""
-    hosts = (
+def reputation(outcomes: DataFrame, limit: float = BAD_SHARE, hosts: DataFrame | None = None) -> DataFrame:
+    """(host, blocked) from ``outcomes`` (host, bad 0/1): each host with outcomes, or each of ``hosts``."""
+    names = {"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}
+    seen = (
         outcomes.where("host <> ''")
         .groupBy("host")
         .agg(F.count(F.lit(1)).alias("pages"), F.sum("bad").alias("bad"))
-        .withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+        .withColumns(names)
     )
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"))
+    domains = seen.groupBy("domain", "suffix").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"))
-    by_suffix = _shrunk(suffixes.withColumn("root", F.lit("")), "suffix", "root", None)
-    by_domain = _shrunk(domains, "domain", "suffix", by_suffix)
-    by_host = _shrunk(hosts, "host", "domain", by_domain)
-    return by_host.select(F.col("key").alias("host"), _blocked(F.col("mean"), F.col("evidence"), limit).alias("blocked"))
+    by_suffix, of_root = _shrunk(suffixes.withColumn("root", F.lit("")), "suffix", "root", None)
+    by_domain, of_suffix = _shrunk(domains, "domain", "suffix", by_suffix)
+    by_host, of_domain = _shrunk(seen, "host", "domain", by_domain)
+    if hosts is None:
+        return by_host.select(F.col("key").alias("host"), _blocked(F.col("mean"), F.col("evidence"), limit).alias("blocked"))
+    judged = hosts.where("host <> ''").select("host").distinct().withColumns(names | {"root": F.lit("")})
+    levels = {"host": by_host, "domain": of_domain, "suffix": of_suffix, "root": of_root}
+    for name, level in levels.items():
+        judged = judged.join(level.toDF(name, f"{name}_mean", f"{name}_evidence"), name, "left")
+    mean, evidence = (F.coalesce(*[F.col(f"{n}_{of}") for n in levels]) for of in ("mean", "evidence"))
+    return judged.select("host", _blocked(mean, evidence, limit).alias("blocked"))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple = RULES, limit: float = BAD_SHARE) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of ``pages``.
 
-    ``outcomes`` has (host, bad). Hosts without outcomes are allowed: no evidence.
+    ``outcomes`` has (host, bad). Hosts without outcomes are judged by what they inherit.
     """
     rule, says = _by_rule(rules)
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    judged = parts.join(reputation(outcomes, limit), "host", "left")
+    judged = parts.join(reputation(outcomes, limit, parts), "host", "left")
     by_method = F.when(F.coalesce(F.col("blocked"), F.lit(False)), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(says, by_method).alias("verdict"))
 

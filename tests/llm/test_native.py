@@ -229,6 +229,16 @@ def test_urls(spark):
     assert judged == {"bad.org": True, "good.org": False}
 
 
+def test_hosts_without_outcomes_inherit(spark):
+    """Lower bounds worked out by hand: prior 2 where one child is seen, else by the spread."""
+    bad = [(f"h{k}.bad.org", 1) for k in range(3) for _ in range(50)] + [("www.good.net", 0)] * 400
+    outcomes = spark.createDataFrame(bad, "host string, bad int")
+    hosts = ["h0.bad.org", "new.bad.org", "new.good.net", "other.org", "other.net", "else.where", "www.good.net"]
+    pages = spark.createDataFrame([(h, f"https://{h}/a") for h in hosts], "page_id string, url string")
+    verdicts = {r.page_id: r.verdict for r in url_filter.filter_urls(pages, outcomes, (("none", "/", "allow"),)).collect()}
+    assert {h for h, v in verdicts.items() if v == "block"} == {"h0.bad.org", "new.bad.org", "other.org"}
+
+
 def test_empty_tables(spark, docs):
     none = docs.where("false")
     assert secret_scan.scan_secrets(none).count() == 0
