@@ -11,9 +11,10 @@ enough to equal sets only, which are one node from the start.
 Pairs are bounded by stars. Every bucket names a centre, and only the centre is compared
 with the others: first the node with most company over all its buckets (an original among
 its copies), then, in the buckets that verified links have not yet joined, a centre drawn by hash,
-``DRAWN_ROUNDS`` times. What is still apart in a bucket after that is compared in full:
-the nodes outside the bucket's largest component with all that are not in their own. So no
-pair that shares a bucket goes without either a comparison or a common component.
+``DRAWN_ROUNDS`` times. The nodes of buckets that are still apart are held against each
+other by a prefix filter over their full sets (``_remaining_pairs``), which finds every
+similar pair of them that is not in one component yet. So no similar pair that shares a
+bucket goes without either a comparison or a common component.
 
 Links are confirmed on the full sets, whose elements are 64-bit hashes of the shingles.
 
@@ -28,7 +29,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgersift.llm.common import map_texts, query, table, written
@@ -38,7 +39,7 @@ from ledgersift.llm.components import components
 BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
 #: Rounds with centres drawn by hash.
-DRAWN_ROUNDS = 3
+DRAWN_ROUNDS = 2
 #: Distinct words whose hashes a slice of texts remembers at most.
 KNOWN_WORDS = 500_000
 
@@ -207,26 +208,40 @@ def _drawn_stars(members: DataFrame, number: int, percent: int) -> DataFrame:
     return _stars(members, centres, percent)
 
 
-def _remaining_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b) of all nodes still apart in a bucket, where their sizes allow a link.
+def _remaining_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b), among them all similar pairs of ``members`` that are not in one component.
 
-    One side is never in the largest component of the bucket, which may hold nearly all.
+    Elements stand in one order for all sets: first those that only one component has, then by
+    the number of sets that have them, rare ones first. Two similar sets share an element among
+    the first few of both, and what follows it suffices for the similarity. The elements that
+    one component has alone lead to no other, so only the others are joined.
     """
-    largest = (
-        members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("key").agg(F.max(F.struct("n", "root")).alias("c")).select("key", F.col("c.root").alias("main"))
-    )
-    sides = members.join(largest, "key")
-    left = sides.where("root <> main").select("key", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("size").alias("a_size"))
-    right = sides.select(F.col("key").alias("b_key"), F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("size").alias("b_size"), "main")
+    nodes = members.select("node", "root", "size").distinct()
+    elements = nodes.join(sets, "node").select("node", "root", "size", F.explode("shingles").alias("element"))
+    spread = (
+        elements.groupBy("element")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low <> high")
+        .select("element", "n")
+    )
+    of_node = Window.partitionBy("node")
+    before = F.col("size") - F.count(F.lit(1)).over(of_node)
+    place = before + F.row_number().over(of_node.orderBy("n", "element"))
+    first_places = F.col("size") - F.ceil(F.col("size") * percent / 100 - 1e-9) + 1
+    placed = elements.join(spread, "element").withColumn("place", place).where(F.col("place") <= first_places)
+    placed = written(placed.select("element", "node", "root", "size", "place"), "places")
+    sides = ("node", "root", "size", "place")
+    left = placed.select("element", *[F.col(c).alias(f"a_{c}") for c in sides])
+    right = placed.select(F.col("element").alias("b_element"), *[F.col(c).alias(f"b_{c}") for c in sides])
+    common = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place")) + 1
     condition = (
-        (left["key"] == right["b_key"])
+        (left["element"] == right["b_element"])
+        & (F.col("a_node") > F.col("b_node"))
         & (F.col("a_root") != F.col("b_root"))
-        & ((F.col("b_root") == F.col("main")) | (F.col("a") > F.col("b")))
         & _sized("a_size", "b_size", percent)
+        & (common * (100 + percent) >= (F.col("a_size") + F.col("b_size")) * percent)
     )
-    pairs = left.join(right, condition)
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return left.join(right, condition).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
 def link_components(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -236,7 +251,7 @@ def link_components(shared: DataFrame, sets: DataFrame, percent: int) -> DataFra
     roots = components(links)
     for number in range(DRAWN_ROUNDS + 1):
         members = _open(shared, roots)
-        pairs = _drawn_stars(members, number, percent) if number < DRAWN_ROUNDS else _remaining_pairs(members, percent)
+        pairs = _drawn_stars(members, number, percent) if number < DRAWN_ROUNDS else _remaining_pairs(members, sets, percent)
         pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         more = written(_confirmed(pairs, sets, percent), "links")
         if more.isEmpty():
