@@ -29,14 +29,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
-from ledgersift.llm.common import map_texts, query, table
+from ledgersift.llm.common import kept_by_worker, map_texts, query, table
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Characters of a leaf; tokens on either side of a window at first; needed agreement.
 LEAF_CHARS, WINDOW_TOKENS, AGREE_TOKENS, AGREE_BYTES = 4096, 16, 3, 24
 
-#: Words whose ids an encoder remembers before it starts afresh.
-KNOWN_WORDS = 400_000
+#: Words whose ids an encoder remembers at most, but for those of the leaves at hand.
+KNOWN_WORDS = 200_000
+#: Characters of leaves encoded together.
+GROUP_CHARS = 1 << 18
 #: Text encoded at once; lists of ids take several times its size.
 SLICE_BYTES = 2 << 20
 
@@ -96,7 +98,8 @@ class TreeEncoder:
         looked up; new ones are encoded together, once.
         """
         split = [leaf.split(" ") for leaf in leaves]
-        if len(self.known) > KNOWN_WORDS:
+        new = set(chain.from_iterable(parts[1:] for parts in split)).difference(self.known)
+        if len(self.known) + len(new) > KNOWN_WORDS:
             self.known.clear()
         missing: set[str] = set()
         for k, parts in enumerate(split):
@@ -177,7 +180,14 @@ class TreeEncoder:
             own = self._leaves(text)
             spans.append((len(leaves), len(leaves) + len(own)))
             leaves += own
-        done = self._encoded_leaves(leaves)
+        done, at = [], 0
+        while at < len(leaves):
+            end, size = at, 0
+            while end < len(leaves) and size < GROUP_CHARS:
+                size += len(leaves[end])
+                end += 1
+            done += self._encoded_leaves(leaves[at:end])
+            at = end
         out = []
         for first, last in spans:
             level = done[first:last]
@@ -191,14 +201,12 @@ class TreeEncoder:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[int, TreeEncoder] = {}
-
-
 def _encoder(vocabulary: str, leaf_chars: int) -> TreeEncoder:
-    key = hash((vocabulary, leaf_chars))
-    if key not in _ENCODERS:
-        _ENCODERS[key] = TreeEncoder(vocabulary, leaf_chars)
-    return _ENCODERS[key]
+    """The encoder of this Python worker, made once; another vocabulary takes its place."""
+    kept, key = kept_by_worker(), (hash(vocabulary), leaf_chars)
+    if kept.get("encoder", (None, None))[0] != key:
+        kept["encoder"] = (key, TreeEncoder(vocabulary, leaf_chars))
+    return kept["encoder"][1]
 
 
 def _vocabulary(path: str | None) -> str:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import ctypes
+import gc
+import sys
+import types
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,27 +46,108 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Work tables and sent values of the innermost ``releasing`` block.
+_IN_USE: list[list] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read again: cuts lineage, survives executors."""
-    path = work_path(df.sparkSession, name)
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _IN_USE:
+        _IN_USE[-1].append(path)
+    free_finished_shuffles(spark)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.work_path = path
+    return table
+
+
+def free_finished_shuffles(spark: SparkSession) -> None:
+    """Spark removes the shuffle files of finished steps once the driver has collected garbage."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def share(spark: SparkSession, value) -> Callable:
-    """``value`` sent to all executors once; the result of the call gives it back there.
+def discard(*tables: DataFrame) -> None:
+    """Delete work tables made by ``written`` that nothing reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df.work_path)
+
+
+@contextmanager
+def releasing(spark: SparkSession):
+    """Delete the work tables written inside the block, and destroy what it shared, when it ends."""
+    _IN_USE.append([])
+    try:
+        yield
+    finally:
+        for used in _IN_USE.pop():
+            if isinstance(used, str):
+                _delete(spark, used)
+            else:
+                used.destroy()
+
+
+class Shared:
+    """A value sent to all executors once; calling this gives it back there.
 
     Serialized by value like the functions, so executors need not have the library.
     """
-    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
-    held: list = []
 
-    def get():
-        if not held:
-            held.append(cloudpickle.loads(sent.value))
-        return held[0]
+    def __init__(self, spark: SparkSession, value):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self.held: list = []
+        self.destroyed = False
+
+    def __call__(self):
+        if not self.held:
+            self.held.append(cloudpickle.loads(self.sent.value))
+        return self.held[0]
+
+    def destroy(self) -> None:
+        """Free it everywhere; nothing that uses it may run afterwards."""
+        if not self.destroyed:
+            self.destroyed = True
+            self.sent.destroy()
+
+
+def share(spark: SparkSession, value) -> Shared:
+    """``value`` for all executors; the innermost ``releasing`` block destroys it."""
+    sent = Shared(spark, value)
+    if _IN_USE:
+        _IN_USE[-1].append(sent)
+    return sent
+
+
+def kept_by_worker() -> dict:
+    """A dictionary that stays with a Python worker from task to task.
+
+    Functions arrive by value, each task with globals of its own, so those keep nothing.
+    """
+    module = sys.modules.setdefault("_ledgersift_worker", types.ModuleType("_ledgersift_worker"))
+    return module.__dict__.setdefault("kept", {})
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system: workers wait idle while later stages need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
 
-    return get
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def _sizes_of(values: pa.Array) -> list[int]:
@@ -103,6 +189,7 @@ def map_texts(
                 columns = [part.column(c) for c in keep] + [pa.array(new[f.name], type=f.type) for f in kinds]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 at = end
+        give_back_memory()
 
     wanted = list(dict.fromkeys([*keep, text_col]))
     return df.select(*[F.col(f"`{c}`") for c in wanted]).mapInArrow(run, schema)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import written
+from ledgersift.llm.common import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
     state = [F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))]
     before = tuple(now.agg(*state).first())
     while before[0]:
-        now = written(_small_star(_large_star(now)), "edges")
+        earlier, now = now, written(_small_star(_large_star(now)), "edges")
+        discard(earlier)
         after = tuple(now.agg(*state).first())
         if after == before:
             break

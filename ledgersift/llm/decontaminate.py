@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import map_texts, query, share, table
+from ledgersift.llm.common import free_name, map_texts, query, share, table
 
 #: Seeds of the check SQL.
 MASKS = ("1101100101", "1110010011", "1010111001", "1001011011")
@@ -135,18 +135,18 @@ def _blocks(benchmark: DataFrame) -> Iterator[SeedIndex]:
         yield SeedIndex(block)
 
 
-_HITS = "_ls_hits array<struct<item_id:bigint,window_words:int,equal_words:int>>"
+_HITS = "array<struct<item_id:bigint,window_words:int,equal_words:int>>"
 
 
-def _searched(docs: DataFrame, index: SeedIndex, keep: list[str]) -> DataFrame:
+def _searched(docs: DataFrame, index: SeedIndex, keep: list[str], name: str = "_ls_hits") -> DataFrame:
     shared = share(docs.sparkSession, index)  # BLOCK_WORDS bounds it
 
     def run(texts: list) -> dict:
         seeds = shared()
         names = ("item_id", "window_words", "equal_words")
-        return {"_ls_hits": [[dict(zip(names, hit)) for hit in seeds.overlaps(t)] for t in texts]}
+        return {name: [[dict(zip(names, hit)) for hit in seeds.overlaps(t)] for t in texts]}
 
-    return map_texts(docs, keep, run, _HITS)
+    return map_texts(docs, keep, run, f"{name} {_HITS}")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -164,9 +164,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The pipeline stage: documents that overlap a test item go, the others stay as they are."""
-    columns = docs.columns
+    columns, name = docs.columns, free_name(docs.columns, "_ls_hits")
     for index in _blocks(benchmark):
-        docs = _searched(docs, index, columns).where("size(_ls_hits) = 0").select(*columns)
+        docs = _searched(docs, index, columns, name).where(F.size(name) == 0).select(*[f"`{c}`" for c in columns])
     return docs
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import query, row_key, table, written
+from ledgersift.llm.common import free_name, query, row_key, table, written
 
 #: One line in so many ends a chunk, on average.
 LINES_PER_CHUNK = 3
@@ -62,7 +62,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with cleaned ``text_col``, and counts of lines before and removed.
 
     The counts are ``_ls_lines`` and ``_ls_removed``; ``_ls_all_gone`` tells that a text had
-    lines and none is left.
+    lines and none is left (see ``count_names`` for documents that have such columns).
     """
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
@@ -79,7 +79,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pieces = exploded.where(
         (F.col("_chunk.n_lines") > 1) & F.col("_chunk.text").rlike("[^ \\t-\\r]")
     )
-    place = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_no").alias("c"))
+    # the key tells rows of one id, and rows without one, apart
+    place = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_key").alias("k"), F.col("_no").alias("c"))
     marked = pieces.select(
         "_key", "_no", "_n_chunks", place.alias("_place"), F.col("_chunk.text").alias("_text"),
         F.unhex(F.md5(F.col("_chunk.text").cast("binary"))).alias("_digest"),
@@ -105,6 +106,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return _rebuilt(docs, keyed, removed, text_col)
 
 
+def count_names(columns: list[str]) -> tuple[str, str, str]:
+    """The names of the three added columns: free ones."""
+    return tuple(free_name(columns, name) for name in ("_ls_lines", "_ls_removed", "_ls_all_gone"))
+
+
 def _rebuilt(docs: DataFrame, keyed: DataFrame, removed: DataFrame, text_col: str) -> DataFrame:
     """Put the remaining chunks together again, in rows that lost any."""
     joined = _chunked(keyed.join(removed, "_key", "left"))
@@ -115,21 +121,23 @@ def _rebuilt(docs: DataFrame, keyed: DataFrame, removed: DataFrame, text_col: st
     lines_of = lambda chunks: F.aggregate(chunks, F.lit(0), lambda a, x: a + x["n_lines"])
     total = F.coalesce(lines_of(F.col("_chunks")), F.lit(0))
     fields = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    n_lines, n_removed, all_gone = count_names(docs.columns)
     return rows.select(
         *fields,
-        total.cast("bigint").alias("_ls_lines"),
-        F.when(lost, total - lines_of(F.col("_left"))).otherwise(F.lit(0)).cast("bigint").alias("_ls_removed"),
-        F.coalesce(F.size("_gone") == F.col("_n_chunks"), F.lit(False)).alias("_ls_all_gone"),
+        total.cast("bigint").alias(n_lines),
+        F.when(lost, total - lines_of(F.col("_left"))).otherwise(F.lit(0)).cast("bigint").alias(n_removed),
+        F.coalesce(F.size("_gone") == F.col("_n_chunks"), F.lit(False)).alias(all_gone),
     )
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The pipeline stage: cleaned documents; those with no line left go, ``n_chars`` follows."""
-    cleaned = dedup_lines(docs).where("NOT _ls_all_gone")
+    _, n_removed, all_gone = count_names(docs.columns)
+    cleaned = dedup_lines(docs).where(~F.col(all_gone))
     if "n_chars" in docs.columns:
-        size = F.when(F.col("_ls_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+        size = F.when(F.col(n_removed) > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
         cleaned = cleaned.withColumn("n_chars", size.otherwise(F.col("n_chars")))
-    return cleaned.select(*docs.columns)
+    return cleaned.select(*[f"`{c}`" for c in docs.columns])
 
 
 _SQL = f"""
@@ -140,7 +148,8 @@ b AS (SELECT r, i, line, ((h + {MULTIPLIER} * coalesce(lag(h) OVER w, 0)) % {LIN
   WINDOW w AS (PARTITION BY r ORDER BY i)),
 c AS (SELECT r, i, line, coalesce(sum(closes) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM b),
 k AS (SELECT r, c, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n_lines FROM c GROUP BY r, c),
-f AS (SELECT k.*, d.doc_id, row_number() OVER (PARTITION BY chunk ORDER BY d.doc_id, c) AS place,
+f AS (SELECT k.*, d.doc_id, rank() OVER (PARTITION BY chunk
+    ORDER BY d.doc_id, md5(coalesce(d.doc_id::VARCHAR, '-') || ':' || coalesce(d.text, '')), c) AS place,
   n_lines > 1 AND regexp_matches(chunk, '[^\\x20\\x09-\\x0D]') AS counts FROM k JOIN d ON d.r = k.r),
 x AS (SELECT r, sum(n_lines) AS n_lines, coalesce(sum(n_lines) FILTER (counts AND place > 1), 0) AS n_removed,
   coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (NOT (counts AND place > 1)), '') AS cleaned FROM f GROUP BY r)

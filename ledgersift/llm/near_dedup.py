@@ -1,8 +1,8 @@
 """Near-duplicates by SimHash and Golay-code fuzzy hashing, and by shingle prefixes.
 
 ``fingerprint_components`` links fingerprints, ``near_copies`` texts whose sets of shingles
-have a given Jaccard similarity; both find all links there are. For the second, shingles
-stand in one order over the whole corpus, rare ones first, and the first fifth of each set
+have a given Jaccard similarity; both find all links there are. The second takes the pairs
+that share a Golay key first, which are too few; to complete them, shingles stand in one order over the whole corpus, rare ones first, and the first fifth of each set
 (for 0.8) are its keys: sets similar enough share one (prefix filter). Fingerprints are cut into segments. With few differing bits, one segment has none and
 its neighbour at most two (pigeonhole); the pair of that exact segment and a Golay key
 of the neighbour is then shared. Nodes meet at these keys, are verified, and linked ones
@@ -35,13 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import map_texts, query, row_key, share, table, written
+from ledgersift.llm.common import discard, give_back_memory, map_texts, query, row_key, share, table, written
 from ledgersift.llm.components import components
 from ledgersift.llm.golay import segment_keys
 
 PAIRS_UP_TO = 16
 #: ``near_copies`` counts shingles in blocks of about so many and knows so many common ones at most.
-COUNTED_AT_ONCE, MOST_COMMON = 4_000_000, 400_000
+COUNTED_AT_ONCE, MOST_COMMON = 1_000_000, 400_000
 
 
 def ascii_words(text: str | None) -> list[bytes]:
@@ -70,11 +70,15 @@ def majority_bits(hashes: np.ndarray) -> np.ndarray:
     return (2 * counts > len(hashes)).astype(np.uint8)
 
 
+def simhash(hashes: np.ndarray) -> int:
+    """The majority of each bit of 64-bit hashes, as a signed number."""
+    return int(np.packbits(majority_bits(hashes.astype(">u8").reshape(-1, 1))).view(">i8")[0])
+
+
 def fingerprint(text: str | None, size: int) -> int:
     """64-bit SimHash over the XXH64 (seed 42) of word shingles, as a signed number."""
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, 42) for s in shingles(ascii_words(text), size)], dtype=">u8").reshape(-1, 1)
-    return int(np.packbits(majority_bits(hashes)).view(">i8")[0])
+    return simhash(np.array([digest(s, 42) for s in shingles(ascii_words(text), size)], dtype=np.uint64))
 
 
 def fingerprints(docs: DataFrame, size: int) -> DataFrame:
@@ -101,16 +105,20 @@ def _pairs(keys: DataFrame, sizes: DataFrame) -> DataFrame:
     return some.select("key", F.col("node").alias("a")).join(other, "key").where("a < b").select("a", "b")
 
 
-def link_fingerprints(nodes: DataFrame) -> DataFrame:
-    """(a, b): enough of the pairs of distinct ``fp`` at most two bits apart to connect them all."""
+def golay_keys(nodes: DataFrame, node: str) -> DataFrame:
+    """(key, node) of all Golay keys of the fingerprints ``fp``; ``node`` names the rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = batch["fp"].to_numpy(dtype=np.int64)
-            rows, keys = segment_keys(_parts_of(values))
-            yield pd.DataFrame({"key": keys, "node": values[rows]})
+            rows, keys = segment_keys(_parts_of(batch["fp"].to_numpy(dtype=np.int64)))
+            yield pd.DataFrame({"key": keys, "node": batch["node"].to_numpy(dtype=np.int64)[rows]})
+
+    return nodes.select("fp", F.col(node).alias("node")).mapInPandas(run, "key bigint, node bigint")
 
-    keys = nodes.select("fp").mapInPandas(run, "key bigint, node bigint")
+
+def link_fingerprints(nodes: DataFrame) -> DataFrame:
+    """(a, b): enough of the pairs of distinct ``fp`` at most two bits apart to connect them all."""
+    keys = golay_keys(nodes, "fp")
     sizes = written(_sizes(keys), "key-sizes")
     near = _pairs(keys, sizes).where("bit_count(a ^ b) <= 2").distinct()
     large = keys.join(sizes.where(f"n > {PAIRS_UP_TO}").select("key"), "key").select("node").distinct()
@@ -162,6 +170,8 @@ def common_shingles(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
                     sets, held = [], 0
         if sets:
             yield counted(sets)
+        sets.clear()
+        give_back_memory()
 
     found = rows.select("text").mapInPandas(run, "shingle bigint, n bigint")
     totals = written(found.groupBy("shingle").agg(F.sum("n").alias("n")), "common-shingles")
@@ -193,23 +203,26 @@ def prefix(own: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: f
     return ordered[: len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1]
 
 
-def _prefixes(rows: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(_key, doc_id, digest, handle, n_shingles, prefix) of rows (_key, doc_id, text)."""
-    shared = share(rows.sparkSession, common_shingles(rows, size))
+def _prefixes(rows: DataFrame, size: int, similarity: float, shared) -> DataFrame:
+    """(_key, doc_id, digest, handle, fp, n_shingles, prefix) of rows (_key, doc_id, text).
+
+    ``shared`` gives the common shingles.
+    """
 
     def run(texts: list) -> dict:
-        out = {"digest": [], "handle": [], "n_shingles": [], "prefix": []}
+        out = {"digest": [], "handle": [], "fp": [], "n_shingles": [], "prefix": []}
         for text in texts:
             words = ascii_words(text)
             digest = xxhash.xxh3_128_digest(b" ".join(words))
             own = shingle_set(words, size)
             out["digest"].append(digest)
             out["handle"].append(int.from_bytes(digest[:8], "big", signed=True))
+            out["fp"].append(simhash(own))
             out["n_shingles"].append(len(own))
             out["prefix"].append(prefix(own, shared(), similarity).tobytes())
         return out
 
-    return map_texts(rows, ["_key", "doc_id"], run, "digest binary, handle bigint, n_shingles int, prefix binary")
+    return map_texts(rows, ["_key", "doc_id"], run, "digest binary, handle bigint, fp bigint, n_shingles int, prefix binary")
 
 
 def _prefix_keys(nodes: DataFrame) -> DataFrame:
@@ -245,9 +258,9 @@ def _led(large: DataFrame, leaders: DataFrame) -> DataFrame:
     return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
-def pairs_with_centres(shared: DataFrame) -> DataFrame:
-    """Each node of a large key with the node of that key that has most company."""
-    large = shared.where(f"n > {PAIRS_UP_TO}")
+def pairs_with_centres(shared: DataFrame, above: int = PAIRS_UP_TO) -> DataFrame:
+    """Each node of a key of more than ``above`` nodes with the one that has most company."""
+    large = shared.where(f"n > {above}")
     company = large.groupBy("node").agg(F.sum(F.log("n")).alias("company"))
     central = large.join(company, "node").groupBy("key").agg(F.max(F.struct("company", "node")).alias("c"))
     return _led(large.select("key", "node"), central.select("key", F.col("c.node").alias("leader")))
@@ -309,17 +322,22 @@ def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
 def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """(_key) of one row for each group of near-copies: the row with the lowest id.
 
-    Rows equal in id and text share ``_key`` (see ``row_key``). Candidates share a shingle of
-    their prefixes, as all similar pairs do; links come from the exact Jaccard similarity.
+    Rows equal in id and text share ``_key`` (see ``row_key``). First candidates are the nodes
+    that share a Golay key of their fingerprints, each with the centre of its key; shingles of
+    the prefixes, of which all similar pairs share one, complete them. Links come from the exact Jaccard similarity.
     """
     rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("_key"), "doc_id", "text")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("_key").alias("k"))
+    common = share(docs.sparkSession, common_shingles(rows, size))
     nodes = written(
-        _prefixes(rows, size, similarity)
+        _prefixes(rows, size, similarity, common)
         .groupBy("digest")
-        .agg(F.min(order).alias("first"), *[F.min(c).alias(c) for c in ("handle", "n_shingles", "prefix")]),
+        .agg(F.min(order).alias("first"), *[F.min(c).alias(c) for c in ("handle", "fp", "n_shingles", "prefix")]),
         "nodes",
     )
+    common.destroy()
+    by_golay = golay_keys(nodes, "handle")
+    by_golay = written(by_golay.join(_sizes(by_golay), "key"), "golay-keys")
     shared = shared_keys(nodes)
     with_company = nodes.join(shared.select(F.col("node").alias("handle")).distinct(), "handle", "left_semi")
     wanted = with_company.select(F.col("first.k").alias("_key"), "digest", "handle")
@@ -331,12 +349,13 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
         met = pairs.toDF("a_handle", "b_handle").join(left, "a_handle").join(right, "b_handle")
         return written(_similar(met.select("a", "b", "left", "right"), similarity), "links")
 
-    first = links(pairs_with_centres(shared))
+    first = links(pairs_with_centres(by_golay, 1).unionAll(pairs_with_centres(shared)).distinct())
     handles = nodes.select(F.col("digest").alias("node"), "handle")
     by_digest = components(first)
     tops = handles.select(F.col("node").alias("root"), F.col("handle").alias("root_handle"))
     linked = by_digest.join(handles, "node").join(tops, "root")
     second = links(pairs_across(shared, linked.select(F.col("handle").alias("node"), F.col("root_handle").alias("root")), similarity))
+    discard(shared, by_golay, sets)
     roots = components(first.unionAll(second))
     rooted = nodes.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     return rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.k").alias("_key"))
@@ -344,9 +363,10 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
 
 def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """The pipeline stage: of each group of near-copies the row with the lowest id stays."""
-    keyed = docs.withColumn("_ls_key", row_key(F.col("doc_id"), F.col("text")))
-    stays = near_copies(docs, size, similarity).withColumnRenamed("_key", "_ls_key")
-    return keyed.join(stays, "_ls_key", "left_semi").dropDuplicates(["_ls_key"]).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    keyed = docs.select(row, row_key(F.col("doc_id"), F.col("text")).alias("_key"))
+    stays = near_copies(docs, size, similarity)
+    return keyed.join(stays, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
 
 
 @query("op5_simhash_near_dedup")
