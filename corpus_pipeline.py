@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgersift.llm import bpe, decontaminate, line_dedup, near_dedup, toxicity
-from ledgersift.llm.common import table, written
+from ledgersift.llm.common import releasing, table
+from ledgersift.session import work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,7 +56,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's result is a table; what it needed on the way goes when that is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = work_path(spark, f"pipeline-{name}")
+        with releasing(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
     return docs
