@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -13,14 +17,16 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgersift.functions.features import MODEL_COLUMNS_8
+from ledgersift.ml.areas import areas, prediction_areas
+from ledgersift.ml.boosting import BoostedTreesClassifier
+from ledgersift.ml.nested import COUNTS, prefix_scores
 from ledgersift.ml.prepare import full_pipeline, labelled
 from ledgersift.operators.analytics import confusion_metrics
+from ledgersift.operators.layout import kept
 
 log = logging.getLogger(__name__)
 
@@ -37,12 +43,11 @@ SETTINGS = {
     },
     "gbt_advanced": {"maxIter": 200, "maxDepth": 8, "stepSize": 0.1, "seed": 42},
     "boosted": {
-        "maxIter": 200, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8", "seed": 42,
+        "maxIter": 200, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "columnRate": 0.8, "seed": 42,
     },
     "boosted_weighted": {
-        "maxIter": 100, "maxDepth": 8, "stepSize": 0.1, "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8", "weightCol": "weight", "seed": 42,
+        "maxIter": 100, "maxDepth": 8, "stepSize": 0.1, "subsamplingRate": 0.8, "columnRate": 0.8,
+        "weightCol": "weight", "seed": 42,
     },
 }
 _CLASSES = {
@@ -52,8 +57,8 @@ _CLASSES = {
     "decision_tree": DecisionTreeClassifier,
     "random_forest_advanced": RandomForestClassifier,
     "gbt_advanced": GBTClassifier,
-    "boosted": GBTClassifier,
-    "boosted_weighted": GBTClassifier,
+    "boosted": BoostedTreesClassifier,
+    "boosted_weighted": BoostedTreesClassifier,
 }
 COMPARED = ("random_forest", "gbt", "logistic_regression", "decision_tree")
 
@@ -110,8 +115,16 @@ def train(
 
 
 def auc(predictions: DataFrame, metric: str = "areaUnderROC") -> float:
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
-    return evaluator.setMetricName(metric).evaluate(predictions)
+    """The exact area (see ``areas``); ties of the score count half."""
+    return prediction_areas(predictions)[("areaUnderROC", "areaUnderPR").index(metric)]
+
+
+def _in_threads(spark: SparkSession, work: Callable, items: list, parallelism: int) -> list:
+    """``work`` of every item, several at a time: their jobs fill each other's gaps."""
+    if parallelism <= 1 or len(items) <= 1:
+        return [work(item) for item in items]
+    with ThreadPool(min(parallelism, len(items))) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
 
 
 def evaluate(trained: Trained, test: DataFrame) -> tuple:
@@ -121,10 +134,10 @@ def evaluate(trained: Trained, test: DataFrame) -> tuple:
     try:
         hit, fraud = F.col("prediction") == 1.0, F.col("label") == 1.0
         counts = confusion_metrics(scored, hit, fraud).first()
-        areas = auc(scored), auc(scored, "areaUnderPR")
+        both = prediction_areas(scored)
     finally:
         scored.unpersist()
-    return (trained.name, *counts, *areas, trained.seconds)
+    return (trained.name, *counts, *both, trained.seconds)
 
 
 def metrics_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -136,16 +149,23 @@ def compare_models(
     test_df: DataFrame,
     names: tuple[str, ...] = COMPARED,
     changes: dict[str, dict] | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
-    """One metrics row per model; a model that fails is logged and left out."""
-    rows = []
-    for name in names:
+    """One metrics row per model; a model that fails is logged and left out.
+
+    With ``parallelism`` over 1 models are fitted side by side, and their times overlap.
+    """
+
+    def one(name: str) -> tuple | None:
         try:
             trained = train(train_df, name, **(changes or {}).get(name, {}))
-            rows.append(evaluate(trained, test_df))
+            return evaluate(trained, test_df)
         except Exception:
             log.exception("training %s failed", name)
-    return metrics_table(train_df.sparkSession, rows)
+            return None
+
+    spark = train_df.sparkSession
+    return metrics_table(spark, [r for r in _in_threads(spark, one, list(names), parallelism) if r])
 
 
 def best_model(comparison: DataFrame, metric: str = "f1") -> DataFrame:
@@ -157,54 +177,85 @@ def _with_folds(df: DataFrame, folds: int) -> DataFrame:
     return df.withColumn("fold", F.pmod(F.xxhash64("tx_id"), F.lit(folds)).cast("int"))
 
 
-def _cross_validator(pipeline, grid: list, folds: int, parallelism: int) -> CrossValidator:
-    return CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(
-            labelCol="label", rawPredictionCol="rawPrediction"
-        ),
-        numFolds=folds,
-        foldCol="fold",
-        seed=42,
-        parallelism=parallelism,
-    )
+@dataclass
+class Tuned:
+    """The best point's model, fitted to all rows, and the mean area of every point."""
+
+    bestModel: PipelineModel
+    avgMetrics: list[float]
+
+
+def _fold_areas(df: DataFrame, name: str, fold: int, settings: dict, counts: list[int]) -> list[float]:
+    """Area under ROC on one fold of the models fitted to the others, one for each of ``counts``.
+
+    The largest ensemble is fitted; the smaller ones are its first trees.
+    """
+    count = next((c for c in COUNTS if counts and c in SETTINGS[name]), None)
+    largest = {count: max(counts)} if count else {}
+    rest, held = df.filter(F.col("fold") != fold), df.filter(F.col("fold") == fold)
+    model = full_pipeline(make_estimator(name, **settings, **largest), df.columns).fit(rest)
+    if not count:
+        return [auc(model.transform(held))]
+    prepared = PipelineModel(stages=model.stages[:-1]).transform(held)
+    scored = prefix_scores(model.stages[-1], prepared, counts).select("label", F.posexplode("scores").alias("place", "score"))
+    found = {int(r["curve"]): r["auc_roc"] or 0.0 for r in areas(scored, curve="place").collect()}  # one row for each count
+    return [found.get(i, 0.0) for i in range(len(set(counts)))]
 
 
 def tune(
     df: DataFrame,
     name: str,
-    grid: dict[str, tuple] | None = None,
+    grid: dict[str, tuple] | str | None = None,
     folds: int = 3,
-    parallelism: int = 2,
+    parallelism: int = 4,
     **changes,
-) -> tuple[CrossValidatorModel, DataFrame]:
-    """Grid search by area under ROC: the fitted search and one row per grid point."""
-    if grid is None and name not in GRIDS:
+) -> tuple[Tuned, DataFrame]:
+    """Grid search by area under ROC: the best model and one row per grid point.
+
+    ``grid`` may be "large" for the larger documented one. Points that differ in the number
+    of trees alone share their fits.
+    """
+    grids = LARGE_GRIDS if grid == "large" else GRIDS
+    if not isinstance(grid, dict) and name not in grids:
         raise ValueError(f"no tuning grid for model: {name}")
-    estimator = make_estimator(name, **changes)
-    builder = ParamGridBuilder()
-    for param, values in (grid or GRIDS[name]).items():
-        builder = builder.addGrid(estimator.getParam(param), list(values))
-    points = builder.build()
-    pipeline = full_pipeline(estimator, df.columns)
-    fitted = _cross_validator(pipeline, points, folds, parallelism).fit(_with_folds(df, folds))
-    best = max(fitted.avgMetrics)
-    rows = [
-        (", ".join(f"{p.name}={v}" for p, v in point.items()), float(score), bool(score == best))
-        for point, score in zip(points, fitted.avgMetrics)
-    ]
-    table = df.sparkSession.createDataFrame(rows, "parameters string, auc_roc double, best boolean")
-    return fitted, table
-
-
-def cross_validate(df: DataFrame, name: str, folds: int = 5, **changes) -> DataFrame:
+    wanted = grid if isinstance(grid, dict) else grids[name]
+    count = next((c for c in COUNTS if c in wanted), None)
+    counts = sorted(set(wanted[count])) if count else []
+    others = [p for p in wanted if p != count]
+    points = [dict(zip(others, values)) for values in product(*(wanted[p] for p in others))]
+    with kept(_with_folds(df, folds)) as (folded,):
+        jobs = [(fold, point) for point in reversed(points) for fold in range(folds)]  # the longest first
+        work = lambda job: _fold_areas(folded, name, job[0], changes | job[1], counts)
+        found = _in_threads(df.sparkSession, work, jobs, parallelism)
+    means = {}
+    for place, _ in enumerate(counts or [None]):
+        for point in points:
+            own = [f[place] for (_, p), f in zip(jobs, found) if p == point]
+            means[place, tuple(point.values())] = sum(own) / folds
+    rows, settings = [], []
+    for values in product(*wanted.values()):
+        point = dict(zip(wanted, values))
+        place = counts.index(point[count]) if count else 0
+        settings.append(point)
+        rows.append((", ".join(f"{p}={v}" for p, v in point.items()), means[place, tuple(point[p] for p in others)]))
+    best = max(score for _, score in rows)
+    chosen = settings[[score for _, score in rows].index(best)]
+    model = full_pipeline(make_estimator(name, **(changes | chosen)), df.columns).fit(df)
+    table = df.sparkSession.createDataFrame(
+        [(text, score, score == best) for text, score in rows], "parameters string, auc_roc double, best boolean"
+    )
+    return Tuned(model, [score for _, score in rows]), table
+
+
+def cross_validate(df: DataFrame, name: str, folds: int = 5, parallelism: int = 4, **changes) -> DataFrame:
     """Mean and deviation of area under ROC over the folds."""
-    pipeline = full_pipeline(make_estimator(name, **changes), df.columns)
-    fitted = _cross_validator(pipeline, [{}], folds, 1).fit(_with_folds(df, folds))
-    row = (name, folds, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))
+    with kept(_with_folds(df, folds)) as (folded,):
+        work = lambda fold: _fold_areas(folded, name, fold, changes, [])[0]
+        found = _in_threads(df.sparkSession, work, list(range(folds)), parallelism)
+    mean = sum(found) / folds
+    deviation = (sum((x - mean) ** 2 for x in found) / max(folds - 1, 1)) ** 0.5
     return df.sparkSession.createDataFrame(
-        [row], "model string, folds int, mean_auc double, std_auc double"
+        [(name, folds, mean, deviation)], "model string, folds int, mean_auc double, std_auc double"
     )
 
 

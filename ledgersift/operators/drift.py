@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgersift.operators.quality import unpivot_one_row
 
@@ -18,8 +19,14 @@ DRIFT_LIMITS = (
 STATISTICS_SCHEMA = "feature string, mean double, std double, min double, max double, count bigint"
 
 
-def feature_statistics(df: DataFrame, features: list[str]) -> DataFrame:
-    """mean, sample std, min, max and non-null count per feature; nulls become 0."""
+def numeric_features(df: DataFrame, ids: tuple[str, ...] = ("tx_id",)) -> list[str]:
+    """All numeric columns but the ids, in order."""
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in ids]
+
+
+def feature_statistics(df: DataFrame, features: list[str] | None = None) -> DataFrame:
+    """mean, sample std, min, max and non-null count per feature (all numeric ones); nulls become 0."""
+    features = numeric_features(df) if features is None else features
     makers = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     stats = [
         F.coalesce(f(c).cast("double"), F.lit(0.0)).alias(f"{m}_{c}")
@@ -78,7 +85,7 @@ def drift_alerts(
     )
 
 
-def monitor_drift(df: DataFrame, features: list[str], baseline_path: str) -> DataFrame | None:
+def monitor_drift(df: DataFrame, features: list[str] | None, baseline_path: str) -> DataFrame | None:
     """Alerts against the stored baseline; the first call stores one and returns None."""
     current = feature_statistics(df, features)
     baseline = load_baseline(df.sparkSession, baseline_path)

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from itertools import combinations
-from math import isfinite, sqrt
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgersift.operators.gram import pair_sums
 from ledgersift.operators.quality import unpivot_one_row
 
 VARIANCE_FLOOR = 0.01
 CORRELATION_LIMIT = 0.95
+
+
 def _number(column: str) -> Column:
     """The column as double; NaN counts as missing."""
     value = F.col(column).cast("double")
@@ -31,7 +33,7 @@ def column_spread(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, f
 def feature_variance(
     df: DataFrame, features: list[str], minimum: float = VARIANCE_FLOOR
 ) -> DataFrame:
-    wide = df.agg(*[F.var_samp(c).alias(f"variance_{c}") for c in features])
+    wide = df.agg(*[F.var_samp(_number(c)).alias(f"variance_{c}") for c in features])
     tall = unpivot_one_row(wide, features, {"variance": "double"})
     variance = F.coalesce(F.col("variance"), F.lit(0.0))
     return tall.select(
@@ -42,52 +44,10 @@ def feature_variance(
     )
 
 
-def _correlations(
-    df: DataFrame, pairs: list[tuple[str, str]], spread: dict[str, tuple[float, float]]
-) -> dict[tuple[str, str], float | None]:
-    """Correlation of each pair of columns over the rows where both are present.
-
-    One scan for any number of pairs: each row gives one short row per pair, and the
-    sums of products combine before the shuffle. Values are taken from the column's mean,
-    so the sums keep their digits. NaN counts as missing; a column that is constant on the
-    shared rows, or infinite there, has no correlation (None).
-    """
-    if not pairs:
-        return {}
-    shifted = {c: _number(c) - F.lit(float(spread[c][0])) for pair in pairs for c in pair}
-    entries = [
-        F.struct(F.lit(i).alias("pair"), shifted[a].alias("x"), shifted[b].alias("y"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    tall = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-    both = tall.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    x, y = F.col("x"), F.col("y")
-    sums = both.groupBy("pair").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(x).alias("x"), F.sum(y).alias("y"),
-        F.sum(x * x).alias("xx"), F.sum(y * y).alias("yy"), F.sum(x * y).alias("xy"),
-    )
-    found: dict[tuple[str, str], float | None] = dict.fromkeys(pairs)
-    for row in sums.collect():  # one row per pair
-        found[pairs[row["pair"]]] = _pearson(row)
-    return found
-
-
-def _pearson(row: Row) -> float | None:
-    n = row["n"]
-    wide = row["xx"] - row["x"] * row["x"] / n
-    high = row["yy"] - row["y"] * row["y"] / n
-    # what is left of a constant column is rounding
-    if not (wide > 1e-12 * row["xx"] and high > 1e-12 * row["yy"]):
-        return None
-    r = (row["xy"] - row["x"] * row["y"] / n) / sqrt(wide * high)
-    return max(-1.0, min(1.0, r)) if isfinite(r) else None
-
-
 def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
     """Pearson correlation of every pair (first before second), nulls dropped pairwise."""
-    pairs = list(combinations(features, 2))
-    values = _correlations(df, pairs, column_spread(df, features))
-    rows = [(a, b, values[a, b]) for a, b in pairs]
+    sums = pair_sums(df, features)
+    rows = [(a, b, sums.correlation(a, b)) for a, b in combinations(features, 2)]
     return df.sparkSession.createDataFrame(
         rows, "feature1 string, feature2 string, correlation double"
     )
@@ -101,9 +61,8 @@ def correlated_features(matrix: DataFrame, limit: float = CORRELATION_LIMIT) ->
 
 def feature_importance(df: DataFrame, features: list[str], label: str = "isFraud") -> DataFrame:
     """Absolute correlation with the label; 0 where there is none."""
-    spread = column_spread(df, [*features, label])
-    values = _correlations(df, [(c, label) for c in features], spread)
-    rows = [(c, i, abs(values[c, label] or 0.0)) for i, c in enumerate(features)]
+    sums = pair_sums(df, [*features, label])
+    rows = [(c, i, abs(sums.correlation(c, label) or 0.0)) for i, c in enumerate(features)]
     return df.sparkSession.createDataFrame(rows, "feature string, position int, importance double")
 
 
@@ -119,15 +78,15 @@ def select_features(
 
     Columns of low variance go first; then the second column of each strongly
     correlated pair of kept columns; the rest is ranked by label correlation,
-    ties in column order. What comes back from the passes over the rows is one
-    number per column or pair of columns.
+    ties in column order. One scan gives all of it: what comes back is a few numbers
+    per pair of columns.
     """
-    spread = column_spread(df, [*features, label])
-    kept = [c for c in features if spread[c][1] >= min_variance]
-    strength = _correlations(df, list(combinations(kept, 2)), spread)
+    sums = pair_sums(df, [*features, label])
+    variance = {c: sums.variance(c) for c in features}
+    kept = [c for c in features if variance[c] >= min_variance]
+    strength = {(a, b): sums.correlation(a, b) for a, b in combinations(kept, 2)}
     dropped = {b for (_, b), r in strength.items() if r is not None and abs(r) >= max_correlation}
-    with_label = _correlations(df, [(c, label) for c in features], spread)
-    importance = {c: abs(with_label[c, label] or 0.0) for c in features}
+    importance = {c: abs(sums.correlation(c, label) or 0.0) for c in features}
     ranked = sorted((c for c in kept if c not in dropped), key=lambda c: -importance[c])
     rank = {c: i for i, c in enumerate(ranked, start=1)}
 
@@ -138,7 +97,7 @@ def select_features(
             return "correlated"
         return "selected" if rank[c] <= top_n else "below_top_n"
 
-    rows = [(c, status(c), spread[c][1], importance[c], rank.get(c)) for c in features]
+    rows = [(c, status(c), variance[c], importance[c], rank.get(c)) for c in features]
     return df.sparkSession.createDataFrame(
         rows, "feature string, status string, variance double, importance double, rank int"
     )

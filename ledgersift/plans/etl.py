@@ -1,10 +1,10 @@
-"""Batch load: one projection and write, and one aggregate for all counts of the run."""
+"""Batch load: one scan that writes the rows and counts them on the way."""
 
 from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgersift.functions.features import with_etl_features
@@ -22,27 +22,27 @@ class EtlError(RuntimeError):
     """A stage of the load failed."""
 
 
-def load_transactions(df: DataFrame, output: str, fmt: str = "parquet") -> DataFrame:
+def load_transactions(
+    df: DataFrame, output: str, fmt: str = "parquet", into: SparkSession | None = None
+) -> DataFrame:
     """Write the readable rows with their features, partitioned by type; return the counts.
 
-    Rows whose ``MALFORMED`` column holds their line are errors: counted, not written. All
-    counts come from one aggregate over the source; all columns take part in it, because a
-    CSV row only counts as malformed in columns that are read. (An observation on the write
-    would save that pass, but leaves the session unable to ship pyspark.ml models that
-    carry a training summary.)
+    Rows whose ``MALFORMED`` column holds their line are errors: counted, not written. The
+    counts are observed on the rows that the write reads, so there is one scan, and counts and
+    rows belong together. All columns take part, because a CSV row only counts as malformed
+    in columns that are read. An observation leaves its session unable to ship pyspark.ml
+    models that carry a training summary, so ``df`` should be of a session of its own, as
+    ``run_etl`` arranges; the counts come in the session ``into``.
     """
-    spark = df.sparkSession
+    spark = into or df.sparkSession
     started = time.monotonic()
     has_errors = MALFORMED in df.columns
     good = F.col(MALFORMED).isNull() if has_errors else F.lit(True)
     columns = [c for c in df.columns if c != MALFORMED]
-    try:
-        readable = df.filter(good & (F.hash(*columns) >= -(2**31))).select(*columns)
-        write_partitioned(with_etl_features(readable), output, fmt=fmt)
-    except Exception as error:
-        raise EtlError(str(error)) from error
     nulls = [F.count_if(good & F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL_COLUMNS]
-    counts = df.agg(
+    counts = Observation("load")
+    observed = df.observe(
+        counts,
         F.count(F.hash(*columns)).alias("total_records"),
         F.count_if(~good).alias("error_records"),
         F.count_if(good & (F.col("isFraud") == 1)).alias("fraud_records"),
@@ -50,7 +50,11 @@ def load_transactions(df: DataFrame, output: str, fmt: str = "parquet") -> DataF
         F.count_if(good & cash_out_mismatch()).alias("cash_out_mismatches"),
         *nulls,
     )
-    got = counts.first().asDict()
+    try:
+        write_partitioned(with_etl_features(observed.filter(good).select(*columns)), output, fmt=fmt)
+    except Exception as error:
+        raise EtlError(str(error)) from error
+    got = counts.get
     total, errors = got["total_records"], got["error_records"]
     plain = ("total_records", "error_records", "fraud_records")
     warnings = sum(1 for k, v in got.items() if v and k not in plain)
@@ -67,5 +71,6 @@ def load_transactions(df: DataFrame, output: str, fmt: str = "parquet") -> DataF
 
 
 def run_etl(spark: SparkSession, source: str, output: str, fmt: str = "parquet") -> DataFrame:
-    """CSV file to partitioned feature table."""
-    return load_transactions(read_transactions_with_errors(spark, source), output, fmt)
+    """CSV file to partitioned feature table, in a session of its own."""
+    own = spark.newSession()
+    return load_transactions(read_transactions_with_errors(own, source), output, fmt, into=spark)

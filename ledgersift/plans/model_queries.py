@@ -246,7 +246,7 @@ GROUP BY t, d""",
 def tune_model(spark, sf_dir):
     """The documented grid; the best point's model is evaluated on the test rows."""
     with kept(*_split(spark, sf_dir)) as (train, test):
-        fitted, table = R.tune(train, "random_forest", folds=3)
+        fitted, table = R.tune(train, "random_forest", folds=3, parallelism=6)
         chosen = R.metrics_table(spark, [R.evaluate(R.Trained("best", fitted.bestModel, 0.0), test)]).first()
     rows = chosen["tp"] + chosen["tn"] + chosen["fp"] + chosen["fn"]
     return table.select(
@@ -286,7 +286,7 @@ def train_ensemble(spark, sf_dir):
     """The advanced models, and the isolation forest: its two flags tell that about 1 % of the
     rows, and some, are anomalies."""
     with kept(*_split(spark, sf_dir)) as (train, test):
-        table = _figures(R.compare_models(train, test, _ENSEMBLE))
+        table = _figures(R.compare_models(train, test, _ENSEMBLE, parallelism=len(_ENSEMBLE)))
         found, _ = I.find_anomalies(test.select("tx_id", "label", *I.FOREST_COLUMNS))
         share = F.count_if("is_anomaly") / F.count(F.lit(1))
         anomalies = found.agg(

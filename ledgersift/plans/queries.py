@@ -2,6 +2,7 @@
 
 from ledgersift.plans import (  # noqa: F401  (imported for their registrations)
     aggregate_queries,
+    boosting_queries,
     model_queries,
     row_queries,
     stream_queries,

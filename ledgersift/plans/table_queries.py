@@ -366,7 +366,7 @@ def validate_transactions(spark, sf_dir):
 
 # ---------------------------------------------------------------- drift, selection
 
-_FEATURES = list(NUMERIC_FEATURES)
+_FEATURES = [c for c in _NUMERIC if c != "tx_id"]
 _MIDDLE = "(SELECT floor((min(step) + max(step)) / 2) FROM transactions)"
 
 
@@ -388,7 +388,7 @@ FROM ({_stats_sql("")})""",
     ),
 )
 def feature_statistics(spark, sf_dir):
-    return rounded(D.feature_statistics(V.transactions(spark, sf_dir), _FEATURES), mean=4, std=4)
+    return rounded(D.feature_statistics(V.transactions(spark, sf_dir)), mean=4, std=4)
 
 
 _ALERTS = f"""_b AS ({_stats_sql(f"WHERE step <= {_MIDDLE}")}),
@@ -410,8 +410,8 @@ def _alerts(spark, sf_dir):
     """Drift of the later half of the steps against the earlier half."""
     tx = V.transactions(spark, sf_dir)
     middle = tx.select(F.floor((F.min("step") + F.max("step")) / 2)).scalar()
-    before = D.feature_statistics(tx.filter(F.col("step") <= middle), _FEATURES)
-    after = D.feature_statistics(tx.filter(F.col("step") > middle), _FEATURES)
+    before = D.feature_statistics(tx.filter(F.col("step") <= middle))
+    after = D.feature_statistics(tx.filter(F.col("step") > middle))
     return D.drift_alerts(before, after)
 
 
@@ -468,7 +468,7 @@ def _feature_table(spark, sf_dir):
 
 
 _SELECTABLE = [
-    *_FEATURES, "ratio_guarded", "ratio_floor1", "is_large_amount", "balance_change_orig",
+    *NUMERIC_FEATURES, "ratio_guarded", "ratio_floor1", "is_large_amount", "balance_change_orig",
     "balance_change_dest", "is_zero_balance_orig", "known_amount",
 ]
 _VARIANCE = f"{_DERIVED_SQL}, _variance AS (" + _union(
@@ -736,8 +736,8 @@ def drift_files(spark, sf_dir):
     tx = V.transactions(spark, sf_dir)
     middle = tx.select(F.floor((F.min("step") + F.max("step")) / 2)).first()[0]
     baseline, alerts = work_path(spark, "baseline"), work_path(spark, "alerts")
-    D.monitor_drift(tx.filter(F.col("step") <= middle), _FEATURES, baseline)
-    found = D.monitor_drift(tx.filter(F.col("step") > middle), _FEATURES, baseline)
+    D.monitor_drift(tx.filter(F.col("step") <= middle), None, baseline)
+    found = D.monitor_drift(tx.filter(F.col("step") > middle), None, baseline)
     D.save_alerts(found, alerts)
     stored = D.load_baseline(spark, baseline)
     names = "feature string, alert_type string"
