@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ledgersift.ml import train as R
@@ -11,9 +12,11 @@ from ledgersift.plans.sql import with_tables
 from ledgersift.schema import TX_SCHEMA
 from ledgersift.session import work_path
 from ledgersift.sources import views as V
+from ledgersift.streaming.runlog import logged
 from ledgersift.streaming.scoring import alerts, minute_counts, score, with_stream_features
 from ledgersift.streaming.sinks import feed_cache, read_cache, run_to_keyed_table, run_to_table
 from ledgersift.streaming.sources import parse_messages
+from ledgersift.streaming.state import read_cache_state, start_cache_state
 
 
 def _messages(spark, sf_dir):
@@ -108,3 +111,48 @@ def stream_cache(spark, sf_dir):
     path = work_path(spark, "cache")
     feed_cache(events, path, work_path(spark, "cache-checkpoint"), once=True).await_all()
     return read_cache(spark, path)
+
+
+@query(
+    "stream_cache_state",
+    with_tables(
+        """SELECT cache_key, tx_id, type, amount, cached_at, expires_at FROM account_cache
+WHERE expires_at > (SELECT max(ts) FROM tx_events) - INTERVAL 10 MINUTE""",
+        "account_cache", "tx_events",
+    ),
+)
+def stream_cache_state(spark, sf_dir):
+    """Entries alive once the watermark, ten minutes behind the newest event, has removed the others."""
+    events = V.transaction_events_from(V.table_stream(spark, sf_dir, "events"))
+    checkpoint = work_path(spark, "cache-state")
+    start_cache_state(events, work_path(spark, "expired"), checkpoint, once=True).await_all()
+    live = read_cache_state(spark, checkpoint)
+    return live.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("cached_at", "expires_at")})
+
+
+def _broken(batch, batch_id):
+    raise OSError("the sink is gone")
+
+
+@query(
+    "stream_run_log",
+    with_tables(
+        """SELECT 'alerts' AS name, count(*) AS input_rows, TRUE AS finished, FALSE AS failed, FALSE AS names_the_sink
+FROM transactions UNION ALL SELECT 'broken', 0, TRUE, TRUE, TRUE""",
+        "transactions",
+    ),
+)
+def stream_run_log(spark, sf_dir):
+    """What the log says of a finite stream, and of one whose sink fails."""
+    orders = V.table_stream(spark, sf_dir, "orders")
+    with logged(spark) as log:
+        for name, sink in (("alerts", lambda batch, batch_id: batch.write.format("noop").mode("append").save()), ("broken", _broken)):
+            writer = orders.writeStream.foreachBatch(sink).queryName(name).trigger(availableNow=True)
+            started = writer.option("checkpointLocation", work_path(spark, f"log-{name}")).start()
+            try:
+                started.awaitTermination()
+            except StreamingQueryException:
+                pass  # the log tells it
+    return log.table(spark).select(
+        "name", "input_rows", "finished", "failed", F.coalesce(F.col("error").contains("the sink is gone"), F.lit(False)).alias("names_the_sink")
+    )
