@@ -171,13 +171,17 @@ def map_texts(
     """
     spark = df.sparkSession
     fields = spark.createDataFrame([], added).schema
-    schema = T.StructType([df.schema[c] for c in keep] + fields.fields)
+    wanted = list(dict.fromkeys([*keep, text_col]))
+    plain = {c: f"c{i}" for i, c in enumerate(wanted)}  # names may hold dots
+    kept = [T.StructField(plain[c], df.schema[c].dataType) for c in keep]
+    schema = T.StructType(kept + [T.StructField(f"n{i}", f.dataType) for i, f in enumerate(fields)])
     kinds = to_arrow_schema(fields)
-    names = [f.name for f in schema]
+    names = schema.names
+    kept_names, text_name = [plain[c] for c in keep], plain[text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = _sizes_of(batch.column(text_col))
+            sizes = _sizes_of(batch.column(text_name))
             at = 0
             while at < batch.num_rows:
                 end, size = at, 0
@@ -185,14 +189,14 @@ def map_texts(
                     size += sizes[end]
                     end += 1
                 part = batch.slice(at, end - at)
-                new = compute(part.column(text_col).to_pylist())
-                columns = [part.column(c) for c in keep] + [pa.array(new[f.name], type=f.type) for f in kinds]
+                new = compute(part.column(text_name).to_pylist())
+                columns = [part.column(c) for c in kept_names] + [pa.array(new[f.name], type=f.type) for f in kinds]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 at = end
         give_back_memory()
 
-    wanted = list(dict.fromkeys([*keep, text_col]))
-    return df.select(*[F.col(f"`{c}`") for c in wanted]).mapInArrow(run, schema)
+    rows = df.select(*[F.col(f"`{c}`").alias(plain[c]) for c in wanted])
+    return rows.mapInArrow(run, schema).toDF(*keep, *fields.names)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from compare import difference, duck
 
-from ledgersift.llm import decontaminate, golay, language_id, near_dedup, toxicity
+from ledgersift.llm import decontaminate, golay, language_id, line_dedup, near_dedup, toxicity
+from ledgersift.llm.common import written
 from ledgersift.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -341,7 +342,7 @@ def test_pipeline(spark, sf_dir):
     docs = corpus_pipeline.table(spark, sf_dir, "documents")
     columns, seen = docs.columns, docs.count()
     for name, stage in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.written(stage(spark, docs, sf_dir), f"test-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"test-{name}")
         now = docs.count()
         assert 0.6 * seen < now <= seen
         seen = now
@@ -363,3 +364,34 @@ def test_pipeline_stages_take_odd_rows(spark, sf_dir):
             assert out.columns == docs.columns
             out.collect()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_columns_of_clashing_names_stay(spark, sf_dir):
+    import corpus_pipeline
+
+    names = ["_ls_key", "_ls_score", "_ls_hits", "_ls_removed", "_ls_lines", "_ls_all_gone", "_key", "_row", "a.b"]
+    rng = random.Random(2)
+    docs = frame(spark, [(i, "\n".join(prose(rng, 12) for _ in range(4)), "aa") for i in range(12)])
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, docs["doc_id"] + k)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert len(rows) == 12
+        assert all(r[name] == r["doc_id"] + k for r in rows for k, name in enumerate(names))
+
+
+def test_labels_of_one_class_drop_nothing(spark, toxic_rows):
+    docs = frame(spark, toxic_rows[0])
+    marks = spark.createDataFrame([(i, 1, 1) for i in range(500)], "doc_id bigint, quality int, toxic int")
+    assert toxicity.without_toxic(docs, marks).count() == docs.count()
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3, 4], [None] * 4, [7] * 4])
+def test_one_of_tied_passages_stays(spark, ids):
+    rng = random.Random(6)
+    passage = [prose(rng, 12) for _ in range(30)]
+    rows = [(i, "\n".join([prose(rng, 9), *passage, prose(rng, 9)]), "aa") for i in ids]
+    removed = sorted(r["_ls_removed"] for r in line_dedup.dedup_lines(frame(spark, rows)).collect())
+    assert removed[0] == 0 and all(n >= 15 for n in removed[1:])
