@@ -207,13 +207,31 @@ def _moves(false_hits: np.ndarray, made: int, false: int, target: float, warm_up
     return n, fp, rate, np.where(n < warm_up, 0, move)
 
 
-def _walked(moves: np.ndarray, at: int) -> np.ndarray:
-    """Steps after each move, held between the limits."""
-    out = np.empty(len(moves), dtype=np.int64)
-    for i, move in enumerate(moves.tolist()):
-        at = min(MOST_STEPS, max(LEAST_STEPS, at + move))
-        out[i] = at
-    return out
+def _then(low, high, shift, low2, high2, shift2) -> tuple:
+    """The clamped shift equal to one clamped shift after another (x -> min(high, max(low, x + shift)))."""
+    hold = lambda x: np.minimum(high2, np.maximum(low2, x + shift2))
+    return hold(low), hold(high), shift + shift2
+
+
+def _composed(low: np.ndarray, high: np.ndarray, shift: np.ndarray) -> tuple:
+    """All shifts up to each place as one clamped shift, in about log2(n) doublings of the reach."""
+    reach = 1
+    while reach < len(shift):
+        earlier = [x[:-reach] for x in (low, high, shift)]
+        joined = _then(*earlier, *[x[reach:] for x in (low, high, shift)])
+        low, high, shift = (np.concatenate([x[:reach], y]) for x, y in zip((low, high, shift), joined))
+        reach *= 2
+    return low, high, shift
+
+
+def _clamped(moves: np.ndarray) -> tuple:
+    """Clamped shift of all moves up to each place, held between the least and most steps."""
+    limits = (np.full(len(moves), edge, dtype=np.int64) for edge in (LEAST_STEPS, MOST_STEPS))
+    return _composed(*limits, moves.astype(np.int64))
+
+
+def _applied(low, high, shift, at):
+    return np.minimum(high, np.maximum(low, at + shift))
 
 
 def fp_rate_running(
@@ -225,10 +243,12 @@ def fp_rate_running(
     The threshold moves by 0.05 after every row in (step, tx_id) order: up to 0.8 while
     the rate is over 1.2 times the target, down to 0.3 while it is under 0.8 times.
 
-    The rows are written once in ordered ranges. One row per range comes back with its
-    counts, which give every range what was before it; a second one with where the walk
-    ends for each place it may begin at, which gives every range its own beginning. So
-    ranges are walked independently, whatever the number of rows.
+    One move is a clamped shift, and clamped shifts compose to clamped shifts, so the walk
+    is an associative scan of (low, high, shift). The rows are written once in ordered
+    ranges. One row per range comes back with its counts, which give every range what was
+    before it; a second one with the composition of its moves, which gives every range its
+    own beginning. Both go back as a table joined on the range, so ranges are scanned
+    independently, whatever the number of rows.
     """
     spark = scored.sparkSession
     false_hit = F.coalesce(F.col("is_fraud") & (F.col("isFraud") == 0), F.lit(False)).cast("int")
@@ -240,34 +260,40 @@ def fp_rate_running(
     stored = spark.read.schema("step int, tx_id bigint, _fp int, _range int").parquet(path)
 
     counts = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.sum("_fp").alias("fp"))
-    before, made, false = {}, 0, 0
-    for row in sorted(counts.collect(), key=lambda r: r["_range"]):
-        before[row["_range"]] = (made, false)
-        made, false = made + row["n"], false + row["fp"]
-
-    def moves_of(key: tuple, group: pd.DataFrame) -> tuple:
+    known = sorted(counts.collect(), key=lambda r: r["_range"])
+    if not known:
+        known = [{"_range": 0, "n": 0, "fp": 0}]
+    numbers = [r["_range"] for r in known]
+    made, false = (np.cumsum([0] + [r[c] for r in known[:-1]]).tolist() for c in ("n", "fp"))
+
+    def by_range(begins: list[int]):
+        """Rows of a range beside the counts and the threshold it begins with."""
+        kind = "_range int, _made bigint, _false bigint, _at bigint"
+        starts = spark.createDataFrame(list(zip(numbers, made, false, begins)), kind)
+        return stored.join(starts, "_range").groupBy("_range")
+
+    def moves_of(group: pd.DataFrame) -> tuple:
         group = group.sort_values(["step", "tx_id"], kind="stable")
-        return group, _moves(group["_fp"].to_numpy(), *before[key[0]], target, warm_up)
-
-    def ends(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        moves = moves_of(key, group)[1][3]
-        last = [int(_walked(moves, at)[-1]) for at in range(LEAST_STEPS, MOST_STEPS + 1)]
-        return pd.DataFrame({"_range": [key[0]], "ends": [last]})
-
-    begins, at = {}, round(start / THRESHOLD_STEP)
-    by_range = stored.groupBy("_range")
-    if ranges > 1:
-        found = by_range.applyInPandas(ends, "_range int, ends array<bigint>").collect()
-        after = {r["_range"]: r["ends"] for r in found}
-    for number in sorted(before):
-        begins[number] = at
-        at = after[number][at - LEAST_STEPS] if ranges > 1 else at
-
-    def walk(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group, (n, fp, rate, moves) = moves_of(key, group)
-        steps = _walked(moves, begins[key[0]])
+        first = (int(group[c].iloc[0]) for c in ("_made", "_false"))
+        return group, _moves(group["_fp"].to_numpy(), *first, target, warm_up)
+
+    def whole(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        low, high, shift = _clamped(moves_of(group)[1][3])
+        return pd.DataFrame({"_range": [key[0]], "low": low[-1:], "high": high[-1:], "shift": shift[-1:]})
+
+    first = round(start / THRESHOLD_STEP)
+    begins = [first] * len(numbers)
+    if len(numbers) > 1:
+        kind = "_range int, low bigint, high bigint, shift bigint"
+        found = by_range(begins).applyInPandas(whole, kind).toPandas().sort_values("_range")
+        ends = _composed(*(found[c].to_numpy() for c in ("low", "high", "shift")))
+        begins = [first, *_applied(*ends, first).tolist()[:-1]]
+
+    def walk(group: pd.DataFrame) -> pd.DataFrame:
+        group, (n, fp, rate, moves) = moves_of(group)
+        steps = _applied(*_clamped(moves), int(group["_at"].iloc[0]))
         counted = {"predictions_made": n, "false_positives": fp, "fp_rate": rate}
         return group[["step", "tx_id"]].assign(**counted, threshold=steps * THRESHOLD_STEP)
 
     kind = "step int, tx_id bigint, predictions_made bigint, false_positives bigint, fp_rate double, threshold double"
-    return by_range.applyInPandas(walk, kind)
+    return by_range(begins).applyInPandas(walk, kind)

@@ -268,6 +268,27 @@ def test_fp_rate_walk(make_tx, range_rows):
     assert len(got) == len(rows) and len(seen) > 3
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_composed_moves(seed):
+    """Composed clamped shifts, cut anywhere, against one move after another."""
+    rng = random.Random(seed)
+    moves = [rng.choice([-1, -1, 0, 1] if seed % 2 else [-1, 0, 1, 1]) for _ in range(rng.randrange(1, 200))]
+    at = first = rng.randrange(H.LEAST_STEPS, H.MOST_STEPS + 1)
+    wanted = []
+    for move in moves:
+        at = min(H.MOST_STEPS, max(H.LEAST_STEPS, at + move))
+        wanted.append(at)
+    assert H._applied(*H._clamped(np.array(moves)), first).tolist() == wanted
+    cut = rng.randrange(len(moves))
+    parts = [H._clamped(np.array(part)) for part in (moves[:cut], moves[cut:]) if part]
+    ends = H._composed(*(np.array([part[k][-1] for part in parts]) for k in range(3)))
+    assert H._applied(*ends, first).tolist()[-1] == wanted[-1]
+
+
+def test_fp_rate_of_no_rows(make_tx):
+    assert H.fp_rate_running(H.score_with_history(make_tx([{}]).where("false"))).count() == 0
+
+
 def test_partition_report(make_tx):
     tx = make_tx([{}] * 100)
     even = L.partition_report(L.by_type(tx, salts=4)).first()
