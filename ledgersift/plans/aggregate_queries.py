@@ -8,6 +8,7 @@ from ledgersift.functions import scoring as S
 from ledgersift.operators import analytics as A
 from ledgersift.operators import history as H
 from ledgersift.operators import opslog as O
+from ledgersift.operators import sketches as K
 from ledgersift.plans.catalog import query, rounded
 from ledgersift.plans.row_queries import _ADDITIVE
 from ledgersift.plans.sql import with_tables
@@ -172,6 +173,34 @@ def cardinality(spark, sf_dir):
     return A.cardinality(V.transactions(spark, sf_dir))
 
 
+_SKETCHED = ("nameOrig", "nameDest", "type", "amount", "step")
+
+
+@query(
+    "distinct_sketches",
+    with_tables(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", count(DISTINCT (step - 1) // 240) AS parts, count(*) AS "rows",
+  count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS exact, TRUE AS close FROM transactions"""
+            for c in _SKETCHED
+        ),
+        _TX,
+    ),
+)
+def distinct_sketches(spark, sf_dir):
+    """Sketches of ten days a part: most stored first, the rest added, united and held against exact counts."""
+    tx = V.transactions(spark, sf_dir)
+    part, path = F.floor((F.col("step") - 1) / 240), work_path(spark, "sketches")
+    first = tx.filter(part < 5)
+    K.add_parts(K.distinct_sketches(first, list(_SKETCHED), part), path)
+    K.add_parts(K.distinct_sketches(tx.filter(part >= 5), list(_SKETCHED), part), path)
+    exact = tx.agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in _SKETCHED])
+    known = K.united_counts(K.stored_sketches(spark, path)).join(exact.select(F.inline(pairs)), "column")
+    close = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), K.relative_error() * F.col("exact"))
+    return known.select("column", "parts", "rows", "nulls", "exact", close.alias("close"))
+
+
 @query(
     "large_tx",
     with_tables(

@@ -12,11 +12,12 @@ from ledgersift.plans.sql import with_tables
 from ledgersift.schema import TX_SCHEMA
 from ledgersift.session import work_path
 from ledgersift.sources import views as V
+from ledgersift.streaming.minutes import every_minute
 from ledgersift.streaming.runlog import logged
 from ledgersift.streaming.scoring import alerts, minute_counts, score, with_stream_features
 from ledgersift.streaming.sinks import feed_cache, read_cache, run_to_keyed_table, run_to_table
 from ledgersift.streaming.sources import parse_messages
-from ledgersift.streaming.state import read_cache_state, start_cache_state
+from ledgersift.streaming.state import read_cache_state, start_cache_state, state_store
 
 
 def _messages(spark, sf_dir):
@@ -99,6 +100,24 @@ def stream_minute_volume(spark, sf_dir):
     return minutes.withColumn("minute", F.col("minute").cast("timestamp_ntz"))
 
 
+@query(
+    "stream_every_minute",
+    with_tables(
+        """, _ends AS (SELECT date_trunc('minute', min(ts)) AS first, date_trunc('minute', max(ts) - INTERVAL 10 MINUTE) AS last FROM tx_events),
+_spine AS (SELECT unnest(generate_series(first, last - INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS minute FROM _ends),
+_counted AS (SELECT date_trunc('minute', ts) AS minute, count(*) AS n FROM tx_events GROUP BY 1)
+SELECT minute, coalesce(n, 0) AS volume FROM _spine LEFT JOIN _counted USING (minute)""",
+        "tx_events",
+    ),
+)
+def stream_every_minute(spark, sf_dir):
+    """The minutes that are final, from the first event to the watermark, empty ones included."""
+    events = V.transaction_events_from(V.table_stream(spark, sf_dir, "events"))
+    with state_store(spark):
+        minutes = run_to_table(spark, every_minute(events, "ts"), "every-minute")
+    return minutes.withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+
+
 @query(
     "stream_cache",
     with_tables(

@@ -8,6 +8,7 @@ entries from the state store itself; no batch is aggregated again.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -32,6 +33,17 @@ def _millis(moment) -> int:
     return int(pd.Timestamp(moment).timestamp() * 1000)
 
 
+@contextmanager
+def state_store(spark: SparkSession):
+    """Streams started inside the block keep timers and typed values."""
+    before = spark.conf.get(_STATE_CONF)
+    spark.conf.set(_STATE_CONF, STATE_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.set(_STATE_CONF, before)
+
+
 class NewestEntry(StatefulProcessor):
     """Keeps the newest row of an entity by (time, tie) until its time to live has passed."""
 
@@ -88,9 +100,7 @@ def start_cache_state(
     payload = [c for c in events.columns if c != entity]
     zoned = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
     types = T.StructType([zoned.schema[c] for c in payload])
-    before = spark.conf.get(_STATE_CONF)
-    spark.conf.set(_STATE_CONF, STATE_STORE)
-    try:
+    with state_store(spark):
         expired = zoned.groupBy(entity).transformWithStateInPandas(
             statefulProcessor=NewestEntry(types, time, tie, TTL_SECONDS[kind]),
             outputStructType="entity string, expired_at timestamp",
@@ -101,20 +111,14 @@ def start_cache_state(
         if once:
             writer = writer.trigger(availableNow=True)
         return StreamJob([writer.start(path)])
-    finally:
-        spark.conf.set(_STATE_CONF, before)
 
 
 def read_cache_state(
     spark: SparkSession, checkpoint: str, time: str = "ts", kind: str = "account"
 ) -> DataFrame:
     """The live entries of a state that is not being written: cache_key, columns, cached_at, expires_at."""
-    before = spark.conf.get(_STATE_CONF)
-    spark.conf.set(_STATE_CONF, STATE_STORE)
-    try:
+    with state_store(spark):
         state = spark.read.format("statestore").option("stateVarName", "entry").load(checkpoint)
-    finally:
-        spark.conf.set(_STATE_CONF, before)
     rest = [f.name for f in state.schema["value"].dataType if f.name != time]
     cached = F.col(f"value.{time}")
     entity = F.col("key").getField(state.schema["key"].dataType.names[0])

@@ -10,7 +10,9 @@ from ledgersift.ml.prepare import split
 from ledgersift.plans.etl import run_etl
 from ledgersift.schema import CSV_SCHEMA
 from ledgersift.sources import views as V
-from ledgersift.streaming.state import read_cache_state, start_cache_state
+from ledgersift.streaming.minutes import every_minute
+from ledgersift.streaming.sinks import to_files
+from ledgersift.streaming.state import read_cache_state, start_cache_state, state_store
 
 KIND = "tx_id bigint, ts timestamp, type string, amount double, nameOrig string"
 
@@ -46,6 +48,27 @@ def test_entries_expire_and_survive_a_restart(spark, tmp_path):
     assert {k: v[0] for k, v in live().items()} == {"account:A": 7, "account:B": 9, "account:C": 8}
 
 
+def test_empty_minutes_come_out_once_and_in_turn(spark, tmp_path):
+    """Gaps between messages, minutes after the last final one, a late message and restarts."""
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    source.mkdir()
+
+    def after(name, *moments):
+        (source / name).write_text("".join(json.dumps({"timestamp": f"2024-01-01T{m}Z"}) + "\n" for m in moments))
+        stream = spark.readStream.schema("timestamp timestamp").json(str(source))
+        with state_store(spark):
+            to_files(every_minute(stream), out, checkpoint, once=True).awaitTermination()
+        rows = spark.read.schema("minute timestamp, volume bigint").parquet(out).orderBy("minute").collect()
+        assert [r.minute for r in rows] == [datetime(2024, 1, 1, 10, k) for k in range(len(rows))]
+        return [r.volume for r in rows]
+
+    assert after("a.json", "10:00:10", "10:00:59", "10:02:00") == []
+    assert after("b.json", "10:30:00") == [2, 0, 1] + [0] * 17
+    # 10:05 is final: its message is too late
+    assert after("c.json", "10:33:30", "10:05:00", "10:32:00") == [2, 0, 1] + [0] * 20
+    assert after("d.json", "10:50:00") == [2, 0, 1] + [0] * 27 + [1, 0, 1, 1] + [0] * 6
+
+
 def test_models_train_after_an_observed_load(spark, sf_dir, tmp_path):
     tx = V.transactions(spark, sf_dir)
     source = str(tmp_path / "csv")

@@ -17,6 +17,7 @@ from ledgersift.operators import opslog as O
 from ledgersift.operators import quality as Q
 from ledgersift.operators import sampling as P
 from ledgersift.operators import selection as E
+from ledgersift.operators import sketches as S
 from ledgersift.operators.quantiles import exact_quantiles
 
 PS = [0.0, 0.5, 0.95, 0.99, 1.0]
@@ -289,6 +290,29 @@ def test_fp_rate_of_no_rows(make_tx):
     assert H.fp_rate_running(H.score_with_history(make_tx([{}]).where("false"))).count() == 0
 
 
+def test_stored_sketches_take_new_parts(spark, tmp_path):
+    """Two columns, one with more values than a sketch has slots; parts share values, and one is run again."""
+    path, exact = str(tmp_path / "sketches"), 90_000
+    rows = spark.range(150_000).select(
+        F.when(F.col("id") % 10 > 0, F.col("id") % 100_000).alias("many"), (F.col("id") % 7).alias("few"), "id"
+    )
+    part = F.floor(F.col("id") / 30_000)
+    days = [rows.filter(part == k) for k in range(5)]
+    S.add_parts(S.distinct_sketches(rows.filter(part < 4), ["many", "few"], part), path)
+    before = rows_by(S.united_counts(S.stored_sketches(spark, path)), "column")
+    assert (before["few"].parts, before["few"].rows, before["few"].distinct) == (4, 120_000, 7)
+    for _ in range(2):
+        S.add_parts(S.distinct_sketches(days[4], ["many", "few"], part), path)
+    got = rows_by(S.united_counts(S.stored_sketches(spark, path)), "column")
+    both = rows_by(S.united_counts(S.distinct_sketches(rows, ["many", "few"], part)), "column")
+    assert got == both
+    assert (got["many"].parts, got["many"].rows, got["many"].nulls) == (5, 150_000, 15_000)
+    assert abs(got["many"].distinct - exact) <= S.relative_error() * exact
+    last = S.united_counts(S.stored_sketches(spark, path).filter("part >= 3 AND column = 'many'")).first()
+    assert abs(last.distinct - 54_000) <= S.relative_error() * 54_000
+    assert S.united_counts(S.distinct_sketches(rows.where("false"), ["few"], part)).count() == 0
+
+
 def test_partition_report(make_tx):
     tx = make_tx([{}] * 100)
     even = L.partition_report(L.by_type(tx, salts=4)).first()
