@@ -1,18 +1,22 @@
-"""Line dedup: chunks of lines with content-defined boundaries, each kept once in the corpus.
-
-A rolling hash over the hashes of the last two lines decides after which line a chunk
-ends, so a passage is cut at the same places wherever it stands in a document. Chunks of
-two lines or more that occur again are removed, all but their first occurrence (lowest
-id, then lowest place), after comparing bytes with that occurrence.
-
-Only 16-byte digests are counted over the corpus; texts travel for repeated chunks
-alone, and the counting combines before its shuffle, so a passage in a third of all
-documents is one row per task.
-
-Defined results: a null text stays null and an empty text empty; a chunk without a word
-is left alone; a null id counts as the largest; repeated rows (same id, same text) count
-as one place and get one answer; an empty table gives an empty result; further columns,
-whatever their names, are kept as they are.
+"""Line dedup: content-defined chunks of lines find repeated passages, each kept once.
+
+A text is cut into lines, and long lines by content: after sentence ends and after words of
+twelve letters or more. A rolling hash over the hashes of two such pieces chooses the
+boundaries, one piece in two on average, wherever the passage stands in a document. The two
+pieces that the hash has read at a boundary are its chunk. A chunk met again gives the place
+of its first occurrence (lowest id, then lowest place); from there both texts are
+compared piece by piece, by their bytes, as far as they agree to both sides. Agreeing
+stretches of ``LEAST_WORDS`` words or more are removed from the later document.
+
+Only hashes of chunks are counted over the corpus, combined before the shuffle; texts travel
+once for each pair of a document and an earlier one that shares a chunk with it at one
+distance. Every removed piece stands in an earlier place, so the first of all is always kept.
+
+Defined results: pieces that differ in the blanks or line ends after them are equal; a null
+text stays null and an empty text empty; a stretch without a word is left alone; a null id
+counts as the largest; repeated rows (same id, same text) count as one place and get one
+answer; an empty table gives an empty result; further columns, whatever their names, are
+kept as they are.
 """
 
 from __future__ import annotations
@@ -20,89 +24,121 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import free_name, query, row_key, table, written
+from ledgersift.llm.common import free_name, query, row_key, space_words, table, written
 
-#: One line in so many ends a chunk, on average.
-LINES_PER_CHUNK = 3
+#: One piece in so many is a boundary, on average.
+PIECES_PER_BOUNDARY = 2
 MULTIPLIER = 31
+#: Words of a stretch that is removed, at least.
+LEAST_WORDS = 30
+#: Where a line is cut: after its end, after a sentence, after a long word.
+CUT = r"(?<=\n)|(?<=[.!?] )|(?<=[^ \n]{12} )"
+#: What may differ after a piece.
+BLANKS = " \n\r\t"
 
 
-def line_chunks(text: Column) -> tuple[Column, ...]:
-    """Expressions to apply one after the other: lines, hashes, chunk ends, chunks."""
-    lines = F.split(text, "\n")
-    hashes = F.transform(F.col("_lines"), lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("bigint"))
+def pieces(text: Column) -> Column:
+    """The pieces of a text; put together they are the text."""
+    return F.split(text, CUT, -1)
 
-    def closes(i: Column) -> Column:
-        rolled = F.get("_hashes", i) + F.lit(MULTIPLIER) * F.coalesce(F.get("_hashes", i - 1), F.lit(0))
-        return (rolled % LINES_PER_CHUNK == 0) | (i == F.size("_lines") - 1)
 
-    ends = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), closes)
+def _hash(piece: Column) -> Column:
+    return F.conv(F.substring(F.md5(F.rtrim(piece, F.lit(BLANKS)).cast("binary")), 1, 15), 16, 10).cast("bigint")
 
-    def chunk(end: Column, c: Column) -> Column:
-        start = F.coalesce(F.get("_ends", c - 1) + 1, F.lit(0))
-        part = F.slice("_lines", start + 1, end - start + 1)
-        return F.struct(F.array_join(part, "\n").alias("text"), (end - start + 1).alias("n_lines"))
 
-    return lines, hashes, ends, F.transform("_ends", chunk)
+def _chunks(signed: DataFrame) -> DataFrame:
+    """(_key, _id, _at, _digest): the chunks at boundaries; _at is the number of the second piece."""
+    small = lambda h: h % 1_000_003
 
+    def boundary(i: Column) -> Column:
+        rolled = small(F.get("_hashes", i)) + F.lit(MULTIPLIER) * small(F.get("_hashes", i - 1))
+        return rolled % PIECES_PER_BOUNDARY == 0
 
-def _chunked(rows: DataFrame) -> DataFrame:
-    """``rows`` (_key, _id, _text) with ``_chunks``; null texts have none."""
-    lines, hashes, ends, chunks = line_chunks(F.col("_text"))
-    return (
-        rows.withColumn("_lines", lines)
-        .withColumn("_hashes", hashes)
-        .withColumn("_ends", ends)
-        .withColumn("_chunks", chunks)
-        .drop("_lines", "_hashes", "_ends")
+    places = F.when(F.size("_hashes") > 1, F.filter(F.sequence(F.lit(1), F.size("_hashes") - 1), boundary))
+    chunk = lambda i: F.struct(i.alias("at"), F.xxhash64(F.get("_hashes", i - 1), F.get("_hashes", i)).alias("digest"))
+    found = signed.withColumn("_places", places).select("_key", "_id", F.transform("_places", chunk).alias("_chunks"))
+    # posexplode_outer: for the inner form Spark tests the array's size first, and pushes
+    # that test, hashing and all, down to the scan.
+    exploded = found.select("_key", "_id", F.explode_outer("_chunks").alias("_chunk")).where("_chunk IS NOT NULL")
+    blank = F.md5(F.lit("").cast("binary"))
+    empty = F.conv(F.substring(blank, 1, 15), 16, 10).cast("bigint")
+    return exploded.select("_key", "_id", F.col("_chunk.at").alias("_at"), F.col("_chunk.digest").alias("_digest")).where(
+        F.col("_digest") != F.xxhash64(empty, empty)
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with cleaned ``text_col``, and counts of lines before and removed.
-
-    The counts are ``_ls_lines`` and ``_ls_removed``; ``_ls_all_gone`` tells that a text had
-    lines and none is left (see ``count_names`` for documents that have such columns).
-    """
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-        F.col(id_col).alias("_id"),
-        F.col(text_col).alias("_text"),
-        row_key(F.col(id_col), F.col(text_col)).alias("_key"),
-    )
-    chunked = _chunked(keyed.select("_key", "_id", "_text"))
-    # posexplode_outer: for the inner form Spark tests the array's size first, and pushes
-    # that test, chunking and all, down to the scan.
-    exploded = chunked.select(
-        "_key", "_id", F.size("_chunks").alias("_n_chunks"), F.posexplode_outer("_chunks").alias("_no", "_chunk")
-    )
-    pieces = exploded.where(
-        (F.col("_chunk.n_lines") > 1) & F.col("_chunk.text").rlike("[^ \\t-\\r]")
-    )
+def _shared(chunks: DataFrame) -> DataFrame:
+    """(_key, _first_key, _apart): a document, an earlier one with a chunk of it, and their distance."""
     # the key tells rows of one id, and rows without one, apart
-    place = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_key").alias("k"), F.col("_no").alias("c"))
-    marked = pieces.select(
-        "_key", "_no", "_n_chunks", place.alias("_place"), F.col("_chunk.text").alias("_text"),
-        F.unhex(F.md5(F.col("_chunk.text").cast("binary"))).alias("_digest"),
-    )
+    place = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_key").alias("k"), F.col("_at").alias("c"))
+    placed = chunks.select("_digest", place.alias("_place"))
     repeated = (
-        marked.groupBy("_digest")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_place").alias("_first"))
-        .where("n > 1")
-        .drop("n")
+        placed.groupBy("_digest")
+        .agg(F.min("_place").alias("_first"), F.max("_place").alias("_last"))
+        .where("_first <> _last OR _first.i IS NULL AND NOT (_first <=> _last)")
+        .select("_digest", F.col("_first.k").alias("_first_key"), F.col("_first.c").alias("_first_at"))
     )
-    found = written(
-        marked.join(repeated, "_digest").withColumn("_is_first", F.col("_place").eqNullSafe(F.col("_first"))).drop("_first", "_place"),
-        "line-chunks",
+    apart = (F.col("_at") - F.col("_first_at")).alias("_apart")
+    later = (F.col("_key") != F.col("_first_key")) | (F.col("_at") != F.col("_first_at"))
+    hits = chunks.select("_digest", "_key", "_at").join(repeated, "_digest").where(later)
+    return hits.select("_key", "_first_key", apart).distinct()
+
+
+def _stretches(signed: DataFrame, shared: DataFrame) -> DataFrame:
+    """(_key, _parts): stretches of pieces whose hashes agree with an earlier document."""
+    once = signed.groupBy("_key").agg(F.first("_hashes").alias("_a"))
+    firsts = once.select(F.col("_key").alias("_first_key"), F.col("_a").alias("_b"))
+    pairs = shared.join(firsts, "_first_key").join(once, "_key")
+
+    def differ(i: Column) -> Column:
+        other = i - F.col("_apart")
+        inside = (i < F.size("_a")) & (other >= 0) & (other < F.size("_b"))
+        return F.when(inside, F.get("_a", i) != F.get("_b", other)).otherwise(True)
+
+    ends = F.filter(F.sequence(F.lit(0), F.size("_a")), differ)
+    begins = lambda k: F.coalesce(F.get("_ends", k - 1) + 1, F.lit(0))
+    stretch = lambda end, k: F.struct(begins(k).alias("start"), end.alias("end"), F.col("_first_key").alias("first"), F.col("_apart").alias("apart"))
+    found = F.filter(F.transform("_ends", stretch), lambda s: s["end"] - s["start"] > 1)
+    return pairs.withColumn("_ends", ends).select("_key", found.alias("_found")).groupBy("_key").agg(
+        F.flatten(F.collect_list("_found")).alias("_parts")
     )
-    kept_once = found.where("_is_first").groupBy("_digest").agg(F.min("_text").alias("_kept_text"))
-    removed = (
-        found.where("NOT _is_first")
-        .join(kept_once, "_digest")
-        .where(F.col("_text") == F.col("_kept_text"))
+
+
+def _agreeing(texts: DataFrame, stretches: DataFrame) -> DataFrame:
+    """(_key, _gone): those stretches that are long enough and agree by their bytes."""
+    once = texts.select("_key", "_text").dropDuplicates(["_key"])
+    firsts = once.select(F.col("_key").alias("_first_key"), F.col("_text").alias("_first_text"))
+    cut = stretches.join(once, "_key").select("_key", "_parts", pieces(F.col("_text")).alias("_pieces"))
+    joined = lambda of, s, by: F.array_join(F.slice(of, s["start"] - by + 1, s["end"] - s["start"]), "")
+    own = F.transform("_parts", lambda s: F.struct(s.alias("at"), joined(F.col("_pieces"), s, F.lit(0)).alias("text")))
+    long = F.filter(F.col("_own"), lambda x: F.size(space_words(x["text"])) >= LEAST_WORDS)
+    # outer: a test of the array's size would be pushed down and cut the texts once more
+    each = cut.select("_key", own.alias("_own")).select("_key", F.explode_outer(long).alias("_part")).where("_part IS NOT NULL")
+    sides = each.withColumn("_first_key", F.col("_part.at.first")).join(firsts, "_first_key")
+    at = F.col("_part.at")
+    held = sides.select("_key", "_part", pieces(F.col("_first_text")).alias("_pieces"))
+    bare = lambda x: F.regexp_replace(x, "[ \\n\\r\\t]+", " ")
+    same = held.select("_key", at.alias("_at"), F.col("_part.text").alias("_mine"), joined(F.col("_pieces"), at, at["apart"]).alias("_theirs"))
+    return (
+        same.select("_key", F.struct("_at.start", "_at.end").alias("_at"), (F.trim(bare(F.col("_mine"))) == F.trim(bare(F.col("_theirs")))).alias("_same"))
         .groupBy("_key")
-        .agg(F.collect_set("_no").alias("_gone"), F.max("_n_chunks").alias("_n_chunks"))
+        .agg(F.collect_set(F.when(F.col("_same"), F.col("_at"))).alias("_gone"))
+        .where(F.size("_gone") > 0)
     )
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with cleaned ``text_col``, and counts of pieces before and removed.
+
+    The counts are ``_ls_lines`` and ``_ls_removed``; ``_ls_all_gone`` tells that a text had
+    pieces and none is left (see ``count_names`` for documents that have such columns).
+    """
+    key = row_key(F.col(id_col), F.col(text_col)).alias("_key")
+    texts = docs.select(key, F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_text IS NOT NULL")
+    signed = texts.withColumn("_hashes", F.transform(pieces(F.col("_text")), _hash)).drop("_text")
+    stretches = written(_stretches(signed, _shared(_chunks(signed))), "line-stretches")
+    removed = _agreeing(texts, stretches)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key)
     return _rebuilt(docs, keyed, removed, text_col)
 
 
@@ -112,21 +148,22 @@ def count_names(columns: list[str]) -> tuple[str, str, str]:
 
 
 def _rebuilt(docs: DataFrame, keyed: DataFrame, removed: DataFrame, text_col: str) -> DataFrame:
-    """Put the remaining chunks together again, in rows that lost any."""
-    joined = _chunked(keyed.join(removed, "_key", "left"))
-    left = F.filter("_chunks", lambda x, i: ~F.array_contains("_gone", i))
+    """Put the remaining pieces together again, in rows that lost any."""
+    text = F.col(f"_row.`{text_col}`")
+    cut = keyed.join(removed, "_key", "left").withColumn("_pieces", pieces(text))
     lost = F.col("_gone").isNotNull()
-    rows = joined.withColumn("_left", F.when(lost, left))
-    text = F.when(lost, F.array_join(F.transform("_left", lambda x: x["text"]), "\n")).otherwise(F.col("_text"))
-    lines_of = lambda chunks: F.aggregate(chunks, F.lit(0), lambda a, x: a + x["n_lines"])
-    total = F.coalesce(lines_of(F.col("_chunks")), F.lit(0))
-    fields = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    inside = lambda i: F.exists("_gone", lambda s: (s["start"] <= i) & (i < s["end"]))
+    rows = cut.withColumn("_left", F.when(lost, F.filter("_pieces", lambda x, i: ~inside(i))))
+    cleaned = F.when(lost, F.array_join("_left", "")).otherwise(text)
+    total = F.coalesce(F.size("_pieces"), F.lit(0))
+    total = F.when(text.isNull(), F.lit(0)).otherwise(total)
+    fields = [cleaned.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
     n_lines, n_removed, all_gone = count_names(docs.columns)
     return rows.select(
         *fields,
         total.cast("bigint").alias(n_lines),
-        F.when(lost, total - lines_of(F.col("_left"))).otherwise(F.lit(0)).cast("bigint").alias(n_removed),
-        F.coalesce(F.size("_gone") == F.col("_n_chunks"), F.lit(False)).alias(all_gone),
+        F.when(lost, total - F.size("_left")).otherwise(F.lit(0)).cast("bigint").alias(n_removed),
+        F.coalesce(lost & ((F.size("_left") == 0) | ~F.array_join("_left", "").rlike("[^ \\t-\\r]")), F.lit(False)).alias(all_gone),
     )
 
 
@@ -141,20 +178,28 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 
 _SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
-l AS (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
-h AS (SELECT r, i, line, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l),
-b AS (SELECT r, i, line, ((h + {MULTIPLIER} * coalesce(lag(h) OVER w, 0)) % {LINES_PER_CHUNK} = 0)::INT AS closes FROM h
+WITH d AS (SELECT DISTINCT doc_id, text, md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(text, '')) AS r
+  FROM documents WHERE text IS NOT NULL),
+s AS (SELECT r, doc_id, string_split(regexp_replace(text, '(\\n|[.!?] |[^ \\n]{{12}} )', '\\1' || chr(57344), 'g'), chr(57344)) AS us FROM d),
+u AS (SELECT r, doc_id, unnest(us) AS unit, generate_subscripts(us, 1) AS i FROM s),
+h AS (SELECT *, rtrim(unit, chr(32) || chr(10) || chr(13) || chr(9)) AS bare FROM u),
+g AS (SELECT *, ('0x' || substr(md5(bare), 1, 15))::BIGINT AS h FROM h),
+b AS (SELECT r, doc_id, i, bare, lag(bare) OVER w AS before,
+  (h % 1000003 + {MULTIPLIER} * (lag(h) OVER w % 1000003)) % {PIECES_PER_BOUNDARY} = 0 AS cuts FROM g
   WINDOW w AS (PARTITION BY r ORDER BY i)),
-c AS (SELECT r, i, line, coalesce(sum(closes) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM b),
-k AS (SELECT r, c, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n_lines FROM c GROUP BY r, c),
-f AS (SELECT k.*, d.doc_id, rank() OVER (PARTITION BY chunk
-    ORDER BY d.doc_id, md5(coalesce(d.doc_id::VARCHAR, '-') || ':' || coalesce(d.text, '')), c) AS place,
-  n_lines > 1 AND regexp_matches(chunk, '[^\\x20\\x09-\\x0D]') AS counts FROM k JOIN d ON d.r = k.r),
-x AS (SELECT r, sum(n_lines) AS n_lines, coalesce(sum(n_lines) FILTER (counts AND place > 1), 0) AS n_removed,
-  coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (NOT (counts AND place > 1)), '') AS cleaned FROM f GROUP BY r)
-SELECT d.doc_id, coalesce(x.n_lines, 0)::BIGINT AS n_lines, coalesce(x.n_removed, 0)::BIGINT AS n_removed,
-  sha256(x.cleaned) AS text_sha256 FROM d LEFT JOIN x ON x.r = d.r
+f AS (SELECT r, i, first_value(r) OVER w AS fr, first_value(i) OVER w AS fi FROM b
+  WHERE cuts AND NOT (bare = '' AND before = '') WINDOW w AS (PARTITION BY before, bare ORDER BY doc_id, r, i)),
+p AS (SELECT DISTINCT r, fr, i - fi AS apart FROM f WHERE r <> fr OR i <> fi),
+e AS (SELECT p.r, p.fr, p.apart, x.i, len(regexp_extract_all(x.unit, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM p JOIN h x ON x.r = p.r JOIN h y ON y.r = p.fr AND y.i = x.i - p.apart AND y.bare = x.bare),
+j AS (SELECT *, i - row_number() OVER (PARTITION BY r, fr, apart ORDER BY i) AS run FROM e),
+k AS (SELECT *, sum(words) OVER w AS total, count(*) OVER w AS n FROM j WINDOW w AS (PARTITION BY r, fr, apart, run)),
+gone AS (SELECT DISTINCT r, i FROM k WHERE total >= {LEAST_WORDS} AND n > 1),
+x AS (SELECT u.r, count(*) AS n_lines, count(gone.i) AS n_removed,
+  coalesce(string_agg(unit, '' ORDER BY u.i) FILTER (gone.i IS NULL), '') AS cleaned FROM u LEFT JOIN gone ON gone.r = u.r AND gone.i = u.i GROUP BY u.r)
+SELECT o.doc_id, coalesce(x.n_lines, 0)::BIGINT AS n_lines, coalesce(x.n_removed, 0)::BIGINT AS n_removed,
+  sha256(x.cleaned) AS text_sha256 FROM documents o
+LEFT JOIN x ON o.text IS NOT NULL AND x.r = md5(coalesce(o.doc_id::VARCHAR, '-') || ':' || coalesce(o.text, ''))
 """
 
 
