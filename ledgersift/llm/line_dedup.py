@@ -90,16 +90,25 @@ def _stretches(signed: DataFrame, shared: DataFrame) -> DataFrame:
     firsts = once.select(F.col("_key").alias("_first_key"), F.col("_a").alias("_b"))
     pairs = shared.join(firsts, "_first_key").join(once, "_key")
 
-    def differ(i: Column) -> Column:
-        other = i - F.col("_apart")
-        inside = (i < F.size("_a")) & (other >= 0) & (other < F.size("_b"))
-        return F.when(inside, F.get("_a", i) != F.get("_b", other)).otherwise(True)
-
-    ends = F.filter(F.sequence(F.lit(0), F.size("_a")), differ)
+    # where both overlap, from piece _lead on
+    lead = F.greatest(F.col("_apart"), F.lit(0))
+    aligned = pairs.select(
+        "_key", "_first_key", "_apart", lead.alias("_lead"),
+        F.slice("_a", lead + 1, F.size("_a")).alias("_x"),
+        F.slice("_b", F.greatest(-F.col("_apart"), F.lit(0)) + 1, F.size("_b")).alias("_y"),
+    )
+    # _y is named outside the lambda too: named there alone, it would be cut anew for each piece
+    both = F.least(F.size("_x"), F.size("_y"))
+    differing = F.transform(F.slice("_x", F.lit(1), both), lambda x, i: F.when(x != F.get("_y", i), i))
+    ends = F.concat(F.array_compact(differing), F.array(both))
     begins = lambda k: F.coalesce(F.get("_ends", k - 1) + 1, F.lit(0))
-    stretch = lambda end, k: F.struct(begins(k).alias("start"), end.alias("end"), F.col("_first_key").alias("first"), F.col("_apart").alias("apart"))
+
+    def stretch(end: Column, k: Column) -> Column:
+        at = F.col("_lead")
+        return F.struct((at + begins(k)).alias("start"), (at + end).alias("end"), F.col("_first_key").alias("first"), F.col("_apart").alias("apart"))
+
     found = F.filter(F.transform("_ends", stretch), lambda s: s["end"] - s["start"] > 1)
-    return pairs.withColumn("_ends", ends).select("_key", found.alias("_found")).groupBy("_key").agg(
+    return aligned.withColumn("_ends", ends).select("_key", found.alias("_found")).groupBy("_key").agg(
         F.flatten(F.collect_list("_found")).alias("_parts")
     )
 
@@ -111,7 +120,10 @@ def _agreeing(texts: DataFrame, stretches: DataFrame) -> DataFrame:
     cut = stretches.join(once, "_key").select("_key", "_parts", pieces(F.col("_text")).alias("_pieces"))
     joined = lambda of, s, by: F.array_join(F.slice(of, s["start"] - by + 1, s["end"] - s["start"]), "")
     own = F.transform("_parts", lambda s: F.struct(s.alias("at"), joined(F.col("_pieces"), s, F.lit(0)).alias("text")))
-    long = F.filter(F.col("_own"), lambda x: F.size(space_words(x["text"])) >= LEAST_WORDS)
+    # _pieces is named outside the lambda too: named there alone, the text would be cut anew for each part
+    own = F.when(F.size("_pieces") > 0, own)
+    enough = lambda x: F.when(F.length(x) >= 2 * LEAST_WORDS - 1, F.size(space_words(x)) >= LEAST_WORDS).otherwise(False)
+    long = F.filter(F.col("_own"), lambda x: enough(x["text"]))
     # outer: a test of the array's size would be pushed down and cut the texts once more
     each = cut.select("_key", own.alias("_own")).select("_key", F.explode_outer(long).alias("_part")).where("_part IS NOT NULL")
     sides = each.withColumn("_first_key", F.col("_part.at.first")).join(firsts, "_first_key")
