@@ -124,17 +124,29 @@ def _agreeing(texts: DataFrame, stretches: DataFrame) -> DataFrame:
     own = F.when(F.size("_pieces") > 0, own)
     enough = lambda x: F.when(F.length(x) >= 2 * LEAST_WORDS - 1, F.size(space_words(x)) >= LEAST_WORDS).otherwise(False)
     long = F.filter(F.col("_own"), lambda x: enough(x["text"]))
-    # outer: a test of the array's size would be pushed down and cut the texts once more
-    each = cut.select("_key", own.alias("_own")).select("_key", F.explode_outer(long).alias("_part")).where("_part IS NOT NULL")
-    sides = each.withColumn("_first_key", F.col("_part.at.first")).join(firsts, "_first_key")
-    at = F.col("_part.at")
-    held = sides.select("_key", "_part", pieces(F.col("_first_text")).alias("_pieces"))
-    bare = lambda x: F.regexp_replace(x, "[ \\n\\r\\t]+", " ")
-    same = held.select("_key", at.alias("_at"), F.col("_part.text").alias("_mine"), joined(F.col("_pieces"), at, at["apart"]).alias("_theirs"))
+    # one row for each earlier document, so its text is cut once; outer: a test of the array's
+    # size would be pushed down and cut the texts once more
+    names = F.array_distinct(F.transform("_long", lambda x: x["at"]["first"]))
+    each = (
+        cut.select("_key", own.alias("_own"))
+        .select("_key", long.alias("_long"))
+        .select("_key", "_long", F.explode_outer(names).alias("_first_key"))
+        .where("_first_key IS NOT NULL")
+        .select("_key", "_first_key", F.filter("_long", lambda x: x["at"]["first"] == F.col("_first_key")).alias("_mine"))
+    )
+    held = each.join(firsts, "_first_key").select("_key", "_mine", pieces(F.col("_first_text")).alias("_pieces"))
+    bare = lambda x: F.trim(F.regexp_replace(x, "[ \\n\\r\\t]+", " "))
+
+    def same(x: Column) -> Column:
+        theirs = joined(F.col("_pieces"), x["at"], x["at"]["apart"])
+        return (x["text"] == theirs) | (bare(x["text"]) == bare(theirs))
+
+    proven = F.when(F.size("_pieces") > 0, F.filter("_mine", same))
+    spans = F.transform(proven, lambda x: F.struct(x["at"]["start"].alias("start"), x["at"]["end"].alias("end")))
     return (
-        same.select("_key", F.struct("_at.start", "_at.end").alias("_at"), (F.trim(bare(F.col("_mine"))) == F.trim(bare(F.col("_theirs")))).alias("_same"))
+        held.select("_key", spans.alias("_spans"))
         .groupBy("_key")
-        .agg(F.collect_set(F.when(F.col("_same"), F.col("_at"))).alias("_gone"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("_spans"))).alias("_gone"))
         .where(F.size("_gone") > 0)
     )
 
