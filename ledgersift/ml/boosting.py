@@ -1,15 +1,17 @@
-"""Second-order boosted trees on quantile-binned columns.
+"""Boosted trees on quantile-binned columns, of the second order or of the first.
 
 Columns are cut into bins once, at approximate quantiles. Every level of a tree is one pass
 over the binned rows: each task adds up the gradients and hessians of the logistic loss by
 node, column and bin, and the sums are added up in a tree, so the driver gets a few tables
 of fixed size, whatever the number of rows. A split takes the largest gain with L2
-weights on the leaves; rows and columns are sampled anew for each tree.
+weights on the leaves; rows and columns are sampled anew for each tree. Trees of the first
+order count rows instead of hessians: a split lowers the variance of the residuals most.
 
 Gradients are rounded to whole multiples of a power of two, so sums do not depend on the
 order of addition: another partitioning, or a task that runs again, gives the same trees.
-The margin of each row is stored with it every ``ROUNDS_PER_TABLE`` rounds; the passes in
-between add the trees since.
+Rows are dealt out evenly by their id and go in blocks of ``BLOCK_ROWS``, each of them a few
+byte strings. The margins go on with every round, in persisted blocks; they are stored
+every ``ROUNDS_PER_TABLE`` rounds, which cuts their lineage.
 
 A missing value goes with the largest ones. Rows are sampled by a hash of their id, where
 there is one, else of their place in the stored table.
@@ -19,12 +21,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle, keyword_only
+from pyspark import RDD, StorageLevel, cloudpickle, keyword_only
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -44,6 +46,9 @@ ROUNDS_PER_TABLE = 20
 SUMS_TO_DRIVER = 64
 #: Sums of so many bits stay exact in the doubles that count them, for an Arrow batch.
 GRADIENT_BITS = 36
+BLOCK_ROWS = 32_768
+#: Fewer rows are not worth a task of their own; more tasks than this for each core neither.
+TASK_ROWS, TASKS_PER_CORE = 16_384, 2
 
 
 @dataclass
@@ -68,13 +73,16 @@ class Tree:
     def leaf_of(self, bins: np.ndarray) -> np.ndarray:
         """The node where each row of bins ends."""
         column, cut, child = (np.array(v, dtype=np.int64) for v in (self.column, self.cut, self.child))
+        levels = np.zeros(len(column), dtype=np.int64)  # children follow their parents
+        for node in np.flatnonzero(column >= 0):
+            levels[child[node] : child[node] + 2] = levels[node] + 1
+        leaf = column < 0  # a leaf leads to itself: no bin is above 255
+        column[leaf], cut[leaf], child[leaf] = 0, 255, np.flatnonzero(leaf)
         at = np.zeros(len(bins), dtype=np.int64)
-        while True:
-            inner = np.flatnonzero(column[at] >= 0)
-            if not len(inner):
-                return at
-            node = at[inner]
-            at[inner] = child[node] + (bins[inner, column[node]] > cut[node])
+        flat, first = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+        for _ in range(int(levels.max(initial=0))):
+            at = child[at] + (flat[first + column[at]] > cut[at])
+        return at
 
 
 def binned(values: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
@@ -88,10 +96,12 @@ def quantile_edges(df: DataFrame, columns: list[str], bins: int) -> list[np.ndar
     return [np.unique(np.array(q, dtype=np.float64)) for q in found]
 
 
-def gradients(margin: np.ndarray, label: np.ndarray, weight: np.ndarray, unit: float) -> tuple[np.ndarray, np.ndarray]:
-    """First and second derivative of the logistic loss, in whole units."""
+def gradients(
+    margin: np.ndarray, label: np.ndarray, weight: np.ndarray, unit: float, newton: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
+    """First and second derivative of the logistic loss, in whole units; the weight itself without ``newton``."""
     p = 1.0 / (1.0 + np.exp(-margin))
-    return np.rint((p - label) * weight / unit), np.rint(p * (1.0 - p) * weight / unit)
+    return np.rint((p - label) * weight / unit), np.rint((p * (1.0 - p) * weight if newton else weight) / unit)
 
 
 def drawn(rows: np.ndarray, number: int, seed: int, rate: float) -> np.ndarray:
@@ -153,99 +163,116 @@ class Rounds:
     row_share: float = 0.8
     column_share: float = 0.8
     seed: int = 42
+    newton: bool = True
+    first_rate: float | None = None  # of the first tree, if it differs
 
 
-_STORED = "bins binary, label double, weight double, row bigint, margin double"
+_STORED = "bins binary, label binary, weight binary, row binary, margin binary"
+_KINDS = {"label": np.float64, "weight": np.float64, "row": np.int64, "margin": np.float64}
+Block = tuple[bytes, ...]
 
 
-def _unpacked(batch: pa.RecordBatch, n_columns: int, trees: list[Tree]) -> tuple[np.ndarray, ...]:
-    """bins, label, weight, row and up-to-date margin of stored rows."""
-    raw = b"".join(batch.column("bins").to_pylist())
-    bins = np.frombuffer(raw, dtype=np.uint8).reshape(-1, n_columns)
-    label, weight, row, margin = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "weight", "row", "margin"))
-    margin = margin.copy()
-    for tree in trees:
-        margin += np.array(tree.value)[tree.leaf_of(bins)]
-    return bins, label, weight, row, margin
+def _unpacked(block: Block, n_columns: int) -> tuple[np.ndarray, ...]:
+    """bins, label, weight, row and margin of the rows of a block."""
+    bins = np.frombuffer(block[0], dtype=np.uint8).reshape(-1, n_columns)
+    return bins, *(np.frombuffer(b, dtype=kind) for b, kind in zip(block[1:], _KINDS.values()))
 
 
-def _stored(rows: DataFrame, name: str) -> DataFrame:
-    path = work_path(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(_STORED).parquet(path)
+def _stored(blocks: DataFrame, name: str) -> RDD:
+    """Blocks written to a table, and read from there."""
+    path = work_path(blocks.sparkSession, name)
+    blocks.write.parquet(path)
+    return blocks.sparkSession.read.schema(_STORED).parquet(path).rdd.map(lambda r: tuple(map(bytes, r)))
 
 
-def store_binned(df: DataFrame, edges: list[np.ndarray]) -> DataFrame:
-    """The binned table of rows (x array, label, weight, row)."""
+def store_binned(df: DataFrame, edges: list[np.ndarray], n_rows: int) -> RDD:
+    """The binned blocks of rows (x array, label, weight, row), dealt out by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = np.array(batch.column("x").to_pylist(), dtype=np.float64).reshape(batch.num_rows, len(edges))
-            bins = [row.tobytes() for row in binned(values, edges)]
-            zero = pa.array(np.zeros(batch.num_rows))
-            columns = [pa.array(bins, type=pa.binary()), *(batch.column(c) for c in ("label", "weight", "row")), zero]
-            yield pa.RecordBatch.from_arrays(columns, names=["bins", "label", "weight", "row", "margin"])
+        held: list[pa.RecordBatch] = []
 
-    return _stored(df.select("x", "label", "weight", "row").mapInArrow(run, _STORED), "binned-rows")
+        def block() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            flat = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            values = np.asarray(flat, dtype=np.float64).reshape(rows.num_rows, len(edges))
+            parts = [rows.column(c).to_numpy().astype(kind) for c, kind in list(_KINDS.items())[:-1]]
+            both = [binned(values, edges), *parts, np.zeros(rows.num_rows)]
+            return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(v).tobytes()], type=pa.binary()) for v in both], names=["bins", *_KINDS])
 
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= BLOCK_ROWS:
+                yield block()
+                held.clear()
+        if held:
+            yield block()
 
-def with_margins(table: DataFrame, n_columns: int, trees: list[Tree]) -> DataFrame:
-    """The stored table anew, with the margins of more trees."""
+    most = TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+    dealt = df.select("x", "label", "weight", "row").repartition(max(1, min(most, -(-n_rows // TASK_ROWS))), "row")
+    return _stored(dealt.mapInArrow(run, _STORED), "binned-rows")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            margin = _unpacked(batch, n_columns, trees)[-1]
-            yield batch.set_column(batch.schema.get_field_index("margin"), "margin", pa.array(margin))
 
-    return _stored(table.mapInArrow(run, _STORED), "binned-margins")
+def with_margins(blocks: RDD, n_columns: int, tree: Tree) -> RDD:
+    """The blocks with the margins of one more tree."""
 
+    def add(block: Block) -> Block:
+        bins, *_, margin = _unpacked(block, n_columns)
+        return *block[:-1], (margin + np.array(tree.value)[tree.leaf_of(bins)]).tobytes()
 
-def _added_up(partial: DataFrame, parts: int) -> list[bytes]:
-    """The partial sums (part, sums), no more than ``SUMS_TO_DRIVER`` of them."""
+    return blocks.map(add)
 
-    def add(key: tuple, group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(s, dtype=np.int64) for s in group.column("sums").to_pylist())
-        return pa.table({"part": pa.array([key[0].as_py()], type=pa.int32()), "sums": pa.array([total.tobytes()], type=pa.binary())})
 
-    if parts > SUMS_TO_DRIVER:
-        dealt = partial.withColumn("part", F.col("part") % SUMS_TO_DRIVER)
-        partial = dealt.groupBy("part").applyInArrow(add, "part int, sums binary")
-    return [r["sums"] for r in partial.select("sums").collect()]
+class _Rows:
+    """The rows of a fit as persisted blocks, their margins going on tree by tree."""
 
+    def __init__(self, blocks: RDD, spark, n_columns: int, n_bins: int, unit: float, rounds: Rounds):
+        self.spark, self.n_columns, self.n_bins, self.unit, self.rounds = spark, n_columns, n_bins, unit, rounds
+        self.blocks, self.before, self.added = blocks.persist(StorageLevel.MEMORY_AND_DISK), None, 0
 
-class _Pass:
-    """Sums of gradients by node, column and bin, over a stored table."""
+    def add(self, tree: Tree) -> None:
+        """Computed by the next pass, which needs the blocks before; then these can go."""
+        self.before, self.blocks = self.blocks, with_margins(self.blocks, self.n_columns, tree)
+        self.added += 1
+        if self.added % ROUNDS_PER_TABLE == 0:
+            self.blocks = _stored(self.spark.createDataFrame(self.blocks, _STORED, verifySchema=False), "binned-margins")
+        self.blocks.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def __init__(self, table: DataFrame, n_columns: int, n_bins: int, unit: float, rounds: Rounds):
-        self.table, self.n_columns, self.n_bins, self.unit, self.rounds = table, n_columns, n_bins, unit, rounds
-        self.parts = table.select(F.spark_partition_id().alias("p")).distinct().count()
+    def free(self, everything: bool = False) -> None:
+        for blocks in (self.before, self.blocks if everything else None):
+            if blocks is not None:
+                blocks.unpersist()
+        self.before = None
 
-    def sums(self, since: list[Tree], tree: Tree, nodes: list[int], columns: list[int], number: int) -> np.ndarray:
-        """Gradients and hessians as whole units: [2, node, column, bin]."""
+    def sums(self, tree: Tree, nodes: list[int], columns: list[int], number: int) -> np.ndarray:
+        """Gradients and hessians by node, column and bin as whole units: [2, node, column, bin]."""
         n_columns, n_bins, unit, rounds = self.n_columns, self.n_bins, self.unit, self.rounds
         shape = (2, len(nodes), len(columns), n_bins)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(blocks: Iterator[Block]) -> Iterator[np.ndarray]:
             total = np.zeros(shape, dtype=np.int64)
             slot_of = np.full(len(tree.column), -1, dtype=np.int64)
             slot_of[nodes] = np.arange(len(nodes))
-            for batch in batches:
-                bins, label, weight, row, margin = _unpacked(batch, n_columns, since)
+            for block in blocks:
+                bins, label, weight, row, margin = _unpacked(block, n_columns)
                 slot = slot_of[tree.leaf_of(bins)]
                 used = np.flatnonzero((slot >= 0) & drawn(row, number, rounds.seed, rounds.row_share))
-                both = gradients(margin[used], label[used], weight[used], unit)
+                both = gradients(margin[used], label[used], weight[used], unit, rounds.newton)
+                first, own = slot[used] * n_bins, bins[used]
                 for k, column in enumerate(columns):
-                    place = slot[used] * n_bins + bins[used, column]
+                    place = first + own[:, column]
                     for kind, values in enumerate(both):
                         counted = np.bincount(place, values, minlength=len(nodes) * n_bins)
                         total[kind, :, k] += counted.reshape(len(nodes), n_bins).astype(np.int64)
-            part = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], type=pa.int32()), pa.array([total.tobytes()], type=pa.binary())], names=["part", "sums"]
-            )
+            yield total
 
-        found = _added_up(self.table.mapInArrow(run, "part int, sums binary"), self.parts)
-        return sum((np.frombuffer(s, dtype=np.int64) for s in found), np.zeros(int(np.prod(shape)), dtype=np.int64)).reshape(shape)
+        partial = self.blocks.mapPartitions(run)
+        if partial.getNumPartitions() > SUMS_TO_DRIVER:
+            found = partial.treeReduce(np.add)
+        else:
+            found = sum(partial.collect(), np.zeros(shape, dtype=np.int64))
+        self.free()
+        return found
 
 
 def grow(sums, columns: list[int], rounds: Rounds) -> Tree:
@@ -288,22 +315,21 @@ def boost(df: DataFrame, rounds: Rounds, edges: list[np.ndarray] | None = None,
         names = [f"x{i}" for i in range(n_columns)]
         edges = quantile_edges(df.select(*[F.col("x")[i].alias(c) for i, c in enumerate(names)]), names, bins)
     n_columns, n_bins = len(edges), max(len(e) for e in edges) + 1
-    table = store_binned(df, edges)
-    heaviest, n_rows = table.agg(F.max(F.abs("weight")), F.count(F.lit(1))).first()
+    heaviest, n_rows = df.agg(F.max(F.abs("weight")), F.count(F.lit(1))).first()
     if not n_rows:
         return Booster(edges, [])
-    # whole units: exact within a batch as doubles, and over all rows as 64-bit numbers
+    # whole units: exact within a block as doubles, and over all rows as 64-bit numbers
     bits = min(GRADIENT_BITS, 61 - int(n_rows).bit_length())
     unit = 2.0 ** (np.ceil(np.log2(heaviest or 1.0)) - bits)
     trees: list[Tree] = []
-    walk, stored = _Pass(table, n_columns, n_bins, unit, rounds), 0
+    rows = _Rows(store_binned(df, edges, n_rows), df.sparkSession, n_columns, n_bins, unit, rounds)
     for number in range(rounds.trees):
-        if number - stored >= ROUNDS_PER_TABLE:
-            walk = _Pass(with_margins(walk.table, n_columns, trees[stored:]), n_columns, n_bins, unit, rounds)
-            stored = number
-        since = trees[stored:]
-        sums = lambda tree, nodes, columns: walk.sums(since, tree, nodes, columns, number) * unit  # noqa: B023,E731
-        trees.append(grow(sums, chosen_columns(n_columns, number, rounds), rounds))
+        sums = lambda tree, nodes, columns: rows.sums(tree, nodes, columns, number) * unit  # noqa: B023,E731
+        rate = rounds.first_rate if number == 0 else None
+        trees.append(grow(sums, chosen_columns(n_columns, number, rounds), replace(rounds, rate=rate or rounds.rate)))
+        if number + 1 < rounds.trees:
+            rows.add(trees[-1])
+    rows.free(everything=True)
     return Booster(edges, trees)
 
 
@@ -335,6 +361,13 @@ class BoostedTreesClassifier(Estimator, _BoostingParams, DefaultParamsReadable,
     def getMaxIter(self) -> int:
         return self.getOrDefault(self.maxIter)
 
+    def _rounds(self) -> Rounds:
+        get = self.getOrDefault
+        return Rounds(
+            get("maxIter"), get("maxDepth"), get("stepSize"), get("regLambda"), get("leastHessian"),
+            get("subsamplingRate"), get("columnRate"), get("seed"),
+        )
+
     def _fit(self, df: DataFrame) -> BoostedTreesModel:
         get = self.getOrDefault
         weight = F.col(get("weightCol")).cast("double") if self.isSet("weightCol") else F.lit(1.0)
@@ -346,11 +379,7 @@ class BoostedTreesClassifier(Estimator, _BoostingParams, DefaultParamsReadable,
             weight.alias("weight"),
             row.alias("row"),
         )
-        rounds = Rounds(
-            get("maxIter"), get("maxDepth"), get("stepSize"), get("regLambda"), get("leastHessian"),
-            get("subsamplingRate"), get("columnRate"), get("seed"),
-        )
-        booster = boost(rows, rounds, bins=get("maxBins"))
+        booster = boost(rows, self._rounds(), bins=get("maxBins"))
         return BoostedTreesModel(ensemble=booster.to_json(), featuresCol=get("featuresCol"))
 
 

@@ -217,3 +217,14 @@ def test_sixty_columns_with_gaps(spark):
     assert sums.variance("v5") == pytest.approx(np.nanvar(table[:, 5], ddof=1), rel=1e-9)
     assert sums.mean("v5") == pytest.approx(np.nanmean(table[:, 5]))
     assert math.isnan(sums.variance("v13"))
+
+
+def test_rows_are_dealt_out_evenly_whatever_the_input(spark, monkeypatch):
+    """A table of one partition is fitted by many tasks, and margins go on without reading all trees again."""
+    monkeypatch.setattr(B, "TASK_ROWS", 50)
+    x, label, weight, ids = labelled_rows(400)
+    edges = [np.unique(np.quantile(x[:, c], [0.25, 0.5, 0.75])) for c in range(4)]
+    blocks = B.store_binned(frame(spark, x, label, weight, ids).coalesce(1), edges, 400)
+    sizes = blocks.map(lambda b: len(b[0]) // 4).collect()
+    assert sum(sizes) == 400 and len(sizes) == min(8, B.TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    assert max(sizes) < 100
