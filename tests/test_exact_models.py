@@ -16,6 +16,7 @@ from ledgersift.ml.prepare import split
 from ledgersift.operators import gram as G
 from ledgersift.operators import selection as E
 from ledgersift.operators.layout import kept
+from ledgersift.plans import model_queries as M
 from ledgersift.sources import views as V
 
 ROWS = "x array<double>, label double, weight double, row bigint"
@@ -228,3 +229,11 @@ def test_rows_are_dealt_out_evenly_whatever_the_input(spark, monkeypatch):
     sizes = blocks.map(lambda b: len(b[0]) // 4).collect()
     assert sum(sizes) == 400 and len(sizes) == min(8, B.TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     assert max(sizes) < 100
+
+
+def test_weighted_boosting_without_test_rows_in_the_sample(spark, sf_dir, monkeypatch):
+    """Sample and split go by one hash, so a sample of few rows has no test rows: SQL counts none."""
+    whole = M.balanced_sample
+    monkeypatch.setattr(M, "balanced_sample", lambda tx, **sizes: whole(tx, fraud_rows=60, normal_rows=600))
+    monkeypatch.setitem(R.SETTINGS, "boosted_weighted", R.SETTINGS["boosted_weighted"] | {"maxIter": 5, "maxDepth": 3})
+    assert [tuple(r) for r in M.train_boosted_weighted(spark, sf_dir).collect()] == [("boosted_weighted", 0, 0, True, True)]
