@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import ledgersift.ml as package
+from ledgersift.operators.layout import dealt
 from ledgersift.session import work_path
 
 # Functions sent to executors travel by value, so executors need no copy of the library.
@@ -47,8 +48,6 @@ SUMS_TO_DRIVER = 64
 #: Sums of so many bits stay exact in the doubles that count them, for an Arrow batch.
 GRADIENT_BITS = 36
 BLOCK_ROWS = 32_768
-#: Fewer rows are not worth a task of their own; more tasks than this for each core neither.
-TASK_ROWS, TASKS_PER_CORE = 16_384, 2
 
 
 @dataclass
@@ -208,9 +207,8 @@ def store_binned(df: DataFrame, edges: list[np.ndarray], n_rows: int) -> RDD:
         if held:
             yield block()
 
-    most = TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
-    dealt = df.select("x", "label", "weight", "row").repartition(max(1, min(most, -(-n_rows // TASK_ROWS))), "row")
-    return _stored(dealt.mapInArrow(run, _STORED), "binned-rows")
+    rows = dealt(df.select("x", "label", "weight", "row"), "row", n_rows)
+    return _stored(rows.mapInArrow(run, _STORED), "binned-rows")
 
 
 def with_margins(blocks: RDD, n_columns: int, tree: Tree) -> RDD:
@@ -383,6 +381,25 @@ class BoostedTreesClassifier(Estimator, _BoostingParams, DefaultParamsReadable,
         return BoostedTreesModel(ensemble=booster.to_json(), featuresCol=get("featuresCol"))
 
 
+class GradientTreesClassifier(BoostedTreesClassifier):
+    """First-order boosting: each tree fits the residuals of the logistic loss by least squares.
+
+    The margin is twice the usual score, so that its logistic is the probability: the
+    first tree fits the labels (-1 and 1) whole, the others four times the residual, by ``stepSize``.
+    """
+
+    @keyword_only
+    def __init__(self, **settings):
+        own = self._input_kwargs  # the parent's constructor clears them
+        super().__init__()
+        self._setDefault(maxIter=20, maxDepth=5, maxBins=32, regLambda=0.0, leastHessian=1.0)
+        self._set(**own)
+
+    def _rounds(self) -> Rounds:
+        rounds = super()._rounds()
+        return replace(rounds, rate=8.0 * rounds.rate, newton=False, first_rate=4.0)
+
+
 class BoostedTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultParamsWritable):
     """Adds rawPrediction, probability and prediction; saved and loaded with its pipeline."""
 
@@ -393,6 +410,9 @@ class BoostedTreesModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultPar
         super().__init__()
         self._set(**self._input_kwargs)
 
+    def getMaxIter(self) -> int:
+        return len(self.booster.trees)
+
     @property
     def booster(self) -> Booster:
         return Booster.from_json(self.getOrDefault(self.ensemble))

@@ -10,10 +10,9 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
@@ -22,11 +21,11 @@ from pyspark.sql import functions as F
 
 from ledgersift.functions.features import MODEL_COLUMNS_8
 from ledgersift.ml.areas import areas, prediction_areas
-from ledgersift.ml.boosting import BoostedTreesClassifier
+from ledgersift.ml.boosting import BoostedTreesClassifier, GradientTreesClassifier
 from ledgersift.ml.nested import COUNTS, prefix_scores
 from ledgersift.ml.prepare import full_pipeline, labelled
 from ledgersift.operators.analytics import confusion_metrics
-from ledgersift.operators.layout import kept
+from ledgersift.operators.layout import dealt, kept
 
 log = logging.getLogger(__name__)
 
@@ -52,11 +51,11 @@ SETTINGS = {
 }
 _CLASSES = {
     "random_forest": RandomForestClassifier,
-    "gbt": GBTClassifier,
+    "gbt": GradientTreesClassifier,
     "logistic_regression": LogisticRegression,
     "decision_tree": DecisionTreeClassifier,
     "random_forest_advanced": RandomForestClassifier,
-    "gbt_advanced": GBTClassifier,
+    "gbt_advanced": GradientTreesClassifier,
     "boosted": BoostedTreesClassifier,
     "boosted_weighted": BoostedTreesClassifier,
 }
@@ -90,6 +89,18 @@ def make_estimator(name: str, **changes):
     return _CLASSES[name](**_COLUMNS, **(SETTINGS[name] | changes))
 
 
+def fit_dealt(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
+    """The pipeline fitted to rows in even partitions, each in the order of the ids.
+
+    A forest draws its samples partition by partition, so the order is fixed as well.
+    Boosting deals its own table out.
+    """
+    if isinstance(pipeline.getStages()[-1], BoostedTreesClassifier) or "tx_id" not in rows.columns:
+        return pipeline.fit(rows)
+    with kept(dealt(rows, "tx_id", rows.count()).sortWithinPartitions("tx_id")) as (even,):
+        return pipeline.fit(even)
+
+
 @dataclass
 class Trained:
     name: str
@@ -110,7 +121,7 @@ def train(
     pipeline = full_pipeline(estimator, df.columns, wanted, with_type)
     rows = labelled(df, fraud_weight) if name == "boosted_weighted" else df
     started = time.monotonic()
-    model = pipeline.fit(rows)
+    model = fit_dealt(pipeline, rows)
     return Trained(name, model, time.monotonic() - started)
 
 
@@ -193,7 +204,7 @@ def _fold_areas(df: DataFrame, name: str, fold: int, settings: dict, counts: lis
     count = next((c for c in COUNTS if counts and c in SETTINGS[name]), None)
     largest = {count: max(counts)} if count else {}
     rest, held = df.filter(F.col("fold") != fold), df.filter(F.col("fold") == fold)
-    model = full_pipeline(make_estimator(name, **settings, **largest), df.columns).fit(rest)
+    model = fit_dealt(full_pipeline(make_estimator(name, **settings, **largest), df.columns), rest)
     if not count:
         return [auc(model.transform(held))]
     prepared = PipelineModel(stages=model.stages[:-1]).transform(held)
@@ -240,7 +251,7 @@ def tune(
         rows.append((", ".join(f"{p}={v}" for p, v in point.items()), means[place, tuple(point[p] for p in others)]))
     best = max(score for _, score in rows)
     chosen = settings[[score for _, score in rows].index(best)]
-    model = full_pipeline(make_estimator(name, **(changes | chosen)), df.columns).fit(df)
+    model = fit_dealt(full_pipeline(make_estimator(name, **(changes | chosen)), df.columns), df)
     table = df.sparkSession.createDataFrame(
         [(text, score, score == best) for text, score in rows], "parameters string, auc_roc double, best boolean"
     )

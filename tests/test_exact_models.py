@@ -15,6 +15,7 @@ from ledgersift.ml.nested import prefix_scores
 from ledgersift.ml.prepare import split
 from ledgersift.operators import gram as G
 from ledgersift.operators import selection as E
+from ledgersift.operators import layout as L
 from ledgersift.operators.layout import kept
 from ledgersift.plans import model_queries as M
 from ledgersift.sources import views as V
@@ -222,12 +223,12 @@ def test_sixty_columns_with_gaps(spark):
 
 def test_rows_are_dealt_out_evenly_whatever_the_input(spark, monkeypatch):
     """A table of one partition is fitted by many tasks, and margins go on without reading all trees again."""
-    monkeypatch.setattr(B, "TASK_ROWS", 50)
+    monkeypatch.setattr(L, "TASK_ROWS", 50)
     x, label, weight, ids = labelled_rows(400)
     edges = [np.unique(np.quantile(x[:, c], [0.25, 0.5, 0.75])) for c in range(4)]
     blocks = B.store_binned(frame(spark, x, label, weight, ids).coalesce(1), edges, 400)
     sizes = blocks.map(lambda b: len(b[0]) // 4).collect()
-    assert sum(sizes) == 400 and len(sizes) == min(8, B.TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    assert sum(sizes) == 400 and len(sizes) == min(8, L.TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     assert max(sizes) < 100
 
 
@@ -237,3 +238,46 @@ def test_weighted_boosting_without_test_rows_in_the_sample(spark, sf_dir, monkey
     monkeypatch.setattr(M, "balanced_sample", lambda tx, **sizes: whole(tx, fraud_rows=60, normal_rows=600))
     monkeypatch.setitem(R.SETTINGS, "boosted_weighted", R.SETTINGS["boosted_weighted"] | {"maxIter": 5, "maxDepth": 3})
     assert [tuple(r) for r in M.train_boosted_weighted(spark, sf_dir).collect()] == [("boosted_weighted", 0, 0, True, True)]
+
+
+def test_gradient_trees_lower_the_variance_of_residuals(spark):
+    """Every round of the first-order model against a plain version with means and sums of squares."""
+    x, label, _, ids = labelled_rows(300, 11)
+    x = np.round(x, 1)
+    edges = [np.unique(np.quantile(x[:, c], [0.2, 0.4, 0.6, 0.8])) for c in range(4)]
+    classifier = B.GradientTreesClassifier(maxIter=4, maxDepth=2, stepSize=0.1)
+    booster = B.boost(frame(spark, x, label, np.ones(300), ids).repartition(3), classifier._rounds(), edges)
+    bins, sign, score = B.binned(x, edges), 2 * label - 1, np.zeros(300)
+
+    def fit(rows, every, target, level, out):
+        best = None
+        for c in range(4) if level < 2 else ():
+            for cut in range(4):
+                left, right = target[rows[bins[rows, c] <= cut]], target[rows[bins[rows, c] > cut]]
+                if len(left) and len(right):
+                    rest = ((left - left.mean()) ** 2).sum() + ((right - right.mean()) ** 2).sum()
+                    if best is None or rest < best[0] - 1e-9:
+                        best = (rest, c, cut)
+        if best is None:
+            out[every] = target[rows].mean()
+            return
+        for side in (True, False):
+            own = rows[(bins[rows, best[1]] <= best[2]) == side]
+            fit(own, own, target, level + 1, out)
+
+    for number in range(4):
+        target, out = sign if number == 0 else 4 * sign / (1 + np.exp(2 * sign * score)), np.zeros(300)
+        fit(np.arange(300), np.arange(300), target, 0, out)
+        score = score + (1.0 if number == 0 else 0.1) * out
+        assert np.allclose(booster.margins(x, number + 1), 2 * score, atol=1e-6)
+
+
+def test_models_are_fitted_to_even_partitions(parts, monkeypatch):
+    monkeypatch.setattr(L, "TASK_ROWS", 200)
+    train, _ = parts
+    seen = []
+    fit = R.Pipeline.fit
+    monkeypatch.setattr(R.Pipeline, "fit", lambda self, rows: seen.append(rows.groupBy(F.spark_partition_id()).count().collect()) or fit(self, rows))
+    R.train(train.coalesce(1), "random_forest", numTrees=2, maxDepth=2)
+    sizes = [r["count"] for r in seen[0]]
+    assert len(sizes) > 4 and max(sizes) < 300
