@@ -12,7 +12,7 @@ from ledgersift.schema import CSV_SCHEMA
 from ledgersift.sources import views as V
 from ledgersift.streaming.minutes import every_minute
 from ledgersift.streaming.sinks import to_files
-from ledgersift.streaming.state import read_cache_state, start_cache_state, state_store
+from ledgersift.streaming.state import newest_of_batches, read_cache_state, start_cache_state, state_store
 
 KIND = "tx_id bigint, ts timestamp, type string, amount double, nameOrig string"
 
@@ -79,3 +79,15 @@ def test_models_train_after_an_observed_load(spark, sf_dir, tmp_path):
     trained = R.train(train, "logistic_regression", maxIter=2)
     assert trained.model.stages[-1].summary.totalIterations >= 1
     assert trained.model.transform(test).where("prediction IN (0, 1)").count() == test.count()
+
+
+def test_hot_entities_send_few_rows_to_the_state(spark):
+    """Of each entity and Arrow batch the newest row goes on, ties by id; rows without a time stay."""
+    rows = [(i, datetime(2024, 1, 1, 10, i * 7919 % 1000 // 20), "DEBIT", float(i), "AB"[i % 2]) for i in range(2000)]
+    rows += [(2000, None, "DEBIT", 1.0, "A"), (2001, datetime(2024, 1, 1), "DEBIT", 1.0, None), (2002, datetime(2024, 1, 2), "DEBIT", 1.0, None)]
+    events = spark.createDataFrame(rows, KIND).coalesce(1)
+    found = newest_of_batches(events, "nameOrig", "ts", "tx_id").collect()
+    newest = {who: max((r for r in rows if r[4] == who and r[1]), key=lambda r: (r[1], r[0]))[0] for who in ("A", "B", None)}
+    assert sorted(r.tx_id for r in found) == sorted([*newest.values(), 2000])
+    empty = newest_of_batches(events.where("false"), "nameOrig", "ts", "tx_id")
+    assert empty.schema == events.schema and empty.count() == 0
