@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgersift.ml import binned_forest as N
 from ledgersift.ml import train as R
 from ledgersift.ml.areas import prediction_score
+from ledgersift.ml.nested import prefix_scores
 from ledgersift.ml.prepare import split
 from ledgersift.operators.layout import kept
 from ledgersift.sources import views as V
@@ -103,6 +104,26 @@ def test_draws_and_columns():
     assert np.allclose(np.bincount(columns.ravel()) / 9000, 1 / 3, atol=0.03)
 
 
+def test_one_fit_a_fold_serves_the_grid(spark, sf_dir, monkeypatch):
+    """Depths used to be fitted one by one; every point equals its own fit."""
+    fits, fit = [], R.fit_dealt
+    monkeypatch.setattr(R, "fit_dealt", lambda pipeline, rows: fits.append(pipeline.getStages()[-1]) or fit(pipeline, rows))
+    with kept(*split(V.transactions(spark, sf_dir))) as (train, test):
+        grid = {"numTrees": (3, 6), "maxDepth": (2, 5)}
+        tuned, table = R.tune(train, "random_forest", grid=grid, folds=2)
+        assert [f.getNumTrees() for f in fits[:2]] == [6, 6] and len(fits) == 3  # the last: the best point on all rows
+        got = {r.parameters: r.auc_roc for r in table.collect()}
+        assert list(got) == [f"numTrees={t}, maxDepth={d}" for t in (3, 6) for d in (2, 5)]
+        folded = R._with_folds(train, 2)
+        own = []
+        for fold in range(2):
+            rest, held = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+            own.append(R.auc(R.train(rest, "random_forest", numTrees=3, maxDepth=5).model.transform(held)))
+        assert got["numTrees=3, maxDepth=5"] == pytest.approx(sum(own) / 2, abs=1e-9)
+        with pytest.raises(ValueError):
+            prefix_scores(R.train(train, "boosted", maxIter=1, maxDepth=1).model.stages[-1], test, [1], depths=[1])
+
+
 def test_forest_is_as_good_as_sparks(spark, sf_dir):
     from pyspark.ml.classification import RandomForestClassifier
 
