@@ -134,3 +134,21 @@ def test_forest_is_as_good_as_sparks(spark, sf_dir):
         scored = R.train(train, "random_forest", numTrees=20, maxDepth=6).model.transform(test)
         assert R.auc(scored) > theirs - 0.02
         assert scored.select(prediction_score(scored)).first()[0] <= 20
+
+
+@pytest.mark.parametrize("copies", [1, 6])
+def test_passes_follow_the_depth_and_rows_move_once(spark, monkeypatch, copies):
+    """No more passes with more rows, and a tree's rows are shuffled for its subtrees once at most."""
+    monkeypatch.setattr(N, "LOCAL_ROWS", 200)
+    levels, moved = [], []
+    cut_pass, grow_aside = N._cut_pass, N._grow_aside
+    monkeypatch.setattr(N, "_cut_pass", lambda blocks, items, level, plan: levels.append(level) or cut_pass(blocks, items, level, plan))
+    monkeypatch.setattr(N, "_grow_aside", lambda blocks, bundles, plan: moved.extend(bundles) or grow_aside(blocks, bundles, plan))
+    x, _, _, df = rows_of(spark, 400)
+    more = df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).withColumn("row", F.xxhash64("row", "copy")).drop("copy")
+    N.grow_forest(more, plan_of(6, 8), edges=EDGES)
+    assert levels == sorted(set(levels)) and len(levels) <= 8
+    for number in range(6):
+        own = [a for n, _, aside in moved if n == number for a in aside]
+        assert len({a[0] for a in own}) == len(own) and sum(a[3] for a in own) <= 2 * 400 * copies
+    assert moved
