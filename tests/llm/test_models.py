@@ -429,3 +429,25 @@ def test_one_of_tied_passages_stays(spark, ids):
     rows = [(i, "\n".join([prose(rng, 9), *passage, prose(rng, 9)]), "aa") for i in ids]
     removed = sorted(r["_ls_removed"] for r in line_dedup.dedup_lines(frame(spark, rows)).collect())
     assert removed[0] == 0 and all(n >= 15 for n in removed[1:])
+
+
+def test_every_labelled_text_is_learnt(spark, toxic_rows, monkeypatch):
+    """All toxic texts are longer than the sample took; many shards, any partitioning, one model."""
+    rng = random.Random(23)
+    rows = [(i, text if i % 4 else f"{text} {prose(rng, 3300)}", "aa") for i, text, _ in toxic_rows[0][:240]]
+    assert all(len(text) > 20_000 for i, text, _ in rows if i % 4 == 0)
+    marks = spark.createDataFrame(toxic_rows[1][:240], "doc_id bigint, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 50)
+    monkeypatch.setattr(toxicity, "TABLE_ROWS", 100)
+    models = [toxicity.fit_toxicity(frame(spark, rows).repartition(n), marks) for n in (1, 5)]
+    assert all(np.array_equal(a, b) for a, b in zip(*(m.arrays() for m in models)))
+    assert np.array_equal(models[0].thresholds, models[1].thresholds)
+    learnt = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5 > 1}
+    seen: dict = {}
+    for i, text, _ in rows:
+        for b in {toxicity.bucket(w) for w in toxicity.folded_words(text)} if i in learnt else ():
+            seen[b] = seen.get(b, 0) + 1
+    assert models[0].buckets.tolist() == sorted(b for b, n in seen.items() if n >= toxicity.LEAST_TEXTS)
+    found = toxicity.scored(frame(spark, rows), models[0], ["doc_id"]).collect()
+    held = [(r["_ls_score"] >= 0.5) == (r["doc_id"] % 4 == 0) for r in found if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert np.mean(held) >= 0.9
