@@ -9,8 +9,9 @@ compared piece by piece, by their bytes, as far as they agree to both sides. Agr
 stretches of ``LEAST_WORDS`` words or more are removed from the later document.
 
 Only hashes of chunks are counted over the corpus, combined before the shuffle; texts travel
-once for each pair of a document and an earlier one that shares a chunk with it at one
-distance. Every removed piece stands in an earlier place, so the first of all is always kept.
+once for each pair of a document and an earlier one of which a stretch may go. Every text is
+cut and hashed once, into a work table; stretches are found on the hashes by their first and
+last pieces, and those within another one of the document are not compared. Every removed piece stands in an earlier place, so the first of all is always kept.
 
 Defined results: pieces that differ in the blanks or line ends after them are equal; a null
 text stays null and an empty text empty; a stretch without a word is left alone; a null id
@@ -21,20 +22,26 @@ kept as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import free_name, query, row_key, space_words, table, written
+from ledgersift.llm.common import discard, free_finished_shuffles, free_name, query, row_key, table, written
 
 #: One piece in so many is a boundary, on average.
 PIECES_PER_BOUNDARY = 2
 MULTIPLIER = 31
 #: Words of a stretch that is removed, at least.
 LEAST_WORDS = 30
-#: Where a line is cut: after its end, after a sentence, after a long word.
-CUT = r"(?<=\n)|(?<=[.!?] )|(?<=[^ \n]{12} )"
+#: Where a line is cut: after its end, after a sentence, after a long word. All cuts follow a
+#: space or a line end; that test comes first, so most characters need no other.
+_AFTER = r"(?:(?<=\n)|(?<=[.!?] )|(?<=[^ \n]{12} ))"
+CUT = r"(?<=[ \n])" + _AFTER
+#: The same cuts, which take the space or line end before them away.
+ENDED = r"[ \n]" + _AFTER
 #: What may differ after a piece.
 BLANKS = " \n\r\t"
+#: A place is the number of a document with the number of a piece in so many bits below it.
+AT_BITS = 31
 
 
 def pieces(text: Column) -> Column:
@@ -42,87 +49,116 @@ def pieces(text: Column) -> Column:
     return F.split(text, CUT, -1)
 
 
+def _code(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
 def _hash(piece: Column) -> Column:
-    return F.conv(F.substring(F.md5(F.rtrim(piece, F.lit(BLANKS)).cast("binary")), 1, 15), 16, 10).cast("bigint")
+    blank = [piece.endswith(end) for end in BLANKS]  # few are, and trimming goes through all characters
+    bare = F.when(blank[0] | blank[1] | blank[2] | blank[3], F.rtrim(piece, F.lit(BLANKS))).otherwise(piece)
+    return _code(F.md5(bare.cast("binary")))
+
+
+def _signed(texts: DataFrame) -> DataFrame:
+    """(_key, _number, _hashes): the hashes of the pieces of every different row.
+
+    Numbers go without gaps by id, null last, and key: a place is one whole number, which
+    aggregates by hash where a struct of id, key and place would have to be sorted.
+    """
+    raw = written(texts.select("_key", "_id", F.transform(F.split("_text", ENDED, -1), _hash).alias("_hashes")), "line-raw")
+    in_order = raw.select("_key", "_id").distinct().orderBy(F.col("_id").asc_nulls_last(), "_key")
+    sorted_keys = written(in_order.select("_key", F.monotonically_increasing_id().alias("_place")), "line-order")
+    part = F.shiftright("_place", 33).cast("int")  # of the sort, with the row in it below
+    counts = {r["part"]: r["count"] for r in sorted_keys.groupBy(part.alias("part")).count().collect()}  # one for each task
+    shifts, before = [], 0
+    for k in range(max(counts, default=0) + 1):
+        shifts.append(F.lit(before - (k << 33)).cast("bigint"))
+        before += counts.get(k, 0)
+    numbers = sorted_keys.select("_key", (F.col("_place") + F.get(F.array(*shifts), part)).alias("_number"))
+    once = raw.select("_key", "_hashes").join(numbers, "_key").dropDuplicates(["_key"])
+    signed = written(once.select("_key", "_number", "_hashes"), "line-hashes")
+    discard(raw, sorted_keys)
+    del once, numbers, raw, sorted_keys, in_order
+    free_finished_shuffles(texts.sparkSession)
+    return signed
 
 
 def _chunks(signed: DataFrame) -> DataFrame:
-    """(_key, _id, _at, _digest): the chunks at boundaries; _at is the number of the second piece."""
+    """(_digest, _place, _size): the chunks at boundaries; the place is that of the second piece."""
     small = lambda h: h % 1_000_003
-
-    def boundary(i: Column) -> Column:
-        rolled = small(F.get("_hashes", i)) + F.lit(MULTIPLIER) * small(F.get("_hashes", i - 1))
-        return rolled % PIECES_PER_BOUNDARY == 0
-
-    places = F.when(F.size("_hashes") > 1, F.filter(F.sequence(F.lit(1), F.size("_hashes") - 1), boundary))
-    chunk = lambda i: F.struct(i.alias("at"), F.xxhash64(F.get("_hashes", i - 1), F.get("_hashes", i)).alias("digest"))
-    found = signed.withColumn("_places", places).select("_key", "_id", F.transform("_places", chunk).alias("_chunks"))
-    # posexplode_outer: for the inner form Spark tests the array's size first, and pushes
-    # that test, hashing and all, down to the scan.
-    exploded = found.select("_key", "_id", F.explode_outer("_chunks").alias("_chunk")).where("_chunk IS NOT NULL")
-    blank = F.md5(F.lit("").cast("binary"))
-    empty = F.conv(F.substring(blank, 1, 15), 16, 10).cast("bigint")
-    return exploded.select("_key", "_id", F.col("_chunk.at").alias("_at"), F.col("_chunk.digest").alias("_digest")).where(
-        F.col("_digest") != F.xxhash64(empty, empty)
-    )
+    here, before = F.col("_hash"), F.get("_hashes", F.col("_at") - 1)
+    rolled = small(here) + F.lit(MULTIPLIER) * small(before)
+    empty = _code(F.md5(F.lit("").cast("binary")))
+    pairs = signed.select("_number", "_hashes", F.posexplode("_hashes").alias("_at", "_hash")).where(F.col("_at") > 0)
+    bounds = pairs.where((rolled % PIECES_PER_BOUNDARY == 0) & ((here != empty) | (before != empty)))
+    place = F.shiftleft("_number", AT_BITS).bitwiseOR(F.col("_at").cast("bigint"))
+    return bounds.select(F.xxhash64(before, here).alias("_digest"), place.alias("_place"), F.size("_hashes").alias("_size"))
 
 
 def _shared(chunks: DataFrame) -> DataFrame:
-    """(_key, _first_key, _apart): a document, an earlier one with a chunk of it, and their distance."""
-    # the key tells rows of one id, and rows without one, apart
-    place = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_key").alias("k"), F.col("_at").alias("c"))
-    placed = chunks.select("_digest", place.alias("_place"))
+    """(_number, _first, _size, _aparts): a document, an earlier one with chunks of it, and their distances."""
+    number = lambda place: F.shiftright(place, AT_BITS)
+    at = lambda place: F.col(place).bitwiseAND(F.lit((1 << AT_BITS) - 1)).cast("int")
     repeated = (
-        placed.groupBy("_digest")
-        .agg(F.min("_place").alias("_first"), F.max("_place").alias("_last"))
-        .where("_first <> _last OR _first.i IS NULL AND NOT (_first <=> _last)")
-        .select("_digest", F.col("_first.k").alias("_first_key"), F.col("_first.c").alias("_first_at"))
+        chunks.groupBy("_digest")
+        .agg(F.min("_place").alias("_first_place"), F.max("_place").alias("_last_place"))
+        .where("_first_place <> _last_place")
+        .select("_digest", "_first_place")
     )
-    apart = (F.col("_at") - F.col("_first_at")).alias("_apart")
-    later = (F.col("_key") != F.col("_first_key")) | (F.col("_at") != F.col("_first_at"))
-    hits = chunks.select("_digest", "_key", "_at").join(repeated, "_digest").where(later)
-    return hits.select("_key", "_first_key", apart).distinct()
+    hits = chunks.join(repeated, "_digest").where("_place <> _first_place")
+    apart = (at("_place") - at("_first_place")).alias("_apart")
+    each = hits.select(number("_place").alias("_number"), number("_first_place").alias("_first"), "_size", apart).distinct()
+    return each.groupBy("_number", "_first", "_size").agg(F.collect_list("_apart").alias("_aparts"))
 
 
 def _stretches(signed: DataFrame, shared: DataFrame) -> DataFrame:
-    """(_key, _parts): stretches of pieces whose hashes agree with an earlier document."""
-    once = signed.groupBy("_key").agg(F.first("_hashes").alias("_a"))
-    firsts = once.select(F.col("_key").alias("_first_key"), F.col("_a").alias("_b"))
-    pairs = shared.join(firsts, "_first_key").join(once, "_key")
-
-    # where both overlap, from piece _lead on
-    lead = F.greatest(F.col("_apart"), F.lit(0))
-    aligned = pairs.select(
-        "_key", "_first_key", "_apart", lead.alias("_lead"),
-        F.slice("_a", lead + 1, F.size("_a")).alias("_x"),
-        F.slice("_b", F.greatest(-F.col("_apart"), F.lit(0)) + 1, F.size("_b")).alias("_y"),
-    )
-    # _y is named outside the lambda too: named there alone, it would be cut anew for each piece
-    both = F.least(F.size("_x"), F.size("_y"))
-    differing = F.transform(F.slice("_x", F.lit(1), both), lambda x, i: F.when(x != F.get("_y", i), i))
-    ends = F.concat(F.array_compact(differing), F.array(both))
-    begins = lambda k: F.coalesce(F.get("_ends", k - 1) + 1, F.lit(0))
-
-    def stretch(end: Column, k: Column) -> Column:
-        at = F.col("_lead")
-        return F.struct((at + begins(k)).alias("start"), (at + end).alias("end"), F.col("_first_key").alias("first"), F.col("_apart").alias("apart"))
-
-    found = F.filter(F.transform("_ends", stretch), lambda s: s["end"] - s["start"] > 1)
-    return aligned.withColumn("_ends", ends).select("_key", found.alias("_found")).groupBy("_key").agg(
-        F.flatten(F.collect_list("_found")).alias("_parts")
+    """(_key, _parts): stretches of pieces whose hashes agree with an earlier document.
+
+    Those that lie within another one are left out: they cover nothing more, and are no longer.
+    """
+    firsts = signed.select(F.col("_number").alias("_first"), F.col("_key").alias("_first_key"), F.col("_hashes").alias("_b"))
+    own = signed.select("_number", "_key", F.col("_hashes").alias("_a"))
+    # only what the later document can lie beside travels on; _from is its first piece
+    most = F.size("_b")
+    begin = F.least(F.greatest(-F.array_max("_aparts"), F.lit(0)), most)
+    end = F.least(F.col("_size") - F.array_min("_aparts"), most)
+    beside = shared.join(firsts, "_first").select(
+        "_number", "_first", "_first_key", "_aparts", begin.alias("_from"), F.slice("_b", begin + 1, F.greatest(end - begin, F.lit(0))).alias("_b")
     )
+    pairs = beside.join(own, "_number").select("*", F.explode("_aparts").alias("_apart"))
+    # piece _i of _a beside piece _i - _back of _b
+    back = F.col("_apart") + F.col("_from")
+    pairs = pairs.withColumn("_back", back).withColumn("_lead", F.greatest(back, F.lit(0)))
+    until = F.least(F.size("_a"), F.size("_b") + F.col("_back"))
+    at = pairs.withColumn("_until", until).where("_until > _lead").select("*", F.explode(F.sequence("_lead", F.col("_until") - 1)).alias("_i"))
+
+    def same(i: Column) -> Column:  # beyond either end: no
+        return F.coalesce(F.get("_a", i) == F.get("_b", i - F.col("_back")), F.lit(False))
+
+    # of two pieces or more, the first and the last
+    follows = same(F.col("_i") + 1)
+    marks = at.where(same(F.col("_i")) & (same(F.col("_i") - 1) != follows))
+    marks = marks.select("_number", "_first", "_key", "_first_key", "_apart", "_i", follows.alias("_starts"))
+    run = Window.partitionBy("_number", "_first", "_apart").orderBy("_i")
+    runs = marks.withColumn("_end", F.lead("_i").over(run) + 1).where("_starts")
+    by_start = Window.partitionBy("_number").orderBy("_i", F.desc("_end"), "_first", "_apart")
+    reached = F.max("_end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    kept = runs.withColumn("_reached", reached).where("_reached IS NULL OR _end > _reached")
+    part = F.struct(F.col("_i").alias("start"), F.col("_end").alias("end"), F.col("_first_key").alias("first"), F.col("_apart").alias("apart"))
+    return kept.groupBy("_number", "_key").agg(F.collect_list(part).alias("_parts")).select("_key", "_parts")
 
 
 def _agreeing(texts: DataFrame, stretches: DataFrame) -> DataFrame:
     """(_key, _gone): those stretches that are long enough and agree by their bytes."""
-    once = texts.select("_key", "_text").dropDuplicates(["_key"])
+    # dealt by key before, so the texts are sorted once
+    once = texts.select("_key", "_text").repartition("_key").dropDuplicates(["_key"])
     firsts = once.select(F.col("_key").alias("_first_key"), F.col("_text").alias("_first_text"))
     cut = stretches.join(once, "_key").select("_key", "_parts", pieces(F.col("_text")).alias("_pieces"))
     joined = lambda of, s, by: F.array_join(F.slice(of, s["start"] - by + 1, s["end"] - s["start"]), "")
     own = F.transform("_parts", lambda s: F.struct(s.alias("at"), joined(F.col("_pieces"), s, F.lit(0)).alias("text")))
     # _pieces is named outside the lambda too: named there alone, the text would be cut anew for each part
     own = F.when(F.size("_pieces") > 0, own)
-    enough = lambda x: F.when(F.length(x) >= 2 * LEAST_WORDS - 1, F.size(space_words(x)) >= LEAST_WORDS).otherwise(False)
+    enough = lambda x: x.rlike(f"^[ \\t-\\r]*+(?:[^ \\t-\\r]++[ \\t-\\r]++){{{LEAST_WORDS - 1}}}[^ \\t-\\r]")  # noqa: E731  reads no further
     long = F.filter(F.col("_own"), lambda x: enough(x["text"]))
     # one row for each earlier document, so its text is cut once; outer: a test of the array's
     # size would be pushed down and cut the texts once more
@@ -159,11 +195,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     key = row_key(F.col(id_col), F.col(text_col)).alias("_key")
     texts = docs.select(key, F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_text IS NOT NULL")
-    signed = texts.withColumn("_hashes", F.transform(pieces(F.col("_text")), _hash)).drop("_text")
+    signed = _signed(texts)
     stretches = written(_stretches(signed, _shared(_chunks(signed))), "line-stretches")
-    removed = _agreeing(texts, stretches)
+    free_finished_shuffles(docs.sparkSession)  # still in use until here
+    removed = written(_agreeing(texts, stretches), "line-removed")  # so the texts are not dealt twice at one time
+    free_finished_shuffles(docs.sparkSession)
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key)
-    return _rebuilt(docs, keyed, removed, text_col)
+    counted = signed.select("_key", F.size("_hashes").alias("_total")).join(removed, "_key", "left")
+    return _rebuilt(docs, keyed, counted, text_col)
 
 
 def count_names(columns: list[str]) -> tuple[str, str, str]:
@@ -171,16 +210,15 @@ def count_names(columns: list[str]) -> tuple[str, str, str]:
     return tuple(free_name(columns, name) for name in ("_ls_lines", "_ls_removed", "_ls_all_gone"))
 
 
-def _rebuilt(docs: DataFrame, keyed: DataFrame, removed: DataFrame, text_col: str) -> DataFrame:
+def _rebuilt(docs: DataFrame, keyed: DataFrame, counted: DataFrame, text_col: str) -> DataFrame:
     """Put the remaining pieces together again, in rows that lost any."""
     text = F.col(f"_row.`{text_col}`")
-    cut = keyed.join(removed, "_key", "left").withColumn("_pieces", pieces(text))
     lost = F.col("_gone").isNotNull()
+    cut = keyed.join(counted, "_key", "left").withColumn("_pieces", F.when(lost, pieces(text)))
     inside = lambda i: F.exists("_gone", lambda s: (s["start"] <= i) & (i < s["end"]))
     rows = cut.withColumn("_left", F.when(lost, F.filter("_pieces", lambda x, i: ~inside(i))))
     cleaned = F.when(lost, F.array_join("_left", "")).otherwise(text)
-    total = F.coalesce(F.size("_pieces"), F.lit(0))
-    total = F.when(text.isNull(), F.lit(0)).otherwise(total)
+    total = F.when(text.isNull(), F.lit(0)).otherwise(F.coalesce("_total", F.lit(0)))
     fields = [cleaned.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
     n_lines, n_removed, all_gone = count_names(docs.columns)
     return rows.select(

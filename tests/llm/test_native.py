@@ -6,8 +6,9 @@ import re
 
 import pytest
 from compare import difference, duck
+from pyspark.sql import functions as F
 
-from ledgersift.llm import license_scan, line_dedup, quality_rules, secret_scan, url_filter
+from ledgersift.llm import common, license_scan, line_dedup, quality_rules, secret_scan, url_filter
 from ledgersift.llm.common import running_starts
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _key string, words int"
@@ -244,6 +245,21 @@ def test_repeated_passages_are_found(spark):
     assert caught >= 0.9 * 320, caught
 
 
+def test_stretches_within_others_are_left_out(spark):
+    """A text that repeats itself agrees with itself at many distances; one stretch covers them all."""
+    lines = [f"line {i} of a text that comes again and again" for i in range(10)]
+    rows = [(1, "\n".join(lines * 30) + "\n"), (2, "before\n" + "\n".join(lines) + "\n"), (2, "before\n" + "\n".join(lines) + "\n"), (None, "other")]
+    frame = spark.createDataFrame(rows, "_id bigint, _text string")
+    texts = frame.withColumn("_key", common.row_key(F.col("_id"), F.col("_text")))
+    signed = line_dedup._signed(texts)
+    assert sorted((r._number, len(r._hashes)) for r in signed.collect()) == [(0, 301), (1, 12), (2, 1)]
+    shared = line_dedup._shared(line_dedup._chunks(signed))
+    assert sum(len(r._aparts) for r in shared.collect()) > 20
+    assert "SortAggregate" not in shared._jdf.queryExecution().toString()
+    parts = [[(p.start, p.end, p.apart) for p in r._parts] for r in line_dedup._stretches(signed, shared).collect()]
+    assert sorted(parts) == [[(1, 12, 1)], [(10, 301, 10)]] or sorted(parts) == [[(1, 11, 1)], [(10, 300, 10)]], parts
+
+
 def test_urls(spark):
     urls = [
         None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/1?x#y", "http://example.com/en/2", "http://example.com",
