@@ -451,3 +451,16 @@ def test_every_labelled_text_is_learnt(spark, toxic_rows, monkeypatch):
     found = toxicity.scored(frame(spark, rows), models[0], ["doc_id"]).collect()
     held = [(r["_ls_score"] >= 0.5) == (r["doc_id"] % 4 == 0) for r in found if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
     assert np.mean(held) >= 0.9
+
+
+def test_languages_are_told_at_function_words_only():
+    """Counts as by hand; a text's other words cost the counting one byte each, not a number for each language."""
+    import tracemalloc
+
+    texts = ["the cat und le chien et la", "", None, "der und the", "zz", "el y"] + ["word other thing " * 40_000] * 2
+    tracemalloc.start()
+    batch = toxicity._batch(texts, np.zeros(0, dtype=np.uint64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [toxicity.LANGUAGES[k] for k in batch.languages] == ["fr", "other", "other", "de", "other", "es", "other", "other"]
+    assert peak < 95 * 240_000, peak / 240_000
