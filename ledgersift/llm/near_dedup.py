@@ -17,7 +17,8 @@ itself; larger ones are linked through stars first:
   no word belongs to more than 65 fingerprints. This is exact and linear.
 * ``near_copies`` first compares the nodes of a large key with the one that has most company
   over all its keys (an original among its copies). Then it compares all pairs of a key,
-  at any size, but those that the first links have joined.
+  at any size, but those that the first links have joined. A pair's prefixes must agree
+  enough (``possible``) before the whole sets of its texts are made.
 
 Defined results: null text counts as empty; texts without words share fingerprint zero
 and are linked; a null id counts as the largest and is never a component's id unless all
@@ -290,6 +291,31 @@ def pairs_across(shared: DataFrame, roots: DataFrame, similarity: float = 0.8) -
     return left.join(right, condition).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
+def possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Those (a, b) of pairs of handles whose sets can have that similarity by their prefixes.
+
+    All that a set shares with the other, up to the end of the prefix that ends first in the
+    order of shingles, is in both prefixes; beyond, it shares at most its rest. So no similar
+    pair is lost, and sets that meet in a few shingles alone need not be made.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            kept = []
+            for left, right, m, n in zip(batch["left"], batch["right"], batch["a_size"], batch["b_size"]):
+                both = np.frombuffer(left + right, dtype=np.int64).copy()
+                both.sort()
+                common = int((both[1:] == both[:-1]).sum())
+                rest = max(m - len(left) // 8, n - len(right) // 8)
+                kept.append(common + rest >= similarity / (1 + similarity) * (m + n) - 1e-6)
+            yield batch.loc[kept, ["a", "b"]]
+
+    left = nodes.select(F.col("handle").alias("a"), F.col("n_shingles").alias("a_size"), F.col("prefix").alias("left"))
+    right = nodes.select(F.col("handle").alias("b"), F.col("n_shingles").alias("b_size"), F.col("prefix").alias("right"))
+    near = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - 1e-6
+    return pairs.join(left, "a").join(right, "b").where(near).mapInPandas(run, "a bigint, b bigint")
+
+
 def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
     """(digest, handle, shingles): sorted distinct 64-bit hashes of the shingles, as bytes."""
 
@@ -339,15 +365,18 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
     by_golay = golay_keys(nodes, "handle")
     by_golay = written(by_golay.join(_sizes(by_golay), "key"), "golay-keys")
     shared = shared_keys(nodes)
-    with_company = nodes.join(shared.select(F.col("node").alias("handle")).distinct(), "handle", "left_semi")
-    wanted = with_company.select(F.col("first.k").alias("_key"), "digest", "handle")
-    sets = written(_shingle_sets(rows.join(wanted, "_key").dropDuplicates(["_key"]), size), "shingles")
 
     def links(pairs: DataFrame) -> DataFrame:
+        candidates = written(possible(pairs, nodes, similarity), "possible-pairs")
+        ends = candidates.select(F.explode(F.array("a", "b")).alias("handle")).distinct()
+        wanted = nodes.join(ends, "handle", "left_semi").select(F.col("first.k").alias("_key"), "digest", "handle")
+        sets = written(_shingle_sets(rows.join(wanted, "_key").dropDuplicates(["_key"]), size), "shingles")
         left = sets.select(F.col("handle").alias("a_handle"), F.col("digest").alias("a"), F.col("shingles").alias("left"))
         right = sets.select(F.col("handle").alias("b_handle"), F.col("digest").alias("b"), F.col("shingles").alias("right"))
-        met = pairs.toDF("a_handle", "b_handle").join(left, "a_handle").join(right, "b_handle")
-        return written(_similar(met.select("a", "b", "left", "right"), similarity), "links")
+        met = candidates.toDF("a_handle", "b_handle").join(left, "a_handle").join(right, "b_handle")
+        found = written(_similar(met.select("a", "b", "left", "right"), similarity), "links")
+        discard(candidates, sets)
+        return found
 
     first = links(pairs_with_centres(by_golay, 1).unionAll(pairs_with_centres(shared)).distinct())
     handles = nodes.select(F.col("digest").alias("node"), "handle")
@@ -355,7 +384,7 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
     tops = handles.select(F.col("node").alias("root"), F.col("handle").alias("root_handle"))
     linked = by_digest.join(handles, "node").join(tops, "root")
     second = links(pairs_across(shared, linked.select(F.col("handle").alias("node"), F.col("root_handle").alias("root")), similarity))
-    discard(shared, by_golay, sets)
+    discard(shared, by_golay)
     roots = components(first.unionAll(second))
     rooted = nodes.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     return rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.k").alias("_key"))

@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import os
 import random
 import zlib
 
@@ -195,6 +196,52 @@ def test_block_edits_are_found(spark):
     assert gone == set(alike)
 
 
+def test_possible_keeps_similar_pairs(spark):
+    """No pair of similarity 0.8 is lost by its prefixes; sets with a fifth in common are."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for k in range(120):
+        base = rng.integers(0, 2**63, size=int(rng.choice([1, 4, 9, 40, 300]))).astype(np.uint64)
+        alike = 1 - rng.uniform(0, 0.3) if k % 2 else 0.2
+        taken = base[: int(np.ceil(alike * len(base)))]
+        least = 0 if k % 2 else len(base) - len(taken)
+        added = rng.integers(0, 2**63, size=int(rng.integers(least, len(base) - len(taken) + 1))).astype(np.uint64)
+        sets += [np.unique(base), np.unique(np.concatenate([taken, added]))]
+    values = np.unique(np.concatenate(sets))
+    values = values[rng.random(len(values)) < 0.5]
+    common = values, rng.integers(2, 5, size=len(values))
+    rows = [(i, len(x), near_dedup.prefix(x, common, 0.8).tobytes()) for i, x in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "handle bigint, n_shingles int, prefix binary")
+    met = [(k, k + 1) for k in range(0, len(sets), 2)]
+    got = {tuple(r) for r in near_dedup.possible(spark.createDataFrame(met, "a bigint, b bigint"), nodes, 0.8).collect()}
+    both = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in met}
+    similar = {(a, b) for a, b in met if both[a, b] >= 0.8 * (len(sets[a]) + len(sets[b]) - both[a, b])}
+    assert len(similar) > 30 and similar <= got
+    assert not any(both[m] <= 0.25 * len(sets[m[0]]) and len(sets[m[0]]) == 300 for m in got)
+
+
+def test_sets_are_made_for_possible_pairs_alone(spark, monkeypatch):
+    """Texts that share one passage are no candidates: the sets of all of them would outgrow the input."""
+    made = []
+
+    def counted(df, name):
+        table = written(df, name)
+        if name == "shingles":
+            made.append(table.count())
+        return table
+
+    monkeypatch.setattr(near_dedup, "written", counted)
+    # as if the passage were in no block twice: then it is among the first shingles
+    monkeypatch.setattr(near_dedup, "common_shingles", lambda rows, size: (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)))
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    passage = " ".join(word() for _ in range(60))
+    texts = [" ".join([*(word() for _ in range(120)), passage, *(word() for _ in range(120))]) for _ in range(40)]
+    rows = [(i, t, "aa") for i, t in enumerate([*texts, texts[7] + " end"])]
+    assert {r[0] for r in rows} - {r.doc_id for r in near_dedup.one_of_each(frame(spark, rows)).collect()} == {40}
+    assert sum(made) == 2
+
+
 def test_empty_near_dedup(spark):
     none = frame(spark, [])
     assert near_dedup.fingerprint_components(none).count() == 0
@@ -416,6 +463,16 @@ def test_columns_of_clashing_names_stay(spark, sf_dir):
         assert all(r[name] == r["doc_id"] + k for r in rows for k, name in enumerate(names))
 
 
+def test_fit_leaves_no_labelled_texts(spark, toxic_rows, monkeypatch):
+    """The table of labelled texts goes with the fit: the stages after it have the disk."""
+    tables = []
+    monkeypatch.setattr(toxicity, "written", lambda df, name: tables.append(written(df, name)) or tables[-1])
+    marks = spark.createDataFrame(toxic_rows[1], "doc_id bigint, quality int, toxic int")
+    for labels in (marks, marks.where("toxic = 1")):
+        toxicity.fit_toxicity(frame(spark, toxic_rows[0]), labels)
+    assert len(tables) == 2 and not any(os.path.exists(t.work_path.removeprefix("file://")) for t in tables)
+
+
 def test_labels_of_one_class_drop_nothing(spark, toxic_rows):
     docs = frame(spark, toxic_rows[0])
     marks = spark.createDataFrame([(i, 1, 1) for i in range(500)], "doc_id bigint, quality int, toxic int")
