@@ -243,6 +243,8 @@ def _prefix_keys(nodes: DataFrame) -> DataFrame:
                         "size": np.repeat(part["n_shingles"].to_numpy(dtype=np.int32), lengths),
                     }
                 )
+        batch = part = keys = None
+        give_back_memory()
 
     return nodes.select("handle", "n_shingles", "prefix").mapInPandas(run, "key bigint, node bigint, place int, size int")
 
@@ -309,6 +311,8 @@ def possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame
                 rest = max(m - len(left) // 8, n - len(right) // 8)
                 kept.append(common + rest >= similarity / (1 + similarity) * (m + n) - 1e-6)
             yield batch.loc[kept, ["a", "b"]]
+        batch = left = right = None
+        give_back_memory()
 
     left = nodes.select(F.col("handle").alias("a"), F.col("n_shingles").alias("a_size"), F.col("prefix").alias("left"))
     right = nodes.select(F.col("handle").alias("b"), F.col("n_shingles").alias("b_size"), F.col("prefix").alias("right"))
@@ -341,6 +345,8 @@ def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
                 common = int((both[1:] == both[:-1]).sum())
                 kept.append(common >= similarity * (len(x) + len(y) - common))
             yield batch.loc[kept, ["a", "b"]]
+        batch = left = right = x = y = None
+        give_back_memory()
 
     return pairs.mapInPandas(run, "a binary, b binary")
 
