@@ -308,7 +308,7 @@ class _Growing:
 
 def _drawn(block: Block, number: int, tree: ForestTree, level: int, slot_of: np.ndarray, plan: Plan) -> tuple[np.ndarray, ...]:
     """bins, positive, times drawn and slot of those rows of a block that a tree draws and that end in a slot."""
-    bins, label, _, row, _ = _unpacked(block, plan.n_columns)
+    bins, label, _, row = _unpacked(block, plan.n_columns)
     weight = times_drawn(row, number, plan.seed)
     used = np.flatnonzero(weight)
     own = np.take(bins, used, axis=0)

@@ -100,6 +100,53 @@ def test_boosting_is_the_same_for_any_partitioning(spark, monkeypatch):
     assert made[0] == made[1]
 
 
+def test_a_level_counts_the_smaller_children(spark, monkeypatch):
+    """Every level used to go over all rows from the root; the other children are what these leave of their parents."""
+    counted, summed = [], B._Rows._summed
+    monkeypatch.setattr(B._Rows, "_summed", lambda self, one: counted.append((one.level, one.n_slots)) or summed(self, one))
+    x, label, weight, ids = labelled_rows(300, 6)
+    edges = [np.unique(np.quantile(x[:, c], np.linspace(0.1, 0.9, 9))) for c in range(4)]
+    booster = B.boost(frame(spark, x, label, weight, ids), B.Rounds(trees=2, depth=4), edges)
+    assert [level for level, _ in counted] == [0, 1, 2, 3] * 2
+    assert all(n <= max(1, 2**level // 2) for level, n in counted)
+    assert all(len(t.column) > 7 for t in booster.trees)
+
+
+@pytest.mark.parametrize("share", [1.0, 0.7])
+def test_boosting_goes_on_where_files_are_lost(spark, share, monkeypatch):
+    """All files of a fit are removed, or those of a step, and all is made again with the same trees."""
+    monkeypatch.setattr(B, "ROUNDS_PER_TABLE", 2)
+    x, label, weight, ids = labelled_rows(300, 9)
+    edges = [np.unique(np.quantile(x[:, c], np.linspace(0.1, 0.9, 9))) for c in range(4)]
+    df, made = frame(spark, x, label, weight, ids), []
+    for newton in (True, False):
+        rounds = B.Rounds(trees=6, depth=3, row_share=share, newton=newton)
+        df = df if newton else df.withColumn("weight", F.lit(1.0))
+        plain = B.boost(df, rounds, edges).to_json()
+        summed = B._Rows._summed
+
+        def lossy(self, one):
+            folder = self.parts.folder
+            lost = {(2, 1): "", (3, 0): "margin-", (4, 2): "at-", (5, 0): ""}.get((one.number, one.level))
+
+            def lose(part):
+                import os
+
+                for name in os.listdir(folder(part)):
+                    if name.startswith(lost):
+                        os.remove(os.path.join(folder(part), name))
+
+            if lost is not None:
+                made.append(lost)
+                self.parts.parts.foreach(lose)
+            return summed(self, one)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(B._Rows, "_summed", lossy)
+            assert B.boost(df, rounds, edges).to_json() == plain
+    assert len(made) == 8
+
+
 def test_boosting_without_rows_or_with_missing_values(spark):
     empty = spark.createDataFrame([], ROWS)
     assert B.boost(empty, B.Rounds(trees=2), [np.array([0.0])]).trees == []
