@@ -3,7 +3,8 @@
 Rows are binned once and go in even blocks, as in boosting. Large nodes are split level by level, all
 trees in a pass: tasks count positives and negatives by node, column and bin, and the counts are
 added up by tree before the best cuts are taken on the executors. These tables grow with the nodes and
-not with the rows. Where a node's rows are fewer bytes than the tables its subtree would need, they are
+not with the rows. The rows that a tree draws are found once and go on with their nodes, level by level, in files of
+the executor's scratch folder, until their node is a leaf; where these are not found, the rows are drawn again. Where a node's rows are fewer bytes than the tables its subtree would need, they are
 shuffled once, in bundles of at most ``LOCAL_ROWS`` rows of one tree, and the whole subtree is grown
 where they arrive. Both ways give the same tree. The driver holds node arrays, bounded by trees and depth.
 
@@ -19,12 +20,13 @@ from __future__ import annotations
 
 import base64
 import io
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import RDD, StorageLevel, cloudpickle, keyword_only
+from pyspark import cloudpickle, keyword_only
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -34,19 +36,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import ledgersift.ml as package
-from ledgersift.ml.boosting import Block, _unpacked, binned, quantile_edges, store_binned
+from ledgersift.ml.boosting import LocalParts, _file, _Written, binned, quantile_edges, store_binned
 
 # Functions sent to executors travel by value, so executors need no copy of the library.
 cloudpickle.register_pickle_by_value(package)
 
 #: Rows of a bundle of subtrees, at most, and bytes of one of them.
 LOCAL_ROWS, ROW_BYTES = 262_144, 20
-#: Rows shuffled for subtrees in one job, and in one of its partitions.
+#: Rows shuffled for subtrees in one job, and in one of its partitions; also the rows of trees that grow together.
 JOB_ROWS, PART_ROWS = 100_000_000, 2_000_000
 #: Counts of a task in one pass, and of one entry of its output.
 PASS_CELLS, ENTRY_CELLS = 8_000_000, 500_000
 #: Counts of the nodes that a bundle cuts at once.
 LOCAL_CELLS = 500_000
+#: Rows that a task gathers before it sends them to their bundles.
+SENT_ROWS = 500_000
 
 
 @dataclass
@@ -68,21 +72,21 @@ class ForestTree:
             np.asarray(child, dtype=np.int32), np.asarray(value, dtype=np.float64),
         )
 
-    def places(self, bins: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-        """The node of each row at depth 0, 1 and so on; a row stays at its leaf."""
+    def places(self, bins: np.ndarray, depth: int, at: np.ndarray | None = None) -> Iterator[np.ndarray]:
+        """The node of each row at depth 0, 1 and so on, or so many steps after ``at``; a row stays at its leaf."""
         leaf = self.column < 0  # a leaf leads to itself: no bin is above 255
         column = np.where(leaf, 0, self.column).astype(np.int64)
         cut = np.where(leaf, 255, self.cut).astype(np.uint8)
         child = np.where(leaf, np.arange(len(leaf)), self.child)
-        at = np.zeros(len(bins), dtype=np.int64)
+        at = np.zeros(len(bins), dtype=np.int64) if at is None else at
         flat, first = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
         yield at
         for _ in range(depth):
-            at = child[at] + (flat[first + column[at]] > cut[at])
+            at = child.take(at) + (flat.take(first + column.take(at)) > cut.take(at))
             yield at
 
-    def leaf_of(self, bins: np.ndarray, depth: int) -> np.ndarray:
-        for at in self.places(bins, depth):
+    def leaf_of(self, bins: np.ndarray, depth: int, at: np.ndarray | None = None) -> np.ndarray:
+        for at in self.places(bins, depth, at):
             pass
         return at
 
@@ -170,7 +174,7 @@ _POISSON = _poisson_table()
 
 def times_drawn(rows: np.ndarray, number: int, seed: int) -> np.ndarray:
     """How often a tree draws each row, by a hash of its id."""
-    return _POISSON[_mixed(rows.astype(np.int64).view(np.uint64) ^ _start(number, seed, 0)) >> np.uint64(48)]
+    return _POISSON.take((_mixed(rows.astype(np.int64).view(np.uint64) ^ _start(number, seed, 0)) >> np.uint64(48)).view(np.int64))
 
 
 def tried_columns(heaps: np.ndarray, number: int, plan: Plan) -> np.ndarray:
@@ -183,13 +187,26 @@ def tried_columns(heaps: np.ndarray, number: int, plan: Plan) -> np.ndarray:
 def node_counts(bins: np.ndarray, positive: np.ndarray, weight: np.ndarray, slot: np.ndarray, columns: np.ndarray, n_bins: int) -> np.ndarray:
     """Drawn rows by node, column tried, bin, and label."""
     size, flat, first = len(columns) * n_bins * 2, bins.ravel(), np.arange(len(bins)) * bins.shape[1]
-    below, out = slot * (2 * n_bins) + positive, []
+    below, weight, out = slot * (2 * n_bins) + positive, weight.astype(np.float64), []
     for k in range(columns.shape[1]):
-        place = below + 2 * flat[first + columns[slot, k]].astype(np.int64)
+        place = below + 2 * flat.take(first + columns[:, k].take(slot)).astype(np.int64)
         out.append(np.bincount(place, weight, minlength=size).reshape(len(columns), n_bins, 2))
     return np.stack(out, axis=1)
 
 
+def add_counts(total: np.ndarray, bins: np.ndarray, positive: np.ndarray, weight: np.ndarray, slot: np.ndarray, columns: np.ndarray) -> None:
+    """Add ``node_counts`` to a table of whole numbers, at the rows' places only if they are few beside the table."""
+    n_tried, n_bins = columns.shape[1], total.shape[2]
+    if total.size <= 4 * n_tried * len(slot):
+        total += node_counts(bins, positive, weight, slot, columns, n_bins).astype(total.dtype)
+        return
+    cells, flat, first = total.reshape(-1), bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+    below, weight = slot * (n_tried * 2 * n_bins) + positive, weight.astype(total.dtype)
+    for k in range(n_tried):
+        place = below + 2 * (k * n_bins + flat.take(first + columns[:, k].take(slot)).astype(np.int64))
+        np.add.at(cells, place, weight)
+
+
 def best_cuts(counts: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """Of each node: whether it is cut, place of the column, bin, and counts of all, of left and of right rows."""
     counts = counts.astype(np.float64)
@@ -218,6 +235,11 @@ def _shares(both: np.ndarray) -> np.ndarray:
     return both[:, 1] / np.maximum(both.sum(axis=1), 1.0)
 
 
+def _order(slot: np.ndarray, n: int) -> np.ndarray:
+    """The places of rows by rising slot below ``n``; short numbers are sorted in one sweep."""
+    return np.argsort(slot.astype(np.uint16) if n <= 1 << 16 else slot, kind="stable")
+
+
 def _children(heaps: np.ndarray) -> np.ndarray:
     return np.stack([2 * heaps, 2 * heaps + np.uint64(1)], axis=1).ravel()
 
@@ -238,7 +260,7 @@ def grow_here(bins, positive, weight, slot, heaps: np.ndarray, left: np.ndarray,
         renumbered = np.where(going, np.cumsum(going) - 1, -1)
         slot = renumbered[slot]
         rows = np.flatnonzero(slot >= 0)
-        rows = rows[np.argsort(slot[rows], kind="stable")]
+        rows = rows[_order(slot[rows], len(renumbered))]
         bins, positive, weight, slot = bins[rows], positive[rows], weight[rows], slot[rows]
         heaps, left, nodes = heaps[going], left[going], nodes[going]
         columns = tried_columns(heaps, number, plan)
@@ -306,17 +328,48 @@ class _Growing:
         self.append(ForestTree(*(v[n:] for v in vars(grown).values())))
 
 
-def _drawn(block: Block, number: int, tree: ForestTree, level: int, slot_of: np.ndarray, plan: Plan) -> tuple[np.ndarray, ...]:
-    """bins, positive, times drawn and slot of those rows of a block that a tree draws and that end in a slot."""
-    bins, label, _, row = _unpacked(block, plan.n_columns)
-    weight = times_drawn(row, number, plan.seed)
-    used = np.flatnonzero(weight)
-    own = np.take(bins, used, axis=0)
-    slot = slot_of[tree.leaf_of(own, level)]
-    inside = slot >= 0
-    if not inside.all():
-        used, own, slot = used[inside], np.compress(inside, own, axis=0), slot[inside]
-    return own, (label[used] > 0.5).astype(np.int64), weight[used], slot
+def _drawn(folder: str, number: int, tree: ForestTree, level: int, plan: Plan) -> Iterator[tuple[np.ndarray, ...]]:
+    """bins, positive, times drawn and node of a partition's rows that a tree draws, block by block."""
+    sizes = np.fromfile(_file(folder, "sizes"), dtype=np.int64)
+    with open(_file(folder, "bins"), "rb") as of_bins, open(_file(folder, "label"), "rb") as of_label, open(_file(folder, "row"), "rb") as of_row:
+        for n in sizes.tolist():
+            bins = np.fromfile(of_bins, dtype=np.uint8, count=n * plan.n_columns).reshape(n, plan.n_columns)
+            label, row = np.fromfile(of_label, dtype=np.float64, count=n), np.fromfile(of_row, dtype=np.int64, count=n)
+            weight = times_drawn(row, number, plan.seed)
+            used = np.flatnonzero(weight > 0)
+            own = np.take(bins, used, axis=0)
+            yield own, (label.take(used) > 0.5).astype(np.int64), weight.take(used), tree.leaf_of(own, level)
+
+
+def _live(folder: str, number: int, tree: ForestTree, level: int, plan: Plan) -> Iterator[tuple[np.ndarray, ...]]:
+    """The same, of the rows that were in open nodes when they were last written."""
+    for before in range(level, -1, -1):
+        if os.path.exists(_file(folder, "live", number, before)):
+            break
+    else:
+        yield from _drawn(folder, number, tree, level, plan)
+        return
+    with open(_file(folder, "live", number, before), "rb") as file:
+        while len(size := np.fromfile(file, dtype=np.int64, count=1)):
+            n = int(size[0])
+            bins = np.fromfile(file, dtype=np.uint8, count=n * plan.n_columns).reshape(n, plan.n_columns)
+            both, at = np.fromfile(file, dtype=np.uint8, count=n), np.fromfile(file, dtype=np.int32, count=n).astype(np.int64)
+            yield bins, (both & 1).astype(np.int64), both >> 1, tree.leaf_of(bins, level - before, at)
+
+
+def _within(rows: tuple[np.ndarray, ...], slot_of: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Those rows whose node has a slot, and the slot; their nodes come last."""
+    slot = slot_of.take(rows[3])
+    inside = np.flatnonzero(slot >= 0)
+    own = rows if len(inside) == len(slot) else tuple(v.take(inside, axis=0) for v in rows)
+    return *own[:3], slot.take(inside), own[3]
+
+
+def _forget(folder: str, first: int) -> None:
+    """Remove the files of trees before the first that is grown now."""
+    for name in os.listdir(folder):
+        if name.startswith("live-") and "." not in name and int(name.split("-")[1]) < first:
+            os.remove(_file(folder, name))
 
 
 def _slots(size: int, nodes: np.ndarray) -> np.ndarray:
@@ -338,58 +391,109 @@ def _groups(items: list, size, most: int) -> Iterator[list]:
         yield group
 
 
-def _cut_pass(blocks: RDD, items: list, level: int, plan: Plan) -> dict:
+def _cut_pass(blocks: LocalParts, items: list, level: int, plan: Plan) -> dict:
     """The cuts of some nodes of some trees, from one pass: for each tree's number, ``best_cuts`` of its nodes.
 
-    Items are (number, tree, nodes, places).
+    Items are (number, tree, nodes, places, whether these are all open nodes of the tree).
     """
-    sent = blocks.context.broadcast(items)
+    # broadcasts are pickled by reference, so trees go as their arrays
+    sent = blocks.context.broadcast([(number, tuple(vars(tree).values()), *rest) for number, tree, *rest in items])
     step = max(1, ENTRY_CELLS // plan.cells)
 
-    def run(blocks: Iterator[Block]) -> Iterator[tuple]:
-        totals: list = [None] * len(sent.value)
-        for block in blocks:
-            for i, (number, tree, nodes, heaps) in enumerate(sent.value):
-                part = _drawn(block, number, tree, level, _slots(len(tree.column), nodes), plan)
-                counts = node_counts(*part, tried_columns(heaps, number, plan), plan.n_bins).astype(np.int32)
-                totals[i] = counts if totals[i] is None else totals[i] + counts
+    def count(folder: str) -> list[np.ndarray]:
+        _forget(folder, sent.value[0][0])
+        totals = []
+        for number, arrays, nodes, heaps, every in sent.value:
+            tree, columns = ForestTree(*arrays), tried_columns(heaps, number, plan)
+            slots, counts = _slots(len(tree.column), nodes), np.zeros((*columns.shape, plan.n_bins, 2), dtype=np.int32)
+            with _Written(folder) as out:
+                for rows in _live(folder, number, tree, level, plan):
+                    *own, at = _within(rows, slots)
+                    add_counts(counts, *own, columns)
+                    if every:
+                        bins, positive, weight, _ = own
+                        for values in (np.array([len(at)]), bins, weight * np.uint8(2) + positive.astype(np.uint8), at.astype(np.int32)):
+                            out.put(values, "live", number, level)
+            if every and level > 1 and os.path.exists(old := _file(folder, "live", number, level - 2)):
+                os.remove(old)
+            totals.append(counts)
+        return totals
+
+    def run(folder: str) -> Iterator[tuple]:
+        try:
+            totals = count(folder)
+        except FileNotFoundError:
+            yield (-1, 0), np.zeros(0, dtype=np.int32)
+            return
         for i, counts in enumerate(totals):
-            if counts is not None:
-                for first in range(0, len(counts), step):
-                    yield (i, first), counts[first : first + step]
+            for first in range(0, len(counts), step):
+                yield (i, first), counts[first : first + step]
 
     add = lambda a, b: np.add(a, b, dtype=np.int64)
-    entries = sum(-(-len(nodes) // step) for _, _, nodes, _ in items)
-    summed = blocks.mapPartitions(run).reduceByKey(add, min(entries, blocks.getNumPartitions()))
+    entries = sum(-(-len(item[2]) // step) for item in items)
+    cuts = lambda c: best_cuts(c, plan.least) if len(c) else None
+    for again in (False, True):
+        summed = blocks.run(run, again).reduceByKey(add, min(entries, blocks.getNumPartitions()))
+        # some numbers for each node: bounded by the settings
+        entries_found = sorted(summed.mapValues(cuts).collect(), key=lambda e: e[0])
+        if entries_found[0][0][0] >= 0:
+            break
     found: dict = {}
-    # some numbers for each node: bounded by the settings
-    for (i, first), cuts in sorted(summed.mapValues(lambda c: best_cuts(c, plan.least)).collect(), key=lambda e: e[0]):
-        found.setdefault(items[i][0], []).append(cuts)
+    for (i, first), cuts_found in entries_found:
+        found.setdefault(items[i][0], []).append(cuts_found)
     sent.destroy()
     return {number: tuple(np.concatenate(p) for p in zip(*parts)) for number, parts in found.items()}
 
 
-def _grow_aside(blocks: RDD, bundles: list, plan: Plan) -> list:
+def _grow_aside(blocks: LocalParts, bundles: list, plan: Plan) -> list:
     """Subtrees of bundles (number, tree, nodes set aside), each grown from its shuffled rows."""
-    sent = blocks.context.broadcast(bundles)
+    by_tree: dict = {}
+    for i, (number, tree, own) in enumerate(bundles):
+        by_tree.setdefault(number, (tree, []))[1].extend((node, i, slot, left) for slot, (node, _, left, _) in enumerate(own))
+    # broadcasts are pickled by reference, so trees go as their arrays
+    trees = [(number, tuple(vars(tree).values()), *map(np.array, zip(*nodes))) for number, (tree, nodes) in by_tree.items()]
+    sent = blocks.context.broadcast((trees, [(number, own) for number, _, own in bundles]))
     rows = sum(n for _, _, own in bundles for *_, n in own)
     parts = min(len(bundles), max(blocks.getNumPartitions(), -(-rows // PART_ROWS)))
 
-    def emit(blocks: Iterator[Block]) -> Iterator[tuple]:
-        places = [_slots(len(tree.column), np.array([a[0] for a in own])) for _, tree, own in sent.value]
-        for block in blocks:
-            for i, (number, tree, own) in enumerate(sent.value):
-                level = plan.depth - min(a[2] for a in own)
-                bins, positive, weight, slot = _drawn(block, number, tree, level, places[i], plan)
-                if len(slot):
-                    yield i, (bins.tobytes(), positive.astype(np.uint8).tobytes(), weight.tobytes(), slot.astype(np.int32).tobytes())
+    def emit(folder: str) -> Iterator[tuple]:
+        held: dict = {}
+        n_held = 0
+        for number, arrays, nodes, bundle, slot, left in sent.value[0]:
+            tree = ForestTree(*arrays)
+            slots = _slots(len(tree.column), nodes)
+            # a tree draws its rows once for all its bundles, however many these are
+            for rows in _drawn(folder, number, tree, plan.depth - int(left.min()), plan):
+                *rows, place, _ = _within(rows, slots)
+                own = bundle.take(place) - bundle[0]
+                order = _order(own, int(bundle[-1] - bundle[0]) + 1)
+                bins, positive, weight, place = (v.take(order, axis=0) for v in (*rows, place))
+                columns = bins, positive.astype(np.uint8), weight, slot.take(place).astype(np.int32)
+                ends = np.cumsum(np.bincount(own)).tolist()
+                for i, (a, b) in enumerate(zip([0, *ends], ends), start=int(bundle[0])):
+                    if a < b:
+                        held.setdefault(i, []).append([c[a:b].tobytes() for c in columns])
+                n_held += len(order)
+                if n_held >= SENT_ROWS:
+                    yield from ((i, tuple(map(b"".join, zip(*found)))) for i, found in held.items())
+                    held, n_held = {}, 0
+        yield from ((i, tuple(map(b"".join, zip(*found)))) for i, found in held.items())
+
+    def emit_or_tell(folder: str) -> Iterator[tuple]:
+        if os.path.exists(_file(folder, "sizes")):
+            yield from emit(folder)
+        else:
+            yield -1, None
 
     def grow(entries: Iterator[tuple]) -> Iterator[tuple]:
         held: dict = {}
         for i, part in entries:
             held.setdefault(i, []).append(part)
+        if held.pop(-1, None):
+            yield -1, None
+            return
         for i in sorted(held):
-            number, _, own = sent.value[i]
+            number, own = sent.value[1][i]
             joined = [b"".join(p) for p in zip(*held.pop(i))]
             bins = np.frombuffer(joined[0], dtype=np.uint8).reshape(-1, plan.n_columns)
             positive, weight = (np.frombuffer(b, dtype=np.uint8) for b in joined[1:3])
@@ -397,7 +501,10 @@ def _grow_aside(blocks: RDD, bundles: list, plan: Plan) -> list:
             heaps, left = np.array([a[1] for a in own], dtype=np.uint64), np.array([a[2] for a in own])
             yield i, grow_here(bins, positive.astype(np.int64), weight, slot, heaps, left, number, plan)
 
-    found = blocks.mapPartitions(emit).partitionBy(parts, lambda i: i).mapPartitions(grow).collect()  # nodes: bounded by the settings
+    for again in (False, True):
+        found = blocks.run(emit_or_tell, again).partitionBy(parts, lambda i: max(i, 0)).mapPartitions(grow).collect()  # nodes: bounded by the settings
+        if all(i >= 0 for i, _ in found):
+            break
     sent.destroy()
     return found
 
@@ -415,31 +522,42 @@ def grow_forest(df: DataFrame, plan_of, bins: int = 32, edges: list[np.ndarray]
         return Forest(edges, [leaf() for _ in range(plan.trees)], plan.depth)
     first = lambda: (np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.uint64), np.array([n_rows]))
     growing = [_Growing(leaf(), *first(), []) for _ in range(plan.trees)]
-    blocks = store_binned(df, edges, n_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = LocalParts(store_binned(df, edges, n_rows), len(edges), by_column=False)
     try:
-        return Forest(edges, _grown(blocks, growing, plan), plan.depth)
+        return Forest(edges, _grown(blocks, growing, plan, n_rows), plan.depth)
     finally:
-        blocks.unpersist()
+        blocks.free()
 
 
-def _grown(blocks: RDD, growing: list[_Growing], plan: Plan) -> list[ForestTree]:
+def _cut_all(blocks: LocalParts, growing: list[_Growing], chosen: range, plan: Plan) -> None:
+    """Cut the large nodes of some trees, level by level."""
     parts = blocks.getNumPartitions()
     for level in range(max(plan.depth, 1)):
         left = plan.depth - level
-        for g in growing:
+        for number in chosen:
+            g = growing[number]
             tables = parts * plan.cells * 4.0 * np.minimum(2.0**left - 1, g.counts)
             g.put_aside((g.counts <= LOCAL_ROWS) & (g.counts * ROW_BYTES < tables) if plan.depth else np.zeros(1, dtype=bool), left)
         step = max(1, PASS_CELLS // plan.cells)
-        items = [(number, a) for number, g in enumerate(growing) for a in range(0, len(g.nodes), step)]
+        items = [(number, a) for number in chosen for a in range(0, len(growing[number].nodes), step)]
         after: dict = {}
         for group in _groups(items, lambda item: min(step, len(growing[item[0]].nodes) - item[1]), step):
-            sent = [(n, growing[n].tree, growing[n].nodes[a : a + step], growing[n].heaps[a : a + step]) for n, a in group]
+            sent = []
+            for n, a in group:
+                g = growing[n]
+                sent.append((n, g.tree, g.nodes[a : a + step], g.heaps[a : a + step], len(g.nodes) <= step))
             least = plan if plan.depth else Plan(**(vars(plan) | {"least": 2**62}))  # the root alone
             for number, found in _cut_pass(blocks, sent, level, least).items():
-                nodes, heaps = next(s[2:] for s in sent if s[0] == number)
+                nodes, heaps = next(s[2:4] for s in sent if s[0] == number)
                 after.setdefault(number, []).append(growing[number].split(nodes, heaps, found, number, plan))
-        for number, g in enumerate(growing):
+        for number in chosen:
+            g = growing[number]
             g.nodes, g.heaps, g.counts = (np.concatenate(p) for p in zip(*after[number])) if number in after else (g.nodes[:0], g.heaps[:0], g.counts[:0])
+
+
+def _grown(blocks: LocalParts, growing: list[_Growing], plan: Plan, n_rows: int) -> list[ForestTree]:
+    for group in _groups(list(range(len(growing))), lambda _: n_rows, JOB_ROWS):
+        _cut_all(blocks, growing, range(group[0], group[-1] + 1), plan)
     bundles = [(n, g.tree, own) for n, g in enumerate(growing) for own in _groups(g.aside, lambda a: a[3], LOCAL_ROWS)]
     for job in _groups(bundles, lambda b: sum(a[3] for a in b[2]), JOB_ROWS):
         for i, grown in _grow_aside(blocks, job, plan):

@@ -152,3 +152,69 @@ def test_passes_follow_the_depth_and_rows_move_once(spark, monkeypatch, copies):
         own = [a for n, _, aside in moved if n == number for a in aside]
         assert len({a[0] for a in own}) == len(own) and sum(a[3] for a in own) <= 2 * 400 * copies
     assert moved
+
+
+def test_rows_of_a_tree_are_drawn_twice_at_most(spark, monkeypatch, tmp_path):
+    """For its passes and for its subtrees; they used to be drawn at every level and again for every bundle."""
+    log, drawn = str(tmp_path / "draws"), N.times_drawn
+
+    def noted(rows, number, seed):
+        with open(log, "a") as file:
+            file.write(f"{number} {len(rows)}\n")
+        return drawn(rows, number, seed)
+
+    monkeypatch.setattr(N, "times_drawn", noted)
+    monkeypatch.setattr(N, "LOCAL_ROWS", 30)
+    monkeypatch.setattr(N, "ROW_BYTES", 0)
+    monkeypatch.setattr(N, "SENT_ROWS", 100)
+    bundles, grow_aside = [], N._grow_aside
+    monkeypatch.setattr(N, "_grow_aside", lambda blocks, some, plan: bundles.extend(some) or grow_aside(blocks, some, plan))
+    x, label, ids, df = rows_of(spark)
+    forest = N.grow_forest(df.repartition(3), plan_of(3, 7), edges=EDGES)
+    assert len(bundles) > 9
+    with open(log) as file:
+        draws = [tuple(map(int, line.split())) for line in file]
+    assert all(500 <= sum(n for t, n in draws if t == number) <= 1000 for number in range(3))
+    total = sum(plain_scores(x, label, ids, number, plan_of(3, 7)(5, 8)) for number in range(3))
+    assert np.allclose(forest.scores(x, [3])[:, 0], total, atol=1e-9)
+
+
+def test_forest_goes_on_where_files_are_lost(spark, monkeypatch):
+    """Without any files, or those of the level before, rows are drawn again: the same trees."""
+    monkeypatch.setattr(N, "LOCAL_ROWS", 20)
+    monkeypatch.setattr(N, "ROW_BYTES", 0)
+    _, _, _, df = rows_of(spark, seed=4)
+    plain = N.grow_forest(df, plan_of(3, 6), edges=EDGES).to_text()
+    lost, cut_pass, grow_aside = [], N._cut_pass, N._grow_aside
+
+    def lose(blocks, start):
+        folder = blocks.folder
+
+        def remove(part):
+            import os
+
+            for name in os.listdir(folder(part)):
+                if name.startswith(start):
+                    os.remove(os.path.join(folder(part), name))
+
+        lost.append(start)
+        blocks.parts.foreach(remove)
+
+    monkeypatch.setattr(N, "_cut_pass", lambda blocks, items, level, plan: level in (2, 4) and lose(blocks, ("", "live")[level // 4]) or cut_pass(blocks, items, level, plan))
+    monkeypatch.setattr(N, "_grow_aside", lambda blocks, some, plan: lose(blocks, "") or grow_aside(blocks, some, plan))
+    assert N.grow_forest(df, plan_of(3, 6), edges=EDGES).to_text() == plain
+    assert lost[:2] == ["", "live"] and lost[-1] == ""
+
+
+def test_large_tables_are_counted_at_the_rows_places():
+    rng = np.random.default_rng(2)
+    bins, slot = rng.integers(0, 8, (60, 5)).astype(np.uint8), rng.integers(0, 40, 60)
+    positive, weight = rng.integers(0, 2, 60), rng.integers(1, 4, 60).astype(np.uint8)
+    columns = N.tried_columns(np.arange(40, 80, dtype=np.uint64), 1, N.Plan(2, 7, 1, 42, 5, 8))
+    for n in (1, 60):  # few rows beside the table, and one row more
+        total = np.ones((40, columns.shape[1], 8, 2), dtype=np.int32)
+        N.add_counts(total, bins[:n], positive[:n], weight[:n], slot[:n], columns)
+        assert np.array_equal(total - 1, N.node_counts(bins[:n], positive[:n], weight[:n], slot[:n], columns, 8))
+    few = np.ones((2, columns.shape[1], 8, 2), dtype=np.int32)
+    N.add_counts(few, bins, positive, weight, slot % 2, columns[:2])
+    assert np.array_equal(few - 1, N.node_counts(bins, positive, weight, slot % 2, columns[:2], 8))
