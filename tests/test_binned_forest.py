@@ -193,9 +193,9 @@ def test_forest_goes_on_where_files_are_lost(spark, monkeypatch):
         def remove(part):
             import os
 
-            for name in os.listdir(folder(part)):
+            for name in os.listdir(folder(part[0])):
                 if name.startswith(start):
-                    os.remove(os.path.join(folder(part), name))
+                    os.remove(os.path.join(folder(part[0]), name))
 
         lost.append(start)
         blocks.parts.foreach(remove)

@@ -132,9 +132,9 @@ def test_boosting_goes_on_where_files_are_lost(spark, share, monkeypatch):
             def lose(part):
                 import os
 
-                for name in os.listdir(folder(part)):
+                for name in os.listdir(folder(part[0])):
                     if name.startswith(lost):
-                        os.remove(os.path.join(folder(part), name))
+                        os.remove(os.path.join(folder(part[0]), name))
 
             if lost is not None:
                 made.append(lost)
